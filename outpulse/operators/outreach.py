@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outpulse.functions import text as X
-from outpulse.operators.keyed import top_n_per
+from outpulse.operators.keyed import join_lookup, top_n_per
 from outpulse.session import cut_lineage
 from outpulse.sources.landing import parse_reply_score
 
@@ -177,7 +177,7 @@ def score_until_full(
         part = df.where(F.col(stage) == value)
         if kept is not None:
             full = kept.groupBy(*keys).count().where(F.col("count") >= n).select(*keys)
-            part = part.join(full, keys, "left_anti")
+            part = join_lookup(part, full, keys, "left_anti")
         found = run_cap(qualify(score_posts(part, scorer, prompt), min_score), keys, order_by, n)
         found = cut_lineage(found)
         kept = found if kept is None else kept.unionByName(found)

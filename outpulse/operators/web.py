@@ -45,19 +45,22 @@ def _slot(gap: int) -> Column:
     return F.floor(D.epoch_seconds(F.col("ts")) / gap)
 
 
-def session_slots(hits: DataFrame, gap: int = GAP) -> DataFrame:
+def session_slots(hits: DataFrame, gap: int = GAP, counted: Sequence[Column] = ()) -> DataFrame:
     """One row per user and slot, with the session the slot belongs to.
 
     ``session_start`` names the session within its user; the session's totals
     and the source and medium of its first hit are repeated on its slots.
-    A pause longer than ``gap`` seconds starts a new session.
+    A pause longer than ``gap`` seconds starts a new session. ``counted`` adds
+    further aggregates of the slot's hits.
     """
     slots = hits.groupBy(*USER, _slot(gap).alias("slot")).agg(
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
         F.count("*").alias("slot_hits"),
         F.min_by(F.struct("source", "medium"), F.struct("ts", "event_id")).alias("entry"),
+        *counted,
     )
+    extra = slots.columns[slots.columns.index("entry") + 1 :]
     timeline = Window.partitionBy(*USER).orderBy("slot")
     previous = F.lag("last_ts").over(timeline)
     starts = previous.isNull() | (F.col("first_ts") > previous + F.make_dt_interval(secs=F.lit(gap)))
@@ -82,6 +85,7 @@ def session_slots(hits: DataFrame, gap: int = GAP) -> DataFrame:
             F.col("_entry.source").alias("session_source"),
             F.col("_entry.medium").alias("session_medium"),
             "user_first_ts",
+            *extra,
         )
     )
 
@@ -133,8 +137,11 @@ def report(
     ]
     if needs_sessions:
         session_dims = [F.col(SESSION_DIMENSIONS[d]).alias(d) for d in dimensions if d in SESSION_DIMENSIONS]
-        folded = hits.groupBy(*USER, _slot(gap).alias("slot"), *hit_dims).agg(*counted)
-        joined = folded.join(session_slots(hits, gap), [*USER, "slot"])
+        if hit_dims:
+            folded = hits.groupBy(*USER, _slot(gap).alias("slot"), *hit_dims).agg(*counted)
+            joined = folded.join(session_slots(hits, gap), [*USER, "slot"])
+        else:
+            joined = session_slots(hits, gap, counted)
         per_session = joined.groupBy(*USER, *names, *session_dims, "session_start").agg(
             F.sum("hits").alias("hits"),
             F.sum("views").alias("views"),
