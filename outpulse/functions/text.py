@@ -140,7 +140,7 @@ def percent(fraction: Column) -> Column:
         F.when(F.isnan(value), F.lit("nan%"))
         .when(size == float("inf"), F.concat(sign, F.lit("inf%")))
         .when(size < 1e14, F.concat(sign, digits, F.lit("%")))
-        .otherwise(F.format_string("%.1f%%", value)),
+        .when(value.isNotNull(), F.format_string("%.1f%%", value)),
         text,
     )
 

@@ -160,21 +160,24 @@ def score_until_full(
     by: Sequence[str],
     stage: str,
     order_by: Sequence[str | Column],
-    stages: Sequence[int],
+    stages: Sequence[range],
     n: int = MAX_RESULTS,
     min_score: float = MIN_SCORE,
     prompt: str = "prompt",
 ) -> DataFrame:
     """Same rows as scoring everything and then applying :func:`run_cap`, with fewer scorer calls.
 
-    Rows are scored stage by stage (``stage`` is the leading order column);
-    a run that is full drops out of later stages. Each stage holds at most
-    ``n`` rows per run and is checkpointed, so no stage is scored twice.
+    Rows are scored stage by stage: ``stage`` is the leading order column,
+    ``stages`` are ranges of its values, in order. A run that is full drops
+    out of later stages. The rows to score and each stage's result (at most
+    ``n`` rows per run) are checkpointed, so nothing is searched or scored
+    twice.
     """
     keys = list(by)
+    df = cut_lineage(df)
     kept: DataFrame | None = None
-    for value in stages:
-        part = df.where(F.col(stage) == value)
+    for values in stages:
+        part = df.where(F.col(stage).between(values.start, values.stop - 1))
         if kept is not None:
             full = kept.groupBy(*keys).count().where(F.col("count") >= n).select(*keys)
             part = join_lookup(part, full, keys, "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from outpulse.operators import mentions as M
 from outpulse.operators import outreach as O
-from outpulse.operators.keyed import first_per_key, unseen
+from outpulse.operators.keyed import first_per_key, join_lookup, unseen
 from outpulse.sources.landing import parse_reply_array, read_listing
 
 ARRIVAL = ("kw_rank", "src_rank", "hit_rank")
@@ -58,7 +58,8 @@ def candidate_posts(
     joined and long before the scorer runs.
     """
     searched = O.expand_batches(cursors, batches, per_run)
-    found = hits.join(searched.select(*by, "keyword", "batch_pos", "kw_pos"), [*by, "keyword"])
+    searched = searched.select(*by, "keyword", "batch_pos", "batch_no", "kw_pos")
+    found = join_lookup(hits, searched, [*by, "keyword"])
     order = ["batch_pos", "kw_pos", "hit_pos"]
     first = O.first_results(found, [*by, "batch_pos", "kw_pos"], ["hit_pos"], results)
     fresh = unseen(O.posts_from_hits(first), seen, order, by)
@@ -73,12 +74,12 @@ def find_opportunities(
     by: Sequence[str] = ("campaign",),
     n: int = O.MAX_RESULTS,
     min_score: float = O.MIN_SCORE,
-    stages: Sequence[int] | None = None,
+    stages: Sequence[range] | None = None,
 ) -> DataFrame:
     """Score candidate posts and keep the first qualified ones of every run.
 
-    With ``stages`` (the batch positions in order) scoring stops for a run as
-    soon as it is full; without, all posts are scored in one job.
+    With ``stages`` (ranges of batch positions, in order) scoring stops for a
+    run as soon as it is full; without, all posts are scored in one job.
     """
     order = ["batch_pos", "kw_pos", "hit_pos"]
     prompted = posts.withColumn("prompt", O.post_prompt(template))

@@ -7,8 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
+_TYPES = {"DATE": T.DateType(), "STRING": T.StringType(), "BIGINT": T.LongType()}
+
+
 def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    """Schema of plain ``name TYPE`` columns; needs no running session."""
+    columns = [column.split() for column in ddl.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outpulse.functions import dates as D
@@ -83,11 +83,12 @@ def update_archive(
     ).first()
     if lo is not None and not undated:
         existing = existing.where(F.col(spec.date).between(F.lit(lo), F.lit(hi)))
-    added = append_new(existing, incoming, spec.all_keys, order_by)
-    seen = Observation(f"{kind}_added")
-    write_archive(added.observe(seen, F.count(F.lit(1)).alias("rows")), root, kind, as_of)
+    # One writer per archive: the run's month grows by exactly what this run adds.
+    month = [as_of.strftime("%Y_%m")]
+    before = read_archive(spark, root, kind, month).count()
+    write_archive(append_new(existing, incoming, spec.all_keys, order_by), root, kind, as_of)
     ensure_archive(spark, root, kind)
-    return int(seen.get["rows"])
+    return read_archive(spark, root, kind, month).count() - before
 
 
 def export_csv(df: DataFrame, path: str, kind: str) -> None:
