@@ -9,7 +9,6 @@ from outpulse.catalog.registry import query
 from outpulse.catalog.sqlviews import WS, quoted, values
 from outpulse.functions import text as X
 from outpulse.operators import mentions as M
-from outpulse.operators.keyed import join_lookup
 from outpulse.plans import collect as P
 from outpulse.plans import digests as G
 from outpulse.sources import landing as L
@@ -124,8 +123,7 @@ ORDERED = ("tion", "the", "absentword")
     f"SELECT m.*, list_rank FROM v_mentions m JOIN {values(enumerate(ORDERED, 1))} k(list_rank, keyword) USING (keyword)",
 )
 def join_keyword_order(spark, sf):
-    ranks = spark.createDataFrame(list(enumerate(ORDERED, 1)), "list_rank INT, keyword STRING")
-    return M.listed(V.mentions(spark, sf), ranks)
+    return M.listed(V.mentions(spark, sf), ORDERED)
 
 
 SENTIMENT_ICON = (
@@ -217,9 +215,8 @@ JOIN {values(enumerate(ORDERED, 1))} k(list_rank, keyword) USING (keyword)
 GROUP BY ALL ORDER BY monitor, list_rank, source""",
 )
 def sort_sources(spark, sf):
-    ranks = spark.createDataFrame(list(enumerate(ORDERED, 1)), "list_rank INT, keyword STRING")
     folded = V.mentions(spark, sf).groupBy("monitor", "keyword", "source").agg(F.count("*").alias("n"))
-    return M.listed(folded, ranks).select("monitor", "list_rank", "source", "n").orderBy("monitor", "list_rank", "source")
+    return M.listed(folded, ORDERED).select("monitor", "list_rank", "source", "n").orderBy("monitor", "list_rank", "source")
 
 
 BOTH = f"SELECT {MENTION} FROM v_post_mentions UNION ALL SELECT {MENTION} FROM v_comment_mentions"

@@ -95,7 +95,7 @@ def win_session_hits(spark, sf):
 
 @query("ga_overview", report_sql({}, OVERVIEW, LATER, gap=WIDE))
 def ga_overview(spark, sf):
-    return W.overview(V.hits(spark, sf), LATER, WIDE)
+    return W.overview(V.hits(spark, sf), LATER, gap=WIDE)
 
 
 @query(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -112,6 +112,28 @@ def duration(seconds: Column) -> Column:
     return F.coalesce(shown, text)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _one_decimal(size: Column) -> Column:
+    """Non-negative double below 1e14 to tenths, rounded on its exact binary value, ties to even."""
+    whole = F.floor(size)
+
+    def rounded(scaled: Column) -> Column:
+        # ``scaled`` is the fraction in units of 2**-52; what is below the unit decides ties only.
+        fixed = F.floor(scaled)
+        tenth = F.shiftright(fixed * 10, 52)
+        rest = (fixed * 10).bitwiseAND(F.lit(2**52 - 1))
+        distance = (rest - F.lit(2**51)).cast("double") + (scaled - fixed.cast("double")) * 10
+        up = (distance > 0) | ((distance == 0) & (tenth % 2 == 1))
+        return tenth + up.cast("bigint")
+
+    tenths = whole * 10 + _let((size - whole.cast("double")) * F.lit(float(2**52)), rounded)
+    return _let(tenths, lambda t: F.concat(F.floor(t / 10).cast("string"), F.lit("."), (t % 10).cast("string")))
+
+
 def percent(fraction: Column) -> Column:
     """Fraction as a percentage with one decimal; text that is no number comes back unchanged.
 
@@ -119,30 +141,23 @@ def percent(fraction: Column) -> Column:
     12.25 prints as ``12.2%``; the JVM formatter would round the shortest
     decimal form up.
     """
-    text = fraction.cast("string")
-    special = F.lower(ws_trim(text)).isin("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
-    value = F.when(text.rlike(NUMBER) | special, text.try_cast("double")) * 100
-    size = F.abs(value)
-
-    bits = F.lit(float(2**52))
-    whole = F.floor(size)
-    scaled = (size - whole.cast("double")) * bits
-    fixed = F.floor(scaled)
-    tenth = F.shiftright(fixed * 10, 52)
-    left = (fixed * 10).bitwiseAND(F.lit(2**52 - 1))
-    distance = (left - F.lit(2**51)).cast("double") + (scaled - fixed.cast("double")) * 10
-    up = (distance > 0) | ((distance == 0) & (tenth % 2 == 1))
-    units = whole * 10 + tenth + up.cast("bigint")
-    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    digits = F.concat(F.floor(units / 10).cast("string"), F.lit("."), (units % 10).cast("string"))
-
-    return F.coalesce(
-        F.when(F.isnan(value), F.lit("nan%"))
-        .when(size == float("inf"), F.concat(sign, F.lit("inf%")))
-        .when(size < 1e14, F.concat(sign, digits, F.lit("%")))
-        .when(value.isNotNull(), F.format_string("%.1f%%", value)),
-        text,
-    )
+    special = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+
+    def shown(value: Column) -> Column:
+        sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
+        size = F.abs(value)
+        return (
+            F.when(F.isnan(value), F.lit("nan%"))
+            .when(size == float("inf"), F.concat(sign, F.lit("inf%")))
+            .when(size < 1e14, F.concat(sign, _let(size, _one_decimal), F.lit("%")))
+            .when(value.isNotNull(), F.format_string("%.1f%%", value))
+        )
+
+    def parsed(text: Column) -> Column:
+        number = text.rlike(NUMBER) | F.lower(ws_trim(text)).isin(*special)
+        return F.coalesce(_let(F.when(number, text.try_cast("double")) * 100, shown), text)
+
+    return _let(fraction.cast("string"), parsed)
 
 
 def fill_template(template: str, values: Mapping[str, Column]) -> Column:

@@ -69,6 +69,7 @@ def number_rows(
     order_by: Sequence[Column],
     name: str,
     hot_rows: int = HOT_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Dense 1-based row numbers per group, whatever the group's size.
 
@@ -76,11 +77,12 @@ def number_rows(
     larger, rows are range-partitioned on group and order, so that a hot group
     spans many partitions; a row's number is then its place in its partition
     plus the rows of its group in earlier partitions. The partitions are fixed
-    by a reliable checkpoint before anything is counted.
+    by a reliable checkpoint before anything is counted. A caller that knows
+    the ``largest`` group saves the counting.
     """
     by = list(by)
-    sizes = df.groupBy(*by).count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
+    if largest is None:
+        largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
     if largest <= hot_rows:
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*order_by))
         return df.withColumn(name, place.cast("bigint"))
@@ -119,18 +121,20 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
 
 
 def join_lookup(
-    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS
-) -> DataFrame:
+    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS,
+    rows: int | None = None,
+) -> DataFrame:
     """Join a large, possibly skewed table with a lookup table on its columns.
 
-    The lookup side is broadcast only if it passes :func:`fits_broadcast`.
+    The lookup side is broadcast only if it passes :func:`fits_broadcast`, or
+    if the caller made it from a list of ``rows`` entries and that is few.
     Beyond that, its rows are copied to ``salts`` salts, and a hot key of the
     large side spreads over as many tasks.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     on = list(on)
-    if fits_broadcast(table):
+    if rows <= BROADCAST_ROWS if rows is not None else fits_broadcast(table):
         return df.join(F.broadcast(table), on, how)
     return _salted_join(df, table, on, how, salts)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outpulse.functions import dates as D
@@ -143,14 +143,10 @@ def source_icon(source: Column) -> Column:
     return lookup_icon(F.lower(source), SOURCE_ICONS, ":link:")
 
 
-def keyword_table(spark: SparkSession, keywords: Sequence[str]) -> DataFrame:
-    """Configured keywords with their rank."""
-    return spark.createDataFrame(list(enumerate(keywords, 1)), "kw_rank INT, keyword STRING")
-
-
-def listed(mentions: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Mentions of configured keywords with the keyword's rank; ``keywords`` is ``(list_rank, keyword)``."""
-    return join_lookup(mentions, keywords, ["keyword"])
+def listed(mentions: DataFrame, keywords: Sequence[str]) -> DataFrame:
+    """Mentions of configured keywords with the keyword's place in the list as ``list_rank``."""
+    ranks = mentions.sparkSession.createDataFrame(list(enumerate(keywords, 1)), "list_rank INT, keyword STRING")
+    return join_lookup(mentions, ranks, ["keyword"], rows=len(keywords))
 
 
 def union_sources(reddit: DataFrame, web: DataFrame) -> DataFrame:

@@ -101,6 +101,19 @@ def with_sessions(hits: DataFrame, gap: int = GAP) -> DataFrame:
     return hits.withColumn("slot", _slot(gap)).join(slots, [*USER, "slot"]).drop("slot")
 
 
+def _counted(start: date, end: date) -> list[Column]:
+    inside = in_range(F.col("ts"), start, end)
+    return [
+        F.count_if(inside).alias("hits"),
+        F.count_if(inside & (F.col("event_type") == "view")).alias("views"),
+    ]
+
+
+def range_slots(hits: DataFrame, date_range: tuple[date, date], gap: int = GAP) -> DataFrame:
+    """Session slots with their hits and views inside the range: all a report without hit dimensions needs."""
+    return session_slots(hits, gap, _counted(*date_range))
+
+
 def report(
     hits: DataFrame,
     dimensions: Sequence[str],
@@ -109,6 +122,7 @@ def report(
     order_bys: Sequence[tuple[str, bool]] = (),
     limit: int = 10,
     gap: int = GAP,
+    slots: DataFrame | None = None,
 ) -> DataFrame:
     """Any dimensions by any metrics over a closed date range, per property.
 
@@ -116,7 +130,8 @@ def report(
     Session metrics count the sessions that began in the range, the other
     metrics the hits in the range. Rows are folded to (dimensions, user,
     session), then (dimensions, user), then dimensions, so distinct counts are
-    plain counts and every fold starts map-side.
+    plain counts and every fold starts map-side. Several reports over one range
+    share a stored :func:`range_slots` table through ``slots``.
     """
     unknown = [d for d in dimensions if d not in SESSION_DIMENSIONS and d not in HIT_DIMENSIONS]
     unknown += [m for m in metrics if m not in (*SESSION_METRICS, *USER_METRICS, *HIT_METRICS)]
@@ -130,18 +145,15 @@ def report(
     group = ["property_id", *dimensions]
     hit_dims = [F.col(HIT_DIMENSIONS[d]).alias(d) for d in dimensions if d in HIT_DIMENSIONS]
     names = [d for d in dimensions if d in HIT_DIMENSIONS]
-    inside = in_range(F.col("ts"), start, end)
-    counted = [
-        F.count_if(inside).alias("hits"),
-        F.count_if(inside & (F.col("event_type") == "view")).alias("views"),
-    ]
+    counted = _counted(start, end)
     if needs_sessions:
         session_dims = [F.col(SESSION_DIMENSIONS[d]).alias(d) for d in dimensions if d in SESSION_DIMENSIONS]
+        slots = range_slots(hits, date_range, gap) if slots is None else slots
         if hit_dims:
             folded = hits.groupBy(*USER, _slot(gap).alias("slot"), *hit_dims).agg(*counted)
-            joined = folded.join(session_slots(hits, gap), [*USER, "slot"])
+            joined = folded.join(slots.drop("hits", "views"), [*USER, "slot"])
         else:
-            joined = session_slots(hits, gap, counted)
+            joined = slots
         per_session = joined.groupBy(*USER, *names, *session_dims, "session_start").agg(
             F.sum("hits").alias("hits"),
             F.sum("views").alias("views"),
@@ -159,7 +171,7 @@ def report(
             F.first("user_first_ts").alias("user_first_ts"),
         )
     else:
-        per_user = hits.where(inside).groupBy("property_id", *hit_dims, "user_id").agg(*counted)
+        per_user = hits.where(in_range(F.col("ts"), start, end)).groupBy("property_id", *hit_dims, "user_id").agg(*counted)
 
     active = F.col("hits") > 0
     per_session_of = lambda c: F.coalesce(F.try_divide(F.sum(c), F.sum("begun")), F.lit(0.0))
@@ -183,33 +195,29 @@ def report(
     return top_n_per(rows, ["property_id"], [*order, *dimensions], limit) if dimensions else rows
 
 
-def overview(hits: DataFrame, date_range: tuple[date, date], gap: int = GAP) -> DataFrame:
+def overview(hits: DataFrame, date_range: tuple[date, date], **options) -> DataFrame:
     """The six headline metrics; zeros for a property without data in the range."""
     metrics = ["sessions", "totalUsers", "newUsers", "screenPageViews", "bounceRate", "averageSessionDuration"]
-    return report(hits, [], metrics, date_range, limit=1, gap=gap)
+    return report(hits, [], metrics, date_range, limit=1, **options)
 
 
 def top_pages(hits: DataFrame, date_range: tuple[date, date], limit: int = 10) -> DataFrame:
     """Pages by page views."""
-    return report(
-        hits, ["pagePath", "pageTitle"], ["screenPageViews", "totalUsers"], date_range,
-        [("screenPageViews", True)], limit,
-    )
+    metrics = ["screenPageViews", "totalUsers"]
+    return report(hits, ["pagePath", "pageTitle"], metrics, date_range, [("screenPageViews", True)], limit)
 
 
-def top_sources(hits: DataFrame, date_range: tuple[date, date], limit: int = 10, gap: int = GAP) -> DataFrame:
+def top_sources(hits: DataFrame, date_range: tuple[date, date], limit: int = 10, **options) -> DataFrame:
     """Traffic sources by sessions."""
-    return report(
-        hits, ["sessionSource", "sessionMedium"], ["sessions", "totalUsers"], date_range,
-        [("sessions", True)], limit, gap,
-    )
+    dimensions, metrics = ["sessionSource", "sessionMedium"], ["sessions", "totalUsers"]
+    return report(hits, dimensions, metrics, date_range, [("sessions", True)], limit, **options)
 
 
-def top_countries(hits: DataFrame, date_range: tuple[date, date], limit: int = 5, gap: int = GAP) -> DataFrame:
+def top_countries(hits: DataFrame, date_range: tuple[date, date], limit: int = 5, **options) -> DataFrame:
     """Countries by sessions."""
-    return report(hits, ["country"], ["sessions", "totalUsers"], date_range, [("sessions", True)], limit, gap)
+    return report(hits, ["country"], ["sessions", "totalUsers"], date_range, [("sessions", True)], limit, **options)
 
 
-def devices(hits: DataFrame, date_range: tuple[date, date], gap: int = GAP) -> DataFrame:
+def devices(hits: DataFrame, date_range: tuple[date, date], **options) -> DataFrame:
     """Sessions per device category."""
-    return report(hits, ["deviceCategory"], ["sessions"], date_range, gap=gap)
+    return report(hits, ["deviceCategory"], ["sessions"], date_range, **options)

@@ -20,8 +20,13 @@ from outpulse.operators import mentions as M
 from outpulse.operators import web as WEB
 from outpulse.operators.keyed import number_rows
 from outpulse.operators.traffic import archive_links
+from outpulse.session import cut_lineage
 
 MESSAGE_LINES = 500
+# Bound of digests that are made of limited reports or of one reply.
+SHORT = 1000
+# Sort columns of a digest's lines; sections fill the ones they need.
+ORDER = {"key": "bigint", "name": "string", **{f"key{n}": "bigint" for n in range(1, 7)}}
 
 
 def _text(*parts: Column | str) -> Column:
@@ -32,21 +37,23 @@ def _bold(value: Column) -> Column:
     return _text("*", value, "*")
 
 
-def _section(df: DataFrame, by: Sequence[str], section: int, lines: Sequence[Column], *keys: Column) -> DataFrame:
-    """Lines of one section: each row yields ``lines`` in order, rows are ordered by ``keys`` (longs)."""
-    slots = [*keys, *[F.lit(0)] * (3 - len(keys))]
+def _section(
+    df: DataFrame, by: Sequence[str], section: int, lines: Sequence[Column], **order: Column
+) -> DataFrame:
+    """Lines of one section: each row yields ``lines`` in turn, rows are ordered by the ``ORDER`` columns given."""
+    blank = {"bigint": F.lit(0), "string": F.lit("")}
     return df.select(
         *by,
         F.lit(section).alias("section"),
-        *[k.cast("bigint").alias(f"key{n}") for n, k in enumerate(slots)],
+        *[order.get(name, blank[kind]).cast(kind).alias(name) for name, kind in ORDER.items()],
         F.posexplode(F.array(*lines)).alias("part", "line"),
     ).where(F.col("line").isNotNull())
 
 
-def _number(sections: Sequence[DataFrame], by: Sequence[str], **options) -> DataFrame:
+def _number(sections: Sequence[DataFrame], by: Sequence[str], largest: int, **options) -> DataFrame:
     union = reduce(lambda a, b: a.unionByName(b), sections)
-    order = [F.col(c) for c in ("section", "key0", "key1", "key2", "part", "line")]
-    return number_rows(union, by, order, "line_no", **options).select(*by, "line_no", "line")
+    order = [F.col(c) for c in ("section", *ORDER, "part", "line")]
+    return number_rows(union, by, order, "line_no", largest=largest, **options).select(*by, "line_no", "line")
 
 
 def _headed(df: DataFrame, heading: Sequence[str], first: Column, line: Column) -> list[Column]:
@@ -79,7 +86,6 @@ def repo_digest(
     archive_base: str,
     title: str = "GitHub Stats",
     site: str = "https://github.com",
-    **options,
 ) -> DataFrame:
     """Repository digest: counters, look-back totals, popular referrers and paths in reply order.
 
@@ -121,19 +127,20 @@ def repo_digest(
                 counted("Git Clones", "c"),
             ],
         ),
-        _section(referrers, by, 1, _headed(referrers, ["", "*Top Referrers*"], first, entry(F.col("referrer"))), at),
-        _section(paths, by, 2, _headed(paths, ["", "*Top Paths*"], first, entry(_text("`", F.col("path"), "`"))), at),
+        _section(referrers, by, 1, _headed(referrers, ["", "*Top Referrers*"], first, entry(F.col("referrer"))), key=at),
+        _section(paths, by, 2, _headed(paths, ["", "*Top Paths*"], first, entry(_text("`", F.col("path"), "`"))), key=at),
         _section(
             info, by, 3,
             [F.lit(""), _text("*CSV Archive (", D.archive_month(today), ")*"), archive_links(today, archive_base)],
         ),
     ]
-    return _number(sections, by, **options)
+    # A repository's lists come out of one reply row each, so its digest is short.
+    return _number(sections, by, SHORT)
 
 
 def _ranked(df: DataFrame, by: Sequence[str], *order: Column) -> DataFrame:
-    """Rows of a short per-tenant report (at most its limit) with their place."""
-    return number_rows(df, by, list(order), "place")
+    """Rows of a report (at most its limit per tenant) with their place."""
+    return number_rows(df, by, list(order), "place", largest=SHORT)
 
 
 def web_digest(
@@ -142,16 +149,19 @@ def web_digest(
     label: str,
     title: str = "Google Analytics",
     gap: int = WEB.GAP,
-    **options,
 ) -> DataFrame:
-    """Web analytics digest: overview, devices, sources, pages and countries of every property."""
+    """Web analytics digest: overview, devices, sources, pages and countries of every property.
+
+    Sessions are built once and stored for all reports.
+    """
     by = ["property_id"]
     whole = lambda c: X.thousands(F.col(c))
     first = F.col("place") == 1
     users = lambda name: _text("• ", name, ": ", whole("sessions"), " sessions (", whole("totalUsers"), " users)")
 
-    head = WEB.overview(hits, date_range, gap)
-    devices = WEB.devices(hits, date_range, gap).withColumn(
+    shared = {"gap": gap, "slots": cut_lineage(WEB.range_slots(hits, date_range, gap))}
+    head = WEB.overview(hits, date_range, **shared)
+    devices = WEB.devices(hits, date_range, **shared).withColumn(
         "shown", _text(F.col("deviceCategory"), ": ", whole("sessions"))
     )
     # At most the report's ten rows per property.
@@ -159,13 +169,13 @@ def web_digest(
         F.array_sort(F.collect_list(F.struct("deviceCategory", "shown"))).alias("_rows")
     )
     sources = _ranked(
-        WEB.top_sources(hits, date_range, gap=gap), by, F.desc("sessions"), F.col("sessionSource"),
+        WEB.top_sources(hits, date_range, **shared), by, F.desc("sessions"), F.col("sessionSource"),
         F.col("sessionMedium"),
     )
     pages = _ranked(
         WEB.top_pages(hits, date_range), by, F.desc("screenPageViews"), F.col("pagePath"), F.col("pageTitle")
     )
-    countries = _ranked(WEB.top_countries(hits, date_range, gap=gap), by, F.desc("sessions"), F.col("country"))
+    countries = _ranked(WEB.top_countries(hits, date_range, **shared), by, F.desc("sessions"), F.col("country"))
     place = F.col("place")
     source = _text(F.col("sessionSource"), " / ", F.col("sessionMedium"))
     page = _text(
@@ -191,11 +201,11 @@ def web_digest(
         _section(
             device_line, by, 1, [F.lit(""), _text("*Devices*  ", F.array_join(F.col("_rows.shown"), " · "))]
         ),
-        _section(sources, by, 2, _headed(sources, ["", "*Top Traffic Sources*"], first, users(source)), place),
-        _section(pages, by, 3, _headed(pages, ["", "*Top Pages*"], first, page), place),
-        _section(countries, by, 4, _headed(countries, ["", "*Top Countries*"], first, users(F.col("country"))), place),
+        _section(sources, by, 2, _headed(sources, ["", "*Top Traffic Sources*"], first, users(source)), key=place),
+        _section(pages, by, 3, _headed(pages, ["", "*Top Pages*"], first, page), key=place),
+        _section(countries, by, 4, _headed(countries, ["", "*Top Countries*"], first, users(F.col("country"))), key=place),
     ]
-    return _number(sections, by, **options)
+    return _number(sections, by, SHORT)
 
 
 def mention_line(m: str = "") -> Column:
@@ -228,9 +238,8 @@ def mention_digest(
 
     The header counts every mention; only configured keywords are listed.
     """
-    spark = mentions.sparkSession
     by = list(by)
-    ranks = spark.createDataFrame(list(enumerate(keywords, 1)), "list_rank INT, keyword STRING")
+    mentions = cut_lineage(mentions)
     total = F.col("total")
     counts = M.sentiment_counts(mentions, by)
     head = _section(
@@ -246,30 +255,32 @@ def mention_digest(
         ],
     )
 
-    named = mentions.withColumn("source", F.coalesce("source", F.lit("Other"))).withColumn(
-        "keyword", F.coalesce("keyword", F.lit("unknown"))
+    named = M.listed(
+        mentions.withColumn("source", F.coalesce("source", F.lit("Other"))).withColumn(
+            "keyword", F.coalesce("keyword", F.lit("unknown"))
+        ),
+        keywords,
     )
-    folded = M.listed(named.groupBy(*by, "keyword", "source").agg(F.count("*").alias("n")), ranks)
-    per_keyword = folded.groupBy(*by, "list_rank", "keyword").agg(F.sum("n").alias("n"))
-    rank, n = F.col("list_rank"), F.col("n")
+    rank, source, n = F.col("list_rank"), F.col("source"), F.col("n")
+    per_source = named.groupBy(*by, "list_rank", "keyword", "source").agg(F.count("*").alias("n"))
+    per_keyword = per_source.groupBy(*by, "list_rank", "keyword").agg(F.sum("n").alias("n"))
+    # A keyword's line comes before its sources, a source's line before its items.
     keyword_lines = _section(
-        per_keyword, by, 1, [_text("\n*", F.col("keyword"), "* — ", n, " mention", X.plural(n))], rank
-    )
-
-    # Sources sort by name inside a keyword: their place becomes a key of the line order.
-    sources = number_rows(folded, [*by, "list_rank"], [F.col("source").asc()], "source_place")
+        per_keyword, by, 1, [_text("\n*", F.col("keyword"), "* — ", n, " mention", X.plural(n))],
+        key=rank, key1=F.lit(0),
+    )
     source_lines = _section(
-        sources, by, 1, [_text(M.source_icon(F.col("source")), " *", F.col("source"), "* (", n, ")")],
-        rank, F.col("source_place"),
+        per_source, by, 1, [_text(M.source_icon(source), " *", source, "* (", n, ")")],
+        key=rank, name=source, key1=F.lit(1),
     )
-
-    placed = M.rank_in_source(named, [F.col(c) for c in arrival], by, **options)
-    names = sources.select(*by, "list_rank", "keyword", "source", "source_place")
-    items = M.join_lookup(placed, names, [*by, "keyword", "source"])
+    places = {f"key{k}": F.col(c) for k, c in enumerate(arrival, 3)}
     item_lines = _section(
-        items, by, 1, [mention_line(), summary_line(F.col("summary"))], rank, F.col("source_place"), F.col("place")
-    )
-    return _number([head, keyword_lines, source_lines, item_lines], by, **options)
+        named, by, 1, [mention_line(), summary_line(F.col("summary"))],
+        key=rank, name=source, key1=F.lit(2), key2=M.source_order(source, F.col("score")), **places,
+    )
+    # At most two lines per item, one per source and one per keyword.
+    largest = 4 * (counts.agg(F.max("total")).first()[0] or 0) + 2
+    return _number([head, keyword_lines, source_lines, item_lines], by, largest, **options)
 
 
 def empty_mention_digest(keywords: Sequence[str], today: str) -> str:
@@ -289,11 +300,11 @@ def opportunity_digest(
     title: str = "Reddit Digest",
     by: Sequence[str] = ("campaign",),
     order_by: Sequence[str] = ("batch_pos", "kw_pos", "hit_pos"),
-    **options,
 ) -> DataFrame:
     """Opportunity digest: header with batches and count, then numbered items; one line for an empty run.
 
-    ``runs`` is ``(*by, batches)`` with the run's batch numbers as an array.
+    ``runs`` is ``(*by, batches)`` with the run's batch numbers as an array,
+    ``results`` are capped, so a run's digest is short.
     """
     by = list(by)
     today = as_of.strftime("%B %d, %Y")
@@ -308,12 +319,12 @@ def opportunity_digest(
             .otherwise(F.lit(f"{title} - {today}\nNo qualifying posts found today.")),
         ],
     )
-    numbered = number_rows(results, by, [F.col(c) for c in order_by], "place")
+    numbered = number_rows(results, by, [F.col(c) for c in order_by], "place", largest=SHORT)
     item = _text(
         "*", F.col("place"), ". ", F.col("title"), "*\n<", F.col("url"), "|View Post on Reddit>\n\n",
         "*Suggested Comment:*\n", F.col("suggested_comment"),
     )
-    return _number([head_lines, _section(numbered, by, 1, [item], F.col("place"))], by, **options)
+    return _number([head_lines, _section(numbered, by, 1, [item], key=F.col("place"))], by, SHORT)
 
 
 def digest_payload(text: DataFrame, by: Sequence[str], channel: str, name: str = "message") -> DataFrame:
