@@ -282,7 +282,7 @@ SELECT campaign, hit_pos, CAST(n AS DOUBLE) AS relevance_score, CASE WHEN n = 7
 )
 def score_posts(spark, sf):
     posts = _all_posts(spark, sf).withColumn("prompt", O.post_prompt(V.POST_TEMPLATE))
-    scored = O.score_posts(posts, V.phrase_scorer)
+    scored = O.score_posts(posts, V.phrase_scorer())
     return scored.select("campaign", "hit_pos", "relevance_score", "suggested_comment")
 
 
@@ -309,7 +309,7 @@ RESULT = "campaign, batch_pos, batch_no, kw_pos, keyword, hit_pos, url, subreddi
 
 
 def _opportunities(spark, sf, stages=None):
-    found = P.find_opportunities(_candidates(spark, sf), V.phrase_scorer, V.POST_TEMPLATE, stages=stages)
+    found = P.find_opportunities(_candidates(spark, sf), V.phrase_scorer(), V.POST_TEMPLATE, stages=stages)
     return found.select(*RESULT.split(", "))
 
 

@@ -404,10 +404,11 @@ def landed_thread_urls(spark: SparkSession, sf: str) -> DataFrame:
     return landed_threads(spark, sf).join(links, "conv_id").select("url", "page", "payload")
 
 
-def phrase_scorer(texts):
-    """Deterministic stand-in for a model: score by phrases found, some replies unusable."""
-    low = texts.str.lower()
-    score = sum(low.str.contains(p, regex=False).astype(int) for p in SCORED_PHRASES).clip(upper=10)
+def phrase_scorer(phrases: tuple[str, ...] = SCORED_PHRASES):
+    """Deterministic stand-in for a model: score by phrases found, some replies unusable.
+
+    The scorer is a closure, so it travels to the workers by value.
+    """
 
     def reply(n: int) -> str:
         if n <= 2:
@@ -415,4 +416,9 @@ def phrase_scorer(texts):
         comment = " " if n == 7 else f"found {n}"
         return f'{{"relevance_score": {n}, "suggested_comment": "{comment}"}}'
 
-    return score.map(reply)
+    def score(texts):
+        low = texts.str.lower()
+        found = sum(low.str.contains(p, regex=False).astype(int) for p in phrases)
+        return found.clip(upper=10).map(reply)
+
+    return score

@@ -141,6 +141,7 @@ def join_lookup(
 
 def _salted_join(df: DataFrame, table: DataFrame, on: list[str], how: str, salts: int) -> DataFrame:
     # The salt only spreads rows: every salt finds all lookup rows.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
-    return df.withColumn("_salt", salt.cast("bigint")).join(copies, [*on, "_salt"], how).drop("_salt")
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts).cast("bigint"))
+    salts_of = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    copies = table.withColumn("_salt", F.explode(salts_of))
+    return df.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
