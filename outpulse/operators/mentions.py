@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outpulse.functions import dates as D
 from outpulse.functions import text as X
-from outpulse.operators.keyed import first_per_key, join_lookup, number_rows
+from outpulse.operators.keyed import first_per_key, fits_broadcast, join_lookup, number_rows
 
-INLINE_PHRASES = 256
-CHUNK = 256
+try:
+    import ahocorasick
+except ImportError:  # the joins do the same work
+    ahocorasick = None
+
+INLINE_PHRASES = 64
+CHUNK = 64
+BLOCK = 16_384
+ANCHORS = (0, 1, 2, 4, 8, 16)
 
 # Icons of sentiments and sources.
 SENTIMENT_ICONS = {
@@ -54,56 +62,107 @@ def exclude_phrases(
 ) -> DataFrame:
     """Drop rows whose lower-cased text contains any phrase.
 
-    A phrase list, or a phrase table of up to 256 rows, becomes one predicate
-    per phrase inside the scan stage. A larger table goes through
+    A phrase list, or a phrase table of up to 64 rows, becomes one predicate
+    per phrase inside the scan stage. A table that passes the broadcast check
+    is searched for in one pass per text. Anything larger goes through
     :func:`exclude_phrase_table`.
     """
+    text = _search_text(columns)
     if isinstance(phrases, DataFrame):
-        few = phrases.select(F.lower("phrase").alias("phrase")).distinct().limit(INLINE_PHRASES + 1).collect()
+        table = phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("phrase")).distinct()
+        few = [r.phrase for r in table.limit(INLINE_PHRASES + 1).collect()]
         if len(few) > INLINE_PHRASES:
-            return exclude_phrase_table(df, phrases, columns)
-        phrases = [r.phrase for r in few if r.phrase is not None]
+            if ahocorasick is None or not fits_broadcast(table):
+                return exclude_phrase_table(df, phrases, columns)
+            return df.where(~_contains_any([r.phrase for r in table.collect()])(text))
+        phrases = few
     if not phrases:
         return df
-    text = _search_text(columns)
     return df.where(~reduce(lambda a, b: a | b, [F.contains(text, F.lit(p.lower())) for p in phrases]))
 
 
+def _contains_any(phrases: Sequence[str]) -> Callable[[Column], Column]:
+    """Vectorised test for any of the phrases; each task builds the search automaton once."""
+    always = "" in phrases
+
+    @F.pandas_udf("boolean")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        search = ahocorasick.Automaton()
+        for phrase in phrases:
+            if phrase:
+                search.add_word(phrase, True)
+        search.make_automaton()
+        for texts in batches:
+            yield texts.map(lambda t: always or next(search.iter(t), None) is not None).astype(bool)
+
+    return found
+
+
 def exclude_phrase_table(
-    df: DataFrame, phrases: DataFrame, columns: Sequence[str] = ("title", "summary"), chunk: int = CHUNK
+    df: DataFrame,
+    phrases: DataFrame,
+    columns: Sequence[str] = ("title", "summary"),
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """The same filter for a phrase table of any size, as equality joins.
 
-    Every text is cut into pieces as long as a phrase, for each phrase length
-    in use, and the pieces are looked up in the phrase table; the work per text
-    is linear in its length and does not grow with the number of phrases.
-    Copies of a text are looked up once.
+    A phrase is found by its anchor: its first 16, 8, 4, 2 or 1 characters,
+    whatever its length allows. Every text position gives one hash per anchor
+    size in use; where a hash is known, the text is cut to the lengths of the
+    phrases behind it, and those pieces are looked up as a whole. The work is
+    linear in the text, and no text meets more phrases than it contains.
+    Copies of a text are searched once, only hashes are shuffled, and the few
+    positions that hit fetch their text again.
     """
     table = phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("piece")).distinct()
-    lengths = [r[0] for r in table.select(F.length("piece")).distinct().collect()]
-    if not lengths:
+    size = F.length("piece")
+    anchor_size = F.lit(ANCHORS[0])
+    for n in ANCHORS[1:]:
+        anchor_size = F.when(size >= n, n).otherwise(anchor_size)
+    # One row per anchor size.
+    known = table.groupBy(anchor_size.alias("q")).agg(F.max(size).alias("longest")).collect()
+    if not known:
         return df
-    keyed = df.withColumn("_text_key", F.sha2(_search_text(columns), 256))
-    texts = df.select(_search_text(columns).alias("text")).withColumn("_text_key", F.sha2("text", 256))
-    # Pieces are cut from short overlapping chunks: cutting a long text directly
-    # would walk it from the start for every piece.
-    longest = max(lengths)
-    offsets = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(chunk))
-    chunks = texts.select("_text_key", F.explode(offsets).alias("at"), "text").select(
-        "_text_key", F.col("text").substr(F.col("at"), F.lit(chunk + longest - 1)).alias("part")
+    overlap = max(0, max(r.longest for r in known) - 1)
+    anchors = table.groupBy(F.xxhash64(F.left("piece", anchor_size)).alias("anchor")).agg(
+        F.collect_set(size).alias("lengths")
     )
 
-    def pieces(n: int) -> Column:
-        # Every start inside the chunk; pieces that run over the text's end come out short and match nothing else.
-        starts = F.sequence(F.lit(1), F.greatest(F.least(F.length("part") - n + 1, F.lit(chunk)), F.lit(1)))
-        return F.transform(starts, lambda i: F.col("part").substr(i, F.lit(n)))
-
-    cut = F.array_distinct(F.flatten(F.array(*[pieces(n) for n in lengths])))
-    candidates = chunks.select("_text_key", F.explode(cut).alias("piece")).distinct()
-    hit = join_lookup(candidates, table, ["piece"], "left_semi").select("_text_key").distinct()
+    text = _search_text(columns)
+    keyed = df.withColumn("_text_key", F.sha2(text, 256))
+    texts = df.select(F.sha2(text, 256).alias("_text_key"), text.alias("part")).dropDuplicates(["_text_key"])
+    # Cutting walks a text from its start, so long texts are cut to blocks first.
+    blocks = _cut(texts, ["_text_key"], "block", BLOCK, overlap)
+    chunks = _cut(blocks, ["_text_key", "block"], "chunk", chunk, overlap)
+
+    starts = F.sequence(F.lit(1), F.greatest(F.least(F.length("part"), F.lit(chunk)), F.lit(1)))
+    part = F.col("part")
+
+    def hashed(q: int) -> Column:
+        return F.transform(
+            starts, lambda i: F.struct(i.alias("at"), F.xxhash64(part.substr(i, F.lit(q))).alias("anchor"))
+        )
+
+    hashes = F.flatten(F.array(*[hashed(r.q) for r in known]))
+    place = ["_text_key", "block", "chunk"]
+    positions = chunks.select(*place, F.explode(hashes).alias("p")).select(*place, "p.*")
+    found = join_lookup(positions, anchors, ["anchor"]).join(chunks, place)
+    pieces = found.select(
+        "_text_key", F.explode(F.transform("lengths", lambda n: part.substr(F.col("at"), n))).alias("piece")
+    )
+    hit = join_lookup(pieces, table, ["piece"], "left_semi").select("_text_key").distinct()
     return keyed.join(hit, ["_text_key"], "left_anti").drop("_text_key")
 
 
+def _cut(df: DataFrame, keep: Sequence[str], name: str, size: int, overlap: int) -> DataFrame:
+    """Texts in column ``part`` cut to overlapping parts, numbered as ``name``."""
+    offsets = F.sequence(F.lit(1), F.greatest(F.length("part"), F.lit(1)), F.lit(size))
+    cut = df.select(*keep, "part", F.posexplode(offsets).alias(name, "_offset"))
+    return cut.withColumn("part", F.col("part").substr(F.col("_offset"), F.lit(size + overlap))).drop("_offset")
+
+
 def keep_templates(df: DataFrame, skip: Sequence[str] = ("site:reddit.com",), column: str = "template") -> DataFrame:
     """Query templates that start with none of the given prefixes."""
     bare = X.ws_trim(F.col(column))

@@ -22,8 +22,8 @@ def test_exclusion(spark, as_table):
     assert sorted(r.n for r in M.exclude_phrases(df, phrases).collect()) == [1, 4]
 
 
-@pytest.mark.parametrize("chunk", [7, 256])
-def test_phrase_table_equals_substring_search(spark, chunk):
+@pytest.mark.parametrize("chunk", [7, 64])
+def test_phrase_table_equals_substring_search(spark, chunk, monkeypatch):
     """Whole documents against phrases of many lengths, by joins and by plain search."""
     docs = V.table(spark, SF, "documents").select("doc_id", F.lit("Title").alias("title"), F.col("text").alias("summary"))
     texts = {r.doc_id: f"title {r.summary}".lower() for r in docs.collect()}
@@ -32,6 +32,7 @@ def test_phrase_table_equals_substring_search(spark, chunk):
     phrases = {p for p in phrases if len(p) > 5} | {"title de", "nowhere to be found", "é"}
     table = spark.createDataFrame([(p.upper() if "ß" not in p else p,) for p in phrases] + [(None,)], "phrase STRING")
     want = sorted(n for n, t in texts.items() if not any(p in t for p in phrases))
+    monkeypatch.setattr(M, "BLOCK", 1000)
     got = M.exclude_phrase_table(docs, table, chunk=chunk)
     assert sorted(r.doc_id for r in got.collect()) == want
     assert 0 < len(want) < len(texts)
@@ -40,11 +41,20 @@ def test_phrase_table_equals_substring_search(spark, chunk):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_large_phrase_tables_take_the_join(spark, monkeypatch):
-    monkeypatch.setattr(M, "INLINE_PHRASES", 2)
+@pytest.mark.parametrize("way", ["inline", "automaton", "joins", "no package"])
+def test_every_size_of_phrase_table_gives_the_same(spark, monkeypatch, way):
+    monkeypatch.setattr(M, "INLINE_PHRASES", 64 if way == "inline" else 2)
+    if way == "joins":
+        monkeypatch.setattr(M, "fits_broadcast", lambda df: False)
+    if way == "no package":
+        monkeypatch.setattr(M, "ahocorasick", None)
     df = spark.createDataFrame([(n, f"text {n}", "") for n in range(6)], "n INT, title STRING, summary STRING")
-    phrases = spark.createDataFrame([("text 1",), ("XT 3",), ("text 9",)], "phrase STRING")
-    assert sorted(r.n for r in M.exclude_phrases(df, phrases).collect()) == [0, 2, 4, 5]
+    phrases = spark.createDataFrame([("text 1",), ("XT 3",), ("text 9",), (None,)], "phrase STRING")
+    kept = M.exclude_phrases(df, phrases)
+    assert sorted(r.n for r in kept.collect()) == [0, 2, 4, 5]
+    assert ("ArrowEvalPython" in plan_of(kept)) == (way == "automaton")
+    nothing = M.exclude_phrases(df, phrases.unionByName(spark.createDataFrame([("",)], "phrase STRING")))
+    assert nothing.count() == 0
 
 
 def test_first_per_url(spark):

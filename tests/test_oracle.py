@@ -11,7 +11,8 @@ import __spark_entry__ as entry_module
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
-SCORING = {"score_posts", "opportunities"}
+# Scorers, and the search for many phrases in one pass.
+PYTHON = {"score_posts", "opportunities", "digest_opportunities", "join_exclude_anti"}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def test_query(spark, con, name):
     plan = plan_of(frames[0])
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "MapInPandas" not in plan
-    assert ("ArrowEvalPython" in plan) <= (name in SCORING or name.startswith("digest_opp"))
+    assert ("ArrowEvalPython" in plan) <= (name in PYTHON)
 
 
 def test_names():
@@ -48,7 +49,7 @@ def test_library_collects_nothing_unbounded():
     """Driver reads are single rows, or lists that were limited or counted before."""
     allowed = {
         "operators/keyed.py": 2,  # largest group, size check
-        "operators/mentions.py": 2,  # phrases up to the inline limit, phrase lengths
+        "operators/mentions.py": 3,  # phrases up to the inline limit or of a checked size, anchor sizes
         "sources/archive.py": 1,  # date span of a batch
         "plans/digests.py": 1,  # largest digest
     }
