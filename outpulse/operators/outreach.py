@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from outpulse.functions import text as X
 from outpulse.operators.keyed import join_lookup, top_n_per
-from outpulse.session import cut_lineage
+from outpulse.session import store
 from outpulse.sources.landing import parse_reply_score
 
 # Limits of a run.
@@ -170,11 +170,10 @@ def score_until_full(
     Rows are scored stage by stage: ``stage`` is the leading order column,
     ``stages`` are ranges of its values, in order. A run that is full drops
     out of later stages. The rows to score and each stage's result (at most
-    ``n`` rows per run) are checkpointed, so nothing is searched or scored
-    twice.
+    ``n`` rows per run) are stored, so nothing is searched or scored twice.
     """
     keys = list(by)
-    df = cut_lineage(df)
+    df = store(df, "candidates")
     kept: DataFrame | None = None
     for values in stages:
         part = df.where(F.col(stage).between(values.start, values.stop - 1))
@@ -182,7 +181,7 @@ def score_until_full(
             full = kept.groupBy(*keys).count().where(F.col("count") >= n).select(*keys)
             part = join_lookup(part, full, keys, "left_anti")
         found = run_cap(qualify(score_posts(part, scorer, prompt), min_score), keys, order_by, n)
-        found = cut_lineage(found)
+        found = store(found, "stage")
         kept = found if kept is None else kept.unionByName(found)
     if kept is None:
         raise ValueError("no stages given")

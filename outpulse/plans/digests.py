@@ -20,7 +20,7 @@ from outpulse.operators import mentions as M
 from outpulse.operators import web as WEB
 from outpulse.operators.keyed import number_rows
 from outpulse.operators.traffic import archive_links
-from outpulse.session import cut_lineage
+from outpulse.session import store
 
 MESSAGE_LINES = 500
 # Bound of digests that are made of limited reports or of one reply.
@@ -159,7 +159,7 @@ def web_digest(
     first = F.col("place") == 1
     users = lambda name: _text("• ", name, ": ", whole("sessions"), " sessions (", whole("totalUsers"), " users)")
 
-    shared = {"gap": gap, "slots": cut_lineage(WEB.range_slots(hits, date_range, gap))}
+    shared = {"gap": gap, "slots": store(WEB.range_slots(hits, date_range, gap), "slots")}
     head = WEB.overview(hits, date_range, **shared)
     devices = WEB.devices(hits, date_range, **shared).withColumn(
         "shown", _text(F.col("deviceCategory"), ": ", whole("sessions"))
@@ -239,7 +239,7 @@ def mention_digest(
     The header counts every mention; only configured keywords are listed.
     """
     by = list(by)
-    mentions = cut_lineage(mentions)
+    mentions = store(mentions, "mentions")
     total = F.col("total")
     counts = M.sentiment_counts(mentions, by)
     head = _section(

@@ -48,8 +48,19 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/outpulse/{name}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Rows written once as a table in the shared folder, for plans that read them several times.
+
+    Readers prune its columns, know its size and survive the loss of any
+    executor.
+    """
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
+    """Reliable checkpoint, which also fixes the partitions and their order."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
