@@ -230,14 +230,15 @@ def _all_posts(spark, sf):
         "campaign", "keyword", "hit_pos", X.url_base(F.col("link")).alias("url"),
         X.url_segment(F.col("link")).alias("subreddit"), X.title_clean(F.col("title")).alias("title"), "snippet",
     )
-    threads = L.read_threads(V.landed_thread_urls(spark, sf), keep=("url", "page")).where("page = 0").drop("page")
-    return O.attach_threads(posts, threads)
+    threads = L.read_threads(V.landed_thread_urls(spark, sf), keep=("url", "page"))
+    return O.attach_threads(posts, K.first_per_key(threads, ["url"], ["page"]).drop("page"))
 
 
 ALL_POSTS = f"""
 SELECT p.*, CASE WHEN t.selftext IS NULL THEN snippet WHEN t.selftext = '[removed]' THEN left(snippet, 2000)
                  ELSE left(t.selftext, 2000) END AS body, coalesce(t.comments, []) AS comments
-FROM ({POST}) p LEFT JOIN (SELECT * FROM v_threads WHERE page = 0) t ON t.conv_id = p.hit_pos"""
+FROM ({POST}) p LEFT JOIN (
+  SELECT * FROM v_threads QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY page) = 1) t ON t.conv_id = p.hit_pos"""
 PROMPTS = f"""
 SELECT *, subreddit || chr(10) || title || chr(10) || CASE WHEN body = '' THEN '(no body text)' ELSE body END || chr(10)
        || CASE WHEN len(comments) = 0 THEN '(no comments)' ELSE '- ' || array_to_string(comments, chr(10) || '- ') END

@@ -429,9 +429,16 @@ def agg_lines(spark, sf):
     return G.messages(repo_digest_lines(spark, sf), ["repo"], size=8)
 
 
-@query("digest_payload")
+@query(
+    "digest_payload",
+    f"""
+SELECT repo, 1 AS part, 'stats' AS channel, string_agg(line, chr(10) ORDER BY line_no) AS text, true AS mrkdwn
+FROM ({REPO_DIGEST}) GROUP BY repo""",
+)
 def digest_payload(spark, sf):
     path = run_dir(spark, "payload")
     text = G.messages(repo_digest_lines(spark, sf), ["repo"])
     G.write_digest(G.digest_payload(text, ["repo"], "stats"), path)
-    return spark.read.schema("repo STRING, part BIGINT, payload STRING").json(path)
+    written = spark.read.schema("repo STRING, part BIGINT, payload STRING").json(path)
+    body = F.from_json("payload", "channel STRING, text STRING, mrkdwn BOOLEAN")
+    return written.select("repo", "part", body.alias("body")).select("repo", "part", "body.*")

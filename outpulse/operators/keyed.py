@@ -136,11 +136,11 @@ def join_lookup(
     on = list(on)
     if rows <= BROADCAST_ROWS if rows is not None else fits_broadcast(table):
         return df.join(F.broadcast(table), on, how)
-    return _salted_join(df, table, on, how, salts)
+    return salted_join(df, table, on, how, salts)
 
 
-def _salted_join(df: DataFrame, table: DataFrame, on: list[str], how: str, salts: int) -> DataFrame:
-    # The salt only spreads rows: every salt finds all lookup rows.
+def salted_join(df: DataFrame, table: DataFrame, on: list[str], how: str, salts: int) -> DataFrame:
+    """Join that spreads every key of ``df`` over ``salts`` tasks; each salt finds all rows of ``table``."""
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts).cast("bigint"))
     salts_of = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     copies = table.withColumn("_salt", F.explode(salts_of))

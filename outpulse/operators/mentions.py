@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from outpulse.functions import dates as D
 from outpulse.functions import text as X
-from outpulse.operators.keyed import first_per_key, fits_broadcast, join_lookup, number_rows
+from outpulse.operators.keyed import first_per_key, fits_broadcast, join_lookup, number_rows, salted_join
 
 try:
     import ahocorasick
@@ -153,7 +153,8 @@ def exclude_phrase_table(
         "_text_key", F.explode(F.transform("lengths", lambda n: part.substr(F.col("at"), n))).alias("piece")
     )
     hit = join_lookup(pieces, table, ["piece"], "left_semi").select("_text_key").distinct()
-    return keyed.join(hit, ["_text_key"], "left_anti").drop("_text_key")
+    # Copies of one text share a key, so the rows of a key are spread.
+    return salted_join(keyed, hit, ["_text_key"], "left_anti").drop("_text_key")
 
 
 def _cut(df: DataFrame, keep: Sequence[str], name: str, size: int, overlap: int) -> DataFrame:

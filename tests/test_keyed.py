@@ -63,7 +63,7 @@ def test_salted_join_equals_the_plain_join(spark, how):
     df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 17).alias("k"), "id")
     table = spark.range(0, 10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     plain = df.join(table, ["k"], how)
-    assert sorted(K._salted_join(df, table, ["k"], how, 8).collect()) == sorted(plain.collect())
+    assert sorted(K.salted_join(df, table, ["k"], how, 8).collect()) == sorted(plain.collect())
     assert sorted(K.join_lookup(df, table, ["k"], how).collect()) == sorted(plain.collect())
 
 

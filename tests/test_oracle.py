@@ -37,8 +37,7 @@ def test_query(spark, con, name):
 
 
 def test_names():
-    assert SQL.keys() <= QUERIES.keys()
-    assert len(QUERIES) - len(SQL) <= 1
+    assert SQL.keys() == QUERIES.keys()
 
 
 def test_entry(spark):
