@@ -139,7 +139,7 @@ def join_lookup(
     return salted_join(df, table, on, how, salts)
 
 
-def salted_join(df: DataFrame, table: DataFrame, on: list[str], how: str, salts: int) -> DataFrame:
+def salted_join(df: DataFrame, table: DataFrame, on: list[str], how: str, salts: int = SALTS) -> DataFrame:
     """Join that spreads every key of ``df`` over ``salts`` tasks; each salt finds all rows of ``table``."""
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts).cast("bigint"))
     salts_of = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
