@@ -312,4 +312,6 @@ lined AS (
 SELECT monitor, row_number() OVER (PARTITION BY monitor ORDER BY section, k0, k1, k2, part) AS line_no, line FROM lined""",
 )
 def digest_mentions(spark, sf):
-    return G.mention_digest(collected(spark, sf), ORDERED, "Jan 31, 2024", ("kw_rank", "src_rank", "page", "pos"))
+    arrival = ("kw_rank", "src_rank", "page", "pos")
+    tenants = V.landed_replies(spark, sf)
+    return G.mention_digest(collected(spark, sf), ORDERED, "Jan 31, 2024", arrival, tenants=tenants)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from outpulse.catalog import views as V
@@ -11,6 +13,7 @@ from outpulse.functions import dates as D
 from outpulse.operators import keyed as K
 from outpulse.operators import traffic as TR
 from outpulse.plans import charts as C
+from outpulse.plans import collect as P
 from outpulse.plans import digests as G
 from outpulse.schemas import ARCHIVES
 from outpulse.session import run_dir
@@ -39,6 +42,23 @@ def src_traffic_json(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "src_traffic_totals",
+    """
+SELECT 'views' AS kind, repo, date_diff('day', DATE '2024-01-01', date) // 14 AS block,
+       CAST(sum(views) AS BIGINT) AS count, CAST(sum(unique_visitors) AS BIGINT) AS uniques FROM v_views GROUP BY ALL
+UNION ALL
+SELECT 'clones', repo, date_diff('day', DATE '2024-01-01', date) // 14, CAST(sum(clones) AS BIGINT),
+       CAST(sum(unique_cloners) AS BIGINT) FROM v_clones GROUP BY ALL""",
+)
+def src_traffic_totals(spark, sf):
+    parts = [
+        L.read_traffic_totals(V.landed_traffic(spark, sf, kind), kind, keep=("repo", "block")).withColumn("kind", F.lit(kind))
+        for kind in L.TRAFFIC_NAMES
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "src_popular_json",
     """
@@ -238,6 +258,36 @@ def dedupe_by_date(spark, sf):
     return TR.one_per_date(V.refiled_stats(spark, sf), "repo_stats")
 
 
+@query(
+    "collect_traffic",
+    f"""
+SELECT *, '{V.ORDERS_AS_OF:%Y_%m}' AS archive_month FROM (
+  SELECT 'views' AS kind, repo, date AS day, NULL AS name, views AS n FROM v_views UNION ALL
+  SELECT 'clones', repo, date, NULL, clones FROM v_clones UNION ALL
+  SELECT 'referrers', repo, fetched_date, referrer, views FROM v_referrers UNION ALL
+  SELECT 'paths', repo, fetched_date, path, views FROM v_paths UNION ALL
+  SELECT 'repo_stats', repo, date, NULL, stars FROM v_repo_stats)""",
+)
+def collect_traffic(spark, sf):
+    """Every landed reply of all five datasets in one run."""
+    root = run_dir(spark, "collect")
+    replies = {kind: V.landed_traffic(spark, sf, kind) for kind in L.TRAFFIC_NAMES}
+    replies |= {kind: V.landed_popular(spark, sf, kind) for kind in L.POPULAR_NAMES}
+    replies["repo_stats"] = V.landed_info(spark, sf)
+    P.collect_traffic(spark, root, replies, V.ORDERS_AS_OF, F.col("run_date"))
+    parts = []
+    for kind, spec in ARCHIVES.items():
+        name = F.col(L.POPULAR_NAMES[kind]) if kind in L.POPULAR_NAMES else F.lit(None).cast("string")
+        count = next(c for c in spec.fields if c not in spec.keys)
+        parts.append(
+            A.read_archive(spark, root, kind).select(
+                F.lit(kind).alias("kind"), "repo", F.col(spec.date).alias("day"), name.alias("name"),
+                F.col(count).alias("n"), "archive_month",
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # Series, sums and rankings
 
 DAILY = """

@@ -1,21 +1,61 @@
-"""Whole flows: collecting mentions and finding opportunities."""
+"""Whole flows: collecting traffic, collecting mentions, finding opportunities."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outpulse.operators import mentions as M
 from outpulse.operators import outreach as O
 from outpulse.operators.keyed import first_per_key, join_lookup, unseen
-from outpulse.sources.landing import parse_reply_array, read_listing
+from outpulse.schemas import ARCHIVES
+from outpulse.sources.archive import update_archive
+from outpulse.sources.landing import (
+    POPULAR_NAMES,
+    TRAFFIC_NAMES,
+    parse_reply_array,
+    read_listing,
+    read_popular,
+    read_repo_info,
+    read_traffic,
+)
 
 ARRIVAL = ("kw_rank", "src_rank", "hit_rank")
 
 
+def collect_traffic(
+    spark: SparkSession,
+    root: str,
+    replies: Mapping[str, DataFrame],
+    as_of: date,
+    stamp: Column | None = None,
+    scope: str = "all",
+) -> dict[str, int]:
+    """Archive one run's landed replies and return the rows added per dataset.
+
+    ``replies`` maps datasets to ``(repo, payload)``; snapshots are stamped
+    with ``as_of`` unless the replies carry their own ``stamp``. Repeating a
+    run adds nothing.
+    """
+    day = F.lit(as_of) if stamp is None else stamp
+    added = {}
+    for kind, df in replies.items():
+        if kind in TRAFFIC_NAMES:
+            rows = read_traffic(df, kind).withColumnRenamed("pos", "_seq")
+        elif kind in POPULAR_NAMES:
+            rows = read_popular(df, kind, day).withColumnRenamed("pos", "_seq")
+        else:
+            rows = read_repo_info(df, day).withColumn("_seq", F.lit(0))
+        # Rows that only differ in their counts are ordered by them, so that "first" is the same in every run.
+        counts = [c for c in ARCHIVES[kind].fields if c not in ARCHIVES[kind].keys]
+        added[kind] = update_archive(spark, root, kind, rows, as_of, ["_seq", *counts], scope)
+    return added
+
+
 def collect_mentions(
     posts: DataFrame,
     comments: DataFrame,

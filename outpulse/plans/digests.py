@@ -232,18 +232,23 @@ def mention_digest(
     today: str,
     arrival: Sequence[str] = ("kw_rank", "src_rank", "hit_rank"),
     by: Sequence[str] = ("monitor",),
+    tenants: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Mention digest: header counts, then keyword, source and item lines in keyword order.
 
     The header counts every mention; only configured keywords are listed.
+    ``tenants`` names all monitors, so that one without mentions says so.
     """
     by = list(by)
     mentions = store(mentions, "mentions")
     total = F.col("total")
     counts = M.sentiment_counts(mentions, by)
+    headed = counts
+    if tenants is not None:
+        headed = tenants.select(*by).distinct().join(counts, by, "left").fillna(0)
     head = _section(
-        counts, by, 0,
+        headed, by, 0,
         [
             F.lit(f"*Web Mentions — {today}*"),
             _text(
@@ -252,6 +257,7 @@ def mention_digest(
                 M.SENTIMENT_ICONS["neutral"] + " ", F.col("neutral"), "  ",
                 M.SENTIMENT_ICONS["negative"] + " ", F.col("negative"), "_",
             ),
+            F.when(total == 0, F.lit("\nNo relevant mentions found today.")),
         ],
     )
 
@@ -283,16 +289,6 @@ def mention_digest(
     return _number([head, keyword_lines, source_lines, item_lines], by, largest, **options)
 
 
-def empty_mention_digest(keywords: Sequence[str], today: str) -> str:
-    """Text of a run without any mention."""
-    icons = M.SENTIMENT_ICONS
-    counts = f"{icons['positive']} 0  {icons['neutral']} 0  {icons['negative']} 0"
-    return (
-        f"*Web Mentions — {today}*\n_keywords: {', '.join(keywords)} · 0 mentions · {counts}_\n"
-        "\nNo relevant mentions found today."
-    )
-
-
 def opportunity_digest(
     results: DataFrame,
     runs: DataFrame,

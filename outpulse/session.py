@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -27,6 +28,11 @@ def local_session(cores: int | str = "*", app: str = "outpulse", **conf: str) ->
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="outpulse-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -38,9 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
-    path = tempfile.mkdtemp(prefix="outpulse-")
-    spark.conf.set(CHECKPOINT_CONF, path)
-    return path
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

@@ -4,6 +4,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from outpulse.operators import traffic as TR
+from outpulse.plans.collect import collect_traffic
 from outpulse.session import run_dir
 from outpulse.sources import archive as A
 
@@ -77,3 +78,24 @@ def test_sums_skip_missing_keys_only(spark):
     assert got == {"NA": 6, "": 3}
     top = TR.top_keys(TR.sum_by(df, "referrer"), "referrer", n=1)
     assert "TakeOrderedAndProject" in plan_of(top)
+
+
+def test_a_daily_run_can_be_repeated(spark):
+    root, day = run_dir(spark, "t"), date(2026, 4, 5)
+    point = '{"timestamp": "2026-04-%02dT00:00:00Z", "count": 5, "uniques": 2}'
+
+    def landed(payload):
+        return spark.createDataFrame([("o/r", payload)], "repo STRING, payload STRING")
+
+    replies = {
+        "views": landed('{"views": [' + ", ".join(point % d for d in (3, 4, 4)) + "]}"),
+        "clones": landed("{}"),
+        "referrers": landed('[{"referrer": "a", "count": 3, "uniques": 1}]'),
+        "paths": landed("null"),
+        "repo_stats": landed('{"stargazers_count": 9, "forks_count": 1, "subscribers_count": 2, "open_issues_count": 3}'),
+    }
+    want = {"views": 2, "clones": 0, "referrers": 1, "paths": 0, "repo_stats": 1}
+    assert collect_traffic(spark, root, replies, day) == want
+    assert collect_traffic(spark, root, replies, day) == dict.fromkeys(want, 0)
+    assert collect_traffic(spark, root, replies, date(2026, 4, 6)) == {**dict.fromkeys(want, 0), "referrers": 1, "repo_stats": 1}
+    assert A.read_archive(spark, root, "clones").count() == 0

@@ -42,10 +42,14 @@ def test_mention_digest_text(spark):
         assert len(parts) > 2 and "\n".join(r.message for r in parts) == TEXT
 
 
-def test_empty_mention_digest():
-    assert G.empty_mention_digest(["a", "b"], "today") == (
-        "*Web Mentions — today*\n_keywords: a, b · 0 mentions · :large_green_circle: 0  :white_circle: 0  :red_circle: 0_\n"
-        "\nNo relevant mentions found today."
+def test_a_monitor_without_mentions_says_so(spark):
+    tenants = spark.createDataFrame([("m",), ("quiet",)], "monitor STRING")
+    lines = G.mention_digest(spark.createDataFrame(ROWS, MENTIONS), ["a", "b", "c"], "Apr 05, 2026", tenants=tenants)
+    text = {r.monitor: r.message for r in G.messages(lines, ["monitor"]).collect()}
+    assert text["m"] == TEXT
+    assert text["quiet"] == (
+        "*Web Mentions — Apr 05, 2026*\n_keywords: a, b, c · 0 mentions · :large_green_circle: 0  :white_circle: 0  "
+        ":red_circle: 0_\n\nNo relevant mentions found today."
     )
 
 
