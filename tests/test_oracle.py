@@ -7,10 +7,10 @@ import pytest
 from conftest import plan_of
 from oracle import compare, connect
 
-import __spark_entry__ as entry_module
+
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+from outpulse.catalog import QUERIES, SQL  # noqa: E402
 # Scorers, and the search for many phrases in one pass.
 PYTHON = {"score_posts", "opportunities", "digest_opportunities", "join_exclude_anti"}
 
