@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpulse.llm import repeats
+from outpulse.llm import chat, mixing, near, repeats
 from outpulse.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]
@@ -15,3 +15,22 @@ __all__ = ["QUERIES", "SQL"]
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     kept = repeats.remove_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_minhash_near_dedup")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return near.near_groups(table(spark, sf, "documents")).drop("rid")
+
+
+@query("op3_preference_pairs", chat.PAIRS_SQL)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.preference_pairs(chat.swapped_replies(table(spark, sf, "conversations")))
+
+
+@query(
+    "op4_mix_sources",
+    "WITH " + mixing.MIX_SQL.format(docs="documents", seed="mix")
+    + " SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed",
+)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
