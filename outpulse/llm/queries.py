@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpulse.llm import chat, mixing, near, repeats
+from outpulse.llm import chat, licenses, mixing, near, quality, repeats, secrets
 from outpulse.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]
@@ -34,3 +34,19 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf, "documents")))
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf, "documents")))
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    scored = quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
