@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpulse.llm import chat, licenses, mixing, near, quality, repeats, secrets
+from outpulse.llm import ann, chat, licenses, mixing, near, quality, repeats, secrets
 from outpulse.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]
@@ -50,3 +50,9 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     scored = quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op6_nearest_neighbours")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
