@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpulse.llm import ann, chat, licenses, mixing, near, quality, repeats, secrets
+from outpulse.llm import ann, chat, licenses, lm, mixing, near, quality, repeats, secrets
 from outpulse.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]
@@ -56,3 +56,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op8_lattice_lm")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"))
