@@ -87,8 +87,34 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select(F.when(~F.col("_n"), F.col("_s")).alias("source"), F.col("lo").alias("cut"), last.alias("last"))
 
 
+def _sized(docs: DataFrame, seed: str) -> DataFrame:
+    count = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
+    return docs.withColumn("_seed", F.lit(seed)).withColumns({"_size": count, "_h": hash60("_seed", "doc_id", "text")}).drop("_seed")
+
+
+def plan(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """One row per source of (source, size, h): its size and target, and which hashes are taken how often."""
+    full = targets(sizes, weights).withColumn(
+        "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    )
+    full = store(full.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
+    cuts = thresholds(sizes, full.where("budget > 0").select("source", "budget"))
+    found = full.join(cuts, full["source"].eqNullSafe(cuts["source"]), "left").select(
+        F.coalesce(full["source"], F.lit("")).alias("_s"), full["source"].isNull().alias("_n"), "source_size", "target",
+        "whole", "cut", "last",
+    )
+    return store(found, "mix-plan")
+
+
+def _taken(rows: DataFrame, planned: DataFrame, h: str) -> DataFrame:
+    """``rows`` with the plan's columns and ``copies``."""
+    rows = rows.withColumns({"_s": F.coalesce("source", F.lit("")), "_n": F.col("source").isNull()})
+    once_more = F.coalesce((F.col(h) < F.col("cut")) | ((F.col(h) == F.col("cut")) & F.col("last")), F.lit(False))
+    return join_lookup(rows, planned, ["_s", "_n"]).withColumn("copies", (F.col("whole") + once_more.cast("long")).cast("long"))
+
+
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken, h) for every row of ``docs`` (doc_id, text, source).
+    """(doc_id, size, source_size, target, copies, taken) for every row of ``docs`` (doc_id, text, source).
 
     ``size`` counts words (null text: 0). A source whose target is n times its
     size plus a rest gives every document n times, and once more those whose
@@ -97,26 +123,17 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     null source is a source of its own; sources without words have target 0;
     an empty table gives no rows.
     """
-    count = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    rows = store(
-        docs.withColumn("_seed", F.lit(seed)).select("doc_id", "source", count.alias("size"), hash60("_seed", "doc_id", "text").alias("h")),
-        "mix-sizes",
-    )
-    full = targets(rows, weights).withColumn(
-        "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    )
-    full = store(full.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    cuts = thresholds(rows, full.where("budget > 0").select("source", "budget"))
-    plan = full.join(cuts, full["source"].eqNullSafe(cuts["source"]), "left").select(
-        F.coalesce(full["source"], F.lit("")).alias("_s"), full["source"].isNull().alias("_n"), "source_size", "target",
-        "whole", "cut", "last",
-    )
-    rows = rows.select(F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_n"), "doc_id", "size", "h")
-    once_more = F.coalesce((F.col("h") < F.col("cut")) | ((F.col("h") == F.col("cut")) & F.col("last")), F.lit(False))
-    copies = (F.col("whole") + once_more.cast("long")).cast("long")
-    return join_lookup(rows, store(plan, "mix-plan"), ["_s", "_n"]).select(
-        "doc_id", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), "h"
-    )
+    rows = store(_sized(docs, seed).select("doc_id", "source", F.col("_size").alias("size"), F.col("_h").alias("h")), "mix-sizes")
+    taken = _taken(rows, plan(rows, weights), "h")
+    return taken.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """``docs``' rows that the mix of :func:`mix` takes, with ``copies``, how often; the texts are not shuffled."""
+    rows = _sized(docs, seed)
+    sizes = store(rows.select("source", F.col("_size").alias("size"), F.col("_h").alias("h")), "mix-sizes")
+    taken = _taken(rows, plan(sizes, weights), "_h")
+    return taken.where("copies > 0").select(*[F.col(c) for c in docs.columns], "copies")
 
 
 #: The same mix for DuckDB, from a table ``{docs}`` with doc_id, text and source.

@@ -244,3 +244,17 @@ def score(measured: DataFrame, model: Model | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found)], [*kept, "score"])
 
     return measured.mapInArrow(apply, ", ".join(f"`{c}` {t}" for c, t in measured.dtypes if c != "x") + ", score double")
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs``' rows whose text the model does not reject, all columns as they are; one pass, no shuffle."""
+    if model is None:
+        return docs
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                raw = _raw(model, statistics(piece.column("text")))
+                yield piece.filter(pa.array(np.interp(raw, model.knots, model.chances) >= KEEP))
+
+    return docs.mapInArrow(choose, docs.schema)

@@ -25,7 +25,7 @@ CONTEXT = 256
 #: Characters between a sensitive word and the string.
 REACH = 40
 #: Marginal bytes a character from which a string counts as incompressible.
-NOVEL = 0.55
+NOVEL = 0.7
 SHORTEST = 12
 
 _ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
