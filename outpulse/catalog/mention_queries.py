@@ -67,13 +67,13 @@ def filt_exclude(spark, sf):
     f"""
 SELECT * FROM ({TITLED}) d
 WHERE NOT EXISTS (SELECT 1 FROM benchmark b, unnest(string_split(b.text, '.')) s(sentence)
-                  WHERE length(trim(sentence, {WS})) >= 12
+                  WHERE trim(sentence, {WS}) <> ''
                     AND contains(lower(d.title || ' ' || d.summary), lower(trim(sentence, {WS}))))""",
 )
 def join_exclude_anti(spark, sf):
     """The phrase table are the sentences of the benchmark passages."""
     sentences = V.table(spark, sf, "benchmark").select(F.explode(F.split("text", r"\.")).alias("sentence"))
-    phrases = sentences.select(X.ws_trim(F.col("sentence")).alias("phrase")).where(F.length("phrase") >= 12)
+    phrases = sentences.select(X.ws_trim(F.col("sentence")).alias("phrase")).where("phrase <> ''")
     return M.exclude_phrases(_titled(spark, sf), phrases)
 
 

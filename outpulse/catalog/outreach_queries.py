@@ -332,14 +332,21 @@ def opportunities_staged(spark, sf):
 
 @query(
     "agg_run_counts",
-    """
-SELECT campaign, coalesce(results, 0) AS results, searches
-FROM (SELECT campaign, 75 AS searches FROM v_cursors)
-LEFT JOIN (SELECT campaign, count(*) AS results FROM v_candidates GROUP BY ALL) USING (campaign)""",
+    f"""
+WITH qualified AS (
+  SELECT campaign, batch_pos * 1000 + kw_pos AS place FROM v_scored WHERE relevance_score >= 6 AND suggested_comment <> ''),
+steps AS (
+  SELECT campaign, (batch_no - 1) * 1000 + kw - 1 AS place
+  FROM v_cursors, unnest(range(1, {PER_RUN + 1})) b(batch_no), unnest(range(1, {len(V.BATCHES[1]) + 1})) k(kw))
+SELECT campaign, (SELECT least(10, count(*)) FROM qualified q WHERE q.campaign = steps.campaign) AS results,
+       count_if((SELECT count(*) FROM qualified q WHERE q.campaign = steps.campaign AND q.place < steps.place) < 10)::BIGINT
+         AS searches
+FROM steps GROUP BY campaign""",
 )
 def agg_run_counts(spark, sf):
+    """A keyword is searched while the keywords before it gave fewer than ten qualified posts."""
     searched = O.expand_batches(V.cursors(spark, sf), V.BATCHES, PER_RUN)
-    return O.run_counts(_candidates(spark, sf), searched, ["campaign"])
+    return O.run_counts(_opportunities(spark, sf), searched, ["campaign"])
 
 
 @query(

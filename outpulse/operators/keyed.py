@@ -47,7 +47,7 @@ def append_new(
     Keys compare null-safely, so a NULL key is appended once.
     """
     fresh = first_per_key(incoming, keys, order_by)
-    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
     return fresh.join(known, same, "left_anti")
 
@@ -60,7 +60,7 @@ def new_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
 def unseen(df: DataFrame, seen: DataFrame, order_by: Sequence[str | Column], by: Sequence[str] = ()) -> DataFrame:
     """First row per URL, without the URLs of the seen store."""
     keys = [*by, "url"]
-    return first_per_key(df, keys, order_by).join(seen.select(*keys).distinct(), keys, "left_anti")
+    return first_per_key(df, keys, order_by).join(seen.select(*keys), keys, "left_anti")
 
 
 def number_rows(

@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outpulse.functions import dates as D
 from outpulse.functions import text as X
-from outpulse.operators.keyed import first_per_key, fits_broadcast, join_lookup, number_rows, salted_join
-
-try:
-    import ahocorasick
-except ImportError:  # the joins do the same work
-    ahocorasick = None
+from outpulse.operators.keyed import first_per_key, join_lookup, number_rows, salted_join
 
 INLINE_PHRASES = 64
 CHUNK = 64
@@ -63,8 +57,7 @@ def exclude_phrases(
     """Drop rows whose lower-cased text contains any phrase.
 
     A phrase list, or a phrase table of up to 64 rows, becomes one predicate
-    per phrase inside the scan stage. A table that passes the broadcast check
-    is searched for in one pass per text. Anything larger goes through
+    per phrase inside the scan stage. Anything larger goes through
     :func:`exclude_phrase_table`.
     """
     text = _search_text(columns)
@@ -72,34 +65,13 @@ def exclude_phrases(
         table = phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("phrase")).distinct()
         few = [r.phrase for r in table.limit(INLINE_PHRASES + 1).collect()]
         if len(few) > INLINE_PHRASES:
-            if ahocorasick is None or not fits_broadcast(table):
-                return exclude_phrase_table(df, phrases, columns)
-            return df.where(~_contains_any([r.phrase for r in table.collect()])(text))
+            return exclude_phrase_table(df, phrases, columns)
         phrases = few
     if not phrases:
         return df
     return df.where(~reduce(lambda a, b: a | b, [F.contains(text, F.lit(p.lower())) for p in phrases]))
 
 
-def _contains_any(phrases: Sequence[str]) -> Callable[[Column], Column]:
-    """Vectorised test for any of the phrases; each task builds the search automaton once."""
-    always = "" in phrases
-
-    @F.pandas_udf("boolean")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        search = ahocorasick.Automaton()
-        for phrase in phrases:
-            if phrase:
-                search.add_word(phrase, True)
-        search.make_automaton()
-        for texts in batches:
-            yield texts.map(lambda t: always or next(search.iter(t), None) is not None).astype(bool)
-
-    return found
-
-
 def exclude_phrase_table(
     df: DataFrame,
     phrases: DataFrame,

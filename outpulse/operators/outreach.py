@@ -20,6 +20,9 @@ BATCHES_PER_RUN = 2
 MAX_RESULTS = 10
 MIN_SCORE = 6
 
+#: Share of a batch's rows that may fail before the scorer counts as down.
+FAILED_SHARE = 0.5
+
 
 def rotate(cursor: Column, total: int, per_run: int = BATCHES_PER_RUN) -> tuple[Column, Column]:
     """Batch numbers of a run in order, and the cursor of the next run."""
@@ -51,8 +54,10 @@ def expand_batches(
 def first_results(
     hits: DataFrame, by: Sequence[str], order_by: Sequence[str | Column], n: int = RESULTS_PER_KEYWORD
 ) -> DataFrame:
-    """First search results per keyword, before any other filter."""
-    return top_n_per(hits, by, order_by, min(n, SEARCH_MAXIMUM))
+    """First search results per keyword, before any other filter; a search returns ten at most, so more is refused."""
+    if n > SEARCH_MAXIMUM:
+        raise ValueError(f"a search has at most {SEARCH_MAXIMUM} results, not {n}")
+    return top_n_per(hits, by, order_by, n)
 
 
 def posts_from_hits(hits: DataFrame) -> DataFrame:
@@ -119,23 +124,32 @@ def keyword_prompt(
 def score_posts(df: DataFrame, scorer: Callable[[pd.Series], pd.Series], prompt: str = "prompt") -> DataFrame:
     """Replies of a vectorised scorer (prompt text to reply JSON), parsed to score and comment.
 
-    A failing or unusable reply drops its row, not the job. The scorer is
-    marked non-deterministic so that no filter is pushed below it and it runs
-    once per row.
+    A batch that fails is scored again by halves, so rows of its sound halves
+    are paid for twice at most per level and a failing or unusable reply drops
+    its row, not the job. If more than ``FAILED_SHARE`` of a batch of four rows
+    or more fails, the scorer is taken to be down and the job fails. The scorer
+    is marked non-deterministic so that no filter is pushed below it.
     """
 
+    def halves(texts: pd.Series) -> list[str | None]:
+        try:
+            return list(scorer(texts))
+        except Exception:
+            if len(texts) <= 1:
+                return [None] * len(texts)
+            middle = len(texts) // 2
+            return halves(texts.iloc[:middle]) + halves(texts.iloc[middle:])
+
     @F.pandas_udf("string")
     def reply(texts: pd.Series) -> pd.Series:
-        def one(value: str) -> str | None:
-            try:
-                return scorer(pd.Series([value])).iloc[0]
-            except Exception:
-                return None
-
         try:
             return scorer(texts)
-        except Exception:
-            return texts.map(one)
+        except Exception as error:
+            replies = halves(texts)
+            failed = sum(r is None for r in replies)
+            if len(texts) >= 4 and failed > FAILED_SHARE * len(texts):
+                raise RuntimeError(f"the scorer failed for {failed} of {len(texts)} posts") from error
+            return pd.Series(replies, dtype=object)
 
     return parse_reply_score(df.withColumn("_reply", reply.asNondeterministic()(F.col(prompt))), "_reply")
 
@@ -188,10 +202,19 @@ def score_until_full(
     return run_cap(kept, keys, order_by, n)
 
 
-def run_counts(posts: DataFrame, searched: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Results found and keywords searched per run."""
-    searches = searched.groupBy(*by).agg(F.count("*").alias("searches"))
-    results = posts.groupBy(*by).agg(F.count("*").alias("results"))
-    return searches.join(results, list(by), "left").select(
-        *by, F.coalesce("results", F.lit(0)).alias("results"), "searches"
+def run_counts(
+    qualified: DataFrame, searched: DataFrame, by: Sequence[str], n: int = MAX_RESULTS,
+    place: Sequence[str] = ("batch_pos", "kw_pos"), within: Sequence[str] = ("hit_pos",),
+) -> DataFrame:
+    """What a run reports at its end: results kept, and keywords searched until it was full.
+
+    ``qualified`` are the posts with a sufficient score, ``searched`` all
+    keywords of the run, both with the keyword's ``place``. A run stops before
+    the keyword that follows its ``n``-th result.
+    """
+    kept = run_cap(qualified, by, [*place, *within], n)
+    ends = kept.groupBy(*by).agg(F.count("*").alias("results"), F.max(F.struct(*place)).alias("_last"))
+    needed = F.col("results").isNull() | (F.col("results") < n) | (F.struct(*place) <= F.col("_last"))
+    return searched.join(ends, list(by), "left").groupBy(*by).agg(
+        F.coalesce(F.max("results"), F.lit(0)).cast("long").alias("results"), F.count_if(needed).alias("searches")
     )

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,7 +99,16 @@ def sessions(hits: DataFrame, gap: int = GAP) -> DataFrame:
 def with_sessions(hits: DataFrame, gap: int = GAP) -> DataFrame:
     """Every hit with the attributes of its session."""
     slots = session_slots(hits, gap).drop("starts")
-    return hits.withColumn("slot", _slot(gap)).join(slots, [*USER, "slot"]).drop("slot")
+    return _join_slots(hits.withColumn("slot", _slot(gap)), slots).drop("slot")
+
+
+def _join_slots(df: DataFrame, slots: DataFrame) -> DataFrame:
+    """Hits without a user are one unknown user of their property, so the user compares null-safely."""
+    keys = [*USER, "slot"]
+    right = slots.withColumnsRenamed({c: f"_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    joined = df.join(right, same).drop(*[f"_{c}" for c in keys])
+    return joined.select(*keys, *[c for c in df.columns if c not in keys], *[c for c in slots.columns if c not in keys])
 
 
 def _counted(start: date, end: date) -> list[Column]:
@@ -151,7 +161,7 @@ def report(
         slots = range_slots(hits, date_range, gap) if slots is None else slots
         if hit_dims:
             folded = hits.groupBy(*USER, _slot(gap).alias("slot"), *hit_dims).agg(*counted)
-            joined = folded.join(slots.drop("hits", "views"), [*USER, "slot"])
+            joined = _join_slots(folded, slots.drop("hits", "views"))
         else:
             joined = slots
         per_session = joined.groupBy(*USER, *names, *session_dims, "session_start").agg(
@@ -173,7 +183,8 @@ def report(
     else:
         per_user = hits.where(in_range(F.col("ts"), start, end)).groupBy("property_id", *hit_dims, "user_id").agg(*counted)
 
-    active = F.col("hits") > 0
+    # The unknown user has sessions and views but is nobody to count.
+    active = (F.col("hits") > 0) & F.col("user_id").isNotNull()
     per_session_of = lambda c: F.coalesce(F.try_divide(F.sum(c), F.sum("begun")), F.lit(0.0))
     formulas = {
         "sessions": lambda: F.sum("begun"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -36,13 +37,13 @@ def _local_dir(application: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path is lost with its machine.
+    Only a session of one process may fall back to a temporary folder: on a
+    cluster, a pretended one included, a machine-local path is not shared.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
     return _local_dir(spark.sparkContext.applicationId)
 

@@ -78,11 +78,14 @@ def update_archive(
     existing = read_archive(spark, root, kind, [as_of.strftime("%Y_%m")] if scope == "archive_month" else None)
     # Keys hold the date, so only the incoming date span can match: the
     # literals reach the scan as row-group filters.
-    lo, hi, undated = incoming.agg(
-        F.min(spec.date), F.max(spec.date), F.count_if(F.col(spec.date).isNull())
+    lo, hi, undated, rows = incoming.agg(
+        F.min(spec.date), F.max(spec.date), F.count_if(F.col(spec.date).isNull()), F.count("*")
     ).first()
-    if lo is not None and not undated:
-        existing = existing.where(F.col(spec.date).between(F.lit(lo), F.lit(hi)))
+    if not rows:
+        ensure_archive(spark, root, kind)
+        return 0
+    span = F.col(spec.date).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
+    existing = existing.where(span | F.col(spec.date).isNull() if undated else span)
     # One writer per archive: the run's month grows by exactly what this run adds.
     month = [as_of.strftime("%Y_%m")]
     before = read_archive(spark, root, kind, month).count()

@@ -12,8 +12,8 @@ from outpulse.catalog import QUERIES, SQL
 
 
 SF = "/root/testdata/sf0.001"
-# Scorers, and the search for many phrases in one pass.
-PYTHON = {"score_posts", "opportunities", "digest_opportunities", "join_exclude_anti"}
+# Scorers.
+PYTHON = {"score_posts", "opportunities", "digest_opportunities", "agg_run_counts"}
 
 
 @pytest.fixture(scope="module")

@@ -125,3 +125,33 @@ def test_candidates_are_unseen_and_unique(spark):
     posts_ = Q._candidates(spark, SF)
     assert posts_.count() == posts_.select("campaign", "url").distinct().count()
     assert posts_.join(V.seen(spark, SF), ["campaign", "url"], "left_semi").count() == 0
+
+
+def test_counts_stop_with_the_tenth_result(spark):
+    """Against the loop that searches keyword by keyword until it has ten results."""
+    searched = spark.createDataFrame([("c", b, k) for b in range(4) for k in range(3)] + [("none", 0, 0)],
+                                     "campaign STRING, batch_pos INT, kw_pos INT")
+    for per_keyword in (1, 2, 5):
+        found = [("c", b, k, h) for b in range(4) for k in range(3) for h in range(per_keyword) if (b + k) % 2 == 0]
+        results = searches = 0
+        for b in range(4):
+            for k in range(3):
+                if results < 10:
+                    searches += 1
+                    results = min(10, results + sum(x[1:3] == (b, k) for x in found))
+        df = spark.createDataFrame(found, "campaign STRING, batch_pos INT, kw_pos INT, hit_pos INT")
+        got = {r.campaign: (r.results, r.searches) for r in O.run_counts(df, searched, ["campaign"]).collect()}
+        assert got == {"c": (results, searches), "none": (0, 1)}
+
+
+def test_an_outage_fails_the_job(spark):
+    def down(texts):
+        raise RuntimeError("unavailable")
+
+    with pytest.raises(Exception, match="scorer failed"):
+        O.score_posts(posts(spark, 40).coalesce(1), down).collect()
+
+
+def test_more_results_than_a_search_has_are_refused(spark):
+    with pytest.raises(ValueError):
+        O.first_results(V.search_hits(spark, SF), ["campaign", "keyword"], ["hit_pos"], 11)

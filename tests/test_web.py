@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from outpulse.operators import web as W
 
@@ -107,3 +108,16 @@ def test_hit_reports_need_no_sessions_and_prune(spark, tmp_path):
     plan = plan_of(W.overview(spark.read.parquet(path), (date(2024, 1, 2), date(2024, 1, 3))))
     # Without session dimensions no text is carried and the folds are hash aggregates on both sides of the shuffle.
     assert "SortAggregate" not in plan and "source" not in plan
+
+
+def test_hits_without_a_user_stay(spark):
+    """They are one unknown user: seen in sessions and views, never counted as a user."""
+    columns = "property_id STRING, user_id LONG, event_type STRING, page_path STRING, page_title STRING, country STRING, device_category STRING, source STRING, medium STRING"
+    rows = [("p", u, "view", "/", "t", "DE", "desktop", "s", "m") for u in (1, None, None)]
+    hits = spark.createDataFrame(rows, columns).withColumn("event_id", F.monotonically_increasing_id()).withColumn(
+        "ts", F.lit("2026-01-05 10:00:00").cast("timestamp_ntz"))
+    assert W.with_sessions(hits).count() == 3
+    day = (date(2026, 1, 5), date(2026, 1, 5))
+    for dimensions in ([], ["country"]):
+        got = W.report(hits, dimensions, ["sessions", "screenPageViews", "totalUsers", "newUsers"], day).first()
+        assert (got.sessions, got.screenPageViews, got.totalUsers, got.newUsers) == (2, 3, 1, 1)
