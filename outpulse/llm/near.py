@@ -11,8 +11,10 @@ J_P on whole texts.
 No bucket is paired with itself in full. First, every bucket's members are
 compared with its centre only, the member that shares most buckets with
 others. Connected components of those links settle almost all buckets. A
-bucket that still spans several components is compared across components in
-tiles of bounded size by signature, so no link is lost to the star.
+bucket that still spans several components is not done: its members are dealt
+into bins of bounded size, and bins that meet in a bucket are compared as a
+tile, across components, by signature and then exactly. No pair leaves a tile
+but links, and no link between components is lost to the star.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outpulse.llm.words import Words, mix, slices, windows
@@ -33,7 +35,8 @@ SIMILARITY = 0.8
 SLOTS, BAND = 160, 5
 #: Signature agreement that lets a pair through to the exact check, 4.5 standard deviations below 0.8.
 AGREE = 106
-TILE = 512
+#: Texts on either side of a tile in which components are compared.
+BIN = 256
 _BYTES = 2
 
 
@@ -144,20 +147,46 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield piece.filter(pa.array([s >= SIMILARITY - 1e-12 for s in score]))
 
 
-def _across(key: tuple, tile: pa.Table) -> pa.Table:
-    """Promising pairs of different components within a tile: of one block, or of two."""
-    node, comp, block = (tile.column(c).to_pylist() for c in ("node", "comp", "block"))
-    sig, comp = _sig_rows(tile.column("sig").to_pylist()), np.unique(np.array(comp, dtype=object), return_inverse=True)[1]
-    i, j = key[1].as_py(), key[2].as_py()
-    block = np.array(block)
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    a, b = [], []
+def _settled(key: tuple, tile: pa.Table) -> pa.Table:
+    """Links between components inside a bin or between two, likeliest first; what the tile has joined is left out."""
+    lo, hi = key[0].as_py(), key[1].as_py()
+    node, comp, bin_ = (tile.column(c).to_pylist() for c in ("node", "comp", "bin"))
+    sig, kind = _sig_rows(tile.column("sig").to_pylist()), np.unique(np.array(comp, dtype=object), return_inverse=True)[1]
+    bin_ = np.array(bin_, np.int64)
+    left, right, close = np.flatnonzero(bin_ == lo), np.flatnonzero(bin_ == hi), []
     for x in left:
-        others = right[(comp[right] != comp[x]) & ((i != j) | (right > x))]
-        for y in others[_agreement(sig[others], sig[x]) >= AGREE]:
-            a.append(min(node[x], node[y]))
-            b.append(max(node[x], node[y]))
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        others = right[(kind[right] != kind[x]) & ((lo != hi) | (right > x))]
+        agree = _agreement(sig[others], sig[x])
+        close += [(-n, int(x), int(y)) for y, n in zip(others[agree >= AGREE], agree[agree >= AGREE].tolist(), strict=True)]
+    row, keys, weight = shingles(Words(tile.column("text")))
+    edges = np.searchsorted(row, np.arange(tile.num_rows + 1))
+    sets = [(keys[i:j], weight[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
+    plain = [w.max(initial=1) == 1 for _, w in sets]
+    root = list(range(int(kind.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for _, x, y in sorted(close):
+        p, q = find(kind[x]), find(kind[y])
+        if p == q:
+            continue
+        if plain[x] and plain[y]:
+            (few, _), (many, _) = sorted((sets[x], sets[y]), key=lambda s: len(s[0]))
+            if len(few) < (SIMILARITY - 1e-9) * len(many):
+                continue
+            same = (many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum()
+            score = float(same / (len(few) + len(many) - same))
+        else:
+            score = probability_jaccard(sets[x], sets[y])
+        if score >= SIMILARITY - 1e-12:
+            root[p] = q
+            out.append((min(node[x], node[y]), max(node[x], node[y]), score))
+    a, b, score = zip(*out, strict=True) if out else ([], [], [])
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "score": pa.array(score, pa.float64())})
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -191,17 +220,18 @@ def _bands() -> Column:
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, rid, class_id, group_id, group_size, score).
+    """One row per row of ``docs``: (doc_id, rid, class_id, group_id, group_size, score, keeper).
 
     ``class_id`` is the smallest doc_id with exactly the same text,
     ``group_id`` the smallest doc_id of the near-duplicate group, the connected
     component of pairs with J_P of 0.8 or more over weighted 5-word shingles;
-    ``group_size`` counts its rows; ``score`` is the largest verified
-    similarity to another text (null without one). A text of one to four words
+    ``group_size`` counts its rows; ``score`` is the largest similarity to
+    another text among the links that were verified (null without one). A text of one to four words
     is one shingle. Texts without words (null, empty, only white space) are
     groups of their own kind: equal ones share a class, and nothing else. Equal
     rows are members like others. A null doc_id stays null and never names a
-    group if the group has another. Reads doc_id and text only.
+    group if the group has another. ``rid`` hashes doc_id and text, ``keeper``
+    is the rid of the group's first row. Reads doc_id and text only.
     """
     spark = docs.sparkSession
     node = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
@@ -209,8 +239,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     signed = store(rows.mapInArrow(_sign, _SIGNED.format(id_type)), "near-signed")
     nodes = store(
-        signed.groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min("rid").alias("rid"), F.count("*").alias("copies"),
-                                   F.min("sig").alias("sig")), "near-nodes",
+        signed.groupBy("node").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "rid")).alias("first"),
+                                   F.count("*").alias("copies"), F.min("sig").alias("sig")), "near-nodes",
     )
 
     banded = nodes.where("sig IS NOT NULL").select("node", _bands().alias("key"))
@@ -224,7 +254,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     )
 
-    open_nodes = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "rid")
+    open_nodes = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "first.rid")
     texts = store(rows.select("rid", "text").join(open_nodes, "rid").dropDuplicates(["node"]).select("node", "text"), "near-texts")
     sigs = nodes.select("node", "sig")
 
@@ -242,23 +272,37 @@ def near_groups(docs: DataFrame) -> DataFrame:
     comps = components(links)
 
     member = shared.join(comps, "node", "left").select("key", "n", "node", F.coalesce("comp", "node").alias("comp"))
-    unsettled = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    blocks = F.ceil(F.col("n") / TILE).cast("int")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    tiles = (
-        member.join(unsettled, "key", "left_semi").join(sigs, "node")
-        .withColumn("blocks", blocks).withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", "block", "sig")
+    spans = member.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first <> last")
+    member = member.join(spans.select("key", "first"), "key")
+    bins = member.groupBy("node", "comp").agg(F.min("first").alias("first"))
+    wide = bins.groupBy("first").agg(F.ceil(F.count("*") / BIN).cast("long").alias("bins"))
+    bins = bins.join(wide, "first").select(
+        "node", "comp", F.xxhash64("first", F.pmod(F.xxhash64("node"), F.col("bins"))).alias("bin")
     )
-    across = tiles.groupBy("key", "i", "j").applyInArrow(_across, "a binary, b binary").distinct()
-    more = store(verified(across.join(links, ["a", "b"], "left_anti")), "near-more")
+    bins = store(bins, "near-bins")
+    present = member.select("key", "node").join(bins.select("node", "bin"), "node").select("key", "bin").distinct()
+    meet = present.select("key", F.col("bin").alias("lo")).join(present.select("key", F.col("bin").alias("hi")), "key")
+    meet = meet.where("lo <= hi").select("lo", "hi").distinct()
+    in_tile = meet.select("lo", "hi", F.col("lo").alias("bin")).union(meet.select("lo", "hi", F.col("hi").alias("bin"))).distinct()
+    tiles = in_tile.join(bins.join(sigs, "node").join(texts, "node"), "bin").select("lo", "hi", "bin", "node", "comp", "sig", "text")
+    more = store(tiles.groupBy("lo", "hi").applyInArrow(_settled, "a binary, b binary, score double"), "near-more")
     if not more.isEmpty():
         links = links.union(more)
         comps = components(links)
 
     best = links.select("a", "score").union(links.select("b", "score")).groupBy(F.col("a").alias("node")).agg(F.max("score").alias("score"))
     whole = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    groups = whole.groupBy("comp").agg(F.min("class_id").alias("group_id"), F.sum("copies").alias("group_size"))
-    named = whole.join(groups, "comp").join(best, "node", "left").select("node", "class_id", "group_id", "group_size", "score")
+    groups = whole.groupBy("comp").agg(F.min("first").alias("top"), F.sum("copies").alias("group_size"))
+    named = whole.join(groups, "comp").join(best, "node", "left").select(
+        "node", F.col("first.doc_id").alias("class_id"), F.col("top.doc_id").alias("group_id"), "group_size", "score",
+        F.col("top.rid").alias("keeper"),
+    )
     return signed.select("doc_id", "rid", "node").join(named, "node").drop("node")
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of every near-duplicate group: its smallest doc_id, one of equal rows. All columns stay."""
+    first = near_groups(docs).where("rid = keeper").select(F.col("rid").alias("_rid")).distinct()
+    rows = docs.withColumn("_rid", F.xxhash64("doc_id", "text")).join(first, "_rid", "left_semi")
+    place = F.row_number().over(Window.partitionBy("_rid").orderBy("doc_id"))
+    return rows.withColumn("_place", place).where("_place = 1").select(*docs.columns)
