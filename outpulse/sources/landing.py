@@ -152,6 +152,12 @@ def read_threads(df: DataFrame, json: str = "payload", keep: Sequence[str] = ("u
     )
 
 
+def _one_value(text: Column) -> Column:
+    """The text as a variant if all of it is one JSON value. The parser stops after a value, so the text is put in brackets."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 def parse_reply_array(
     df: DataFrame, text: str = "reply", keyword: str = "keyword", keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -160,8 +166,8 @@ def parse_reply_array(
     The asked keyword stays as ``asked``: it decides the arrival order.
     """
     bare = X.strip_fence(F.col(text))
-    closed = F.endswith(bare, F.lit("]")) | F.endswith(bare, F.lit("}"))
-    found = F.when(closed, F.from_json(bare, S.REPLY_ARRAY_JSON))
+    # The lenient reader takes a valid beginning; a reply counts only if all of it is one JSON value.
+    found = F.when(_one_value(bare).isNotNull(), F.from_json(bare, S.REPLY_ARRAY_JSON))
     rows = df.select(*_kept(keep), F.col(keyword).alias("asked"), F.posexplode(found).alias("pos", "m"))
     return rows.where(F.col("m").isNotNull()).select(
         *keep,
@@ -176,7 +182,10 @@ def parse_reply_array(
 def parse_reply_score(df: DataFrame, text: str = "reply") -> DataFrame:
     """Adds ``relevance_score`` and ``suggested_comment``; rows with unusable replies are dropped."""
     bare = X.ws_trim(F.col(text))
-    parsed = F.when(F.endswith(bare, F.lit("}")), F.from_json(bare, S.REPLY_SCORE_JSON))
+    whole = _one_value(bare)
+    comment = F.schema_of_variant(F.try_variant_get(whole, "$.suggested_comment", "variant"))
+    usable = whole.isNotNull() & (comment.isNull() | (comment == "STRING"))
+    parsed = F.when(usable, F.from_json(bare, S.REPLY_SCORE_JSON))
     kept = [c for c in df.columns if c != text]
     rows = df.select(*kept, parsed.alias("_score")).where(F.col("_score.relevance_score").isNotNull())
     return rows.select(

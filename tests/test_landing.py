@@ -76,3 +76,17 @@ def test_search_items_defaults(spark):
     df = landed(spark, {"items": [{"link": "l"}, {"title": "t", "snippet": "s"}]}, {})
     rows = L.read_search_items(df).orderBy("pos").collect()
     assert [(r.link, r.title, r.snippet) for r in rows] == [("l", "", ""), ("", "t", "s")]
+
+
+def test_replies_must_be_one_json_value(spark):
+    """Text after the value, a second value and a comment that is no text make a reply unusable."""
+    def replies(*texts):
+        return spark.createDataFrame([(n, t, "k") for n, t in enumerate(texts)], "n INT, reply STRING, keyword STRING")
+
+    arrays = replies('[{"url":"u1"}] see [1]', '[{"url":"u2"}][{"url":"v"}]', '[{"url":"u3"}]', '```json\n[{"url":"u4"}]\n```')
+    assert sorted(r.url for r in L.parse_reply_array(arrays).collect()) == ["u3", "u4"]
+    scores = replies('{"relevance_score": 8, "suggested_comment":"x"} or {}', '{"relevance_score": 8, "suggested_comment": 5}',
+                     '{"relevance_score": 8, "suggested_comment": null}', '{"relevance_score": 7, "suggested_comment": " y "}',
+                     '{"relevance_score": 7}')
+    got = L.parse_reply_score(scores).collect()
+    assert sorted((r.n, r.suggested_comment) for r in got) == [(3, "y"), (4, "")]
