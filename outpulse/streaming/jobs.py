@@ -90,15 +90,26 @@ def dedupe_stream(events: DataFrame, keys: Sequence[str], ts: str = "ts", look_b
 
 
 def daily_stream(
-    events: DataFrame, by: Sequence[str], ts: str = "ts", user: str = "user_id", late: str = "1 hour"
-) -> DataFrame:
+    events: DataFrame, by: Sequence[str], ts: str = "ts", user: str = "user_id", late: str = "1 hour",
+    closing: DataFrame | None = None,
+) -> DataFrame:
     """Daily ``count`` and exact ``uniques``; a day is emitted once the watermark passed its end.
 
+    The newest days of a feed that has ended stay open until a later row
+    comes. ``closing`` is a stream of such rows without content, one column
+    ``until``: the days that end ``late`` before it are emitted. Rows that come
+    after their day was emitted are dropped; :func:`late_rows` counts them.
+
     Two chained aggregations (per day and user, then per day) keep the unique
     count exact and spread a busy day over its users.
     """
     require_utc(events.sparkSession)
-    timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    rows = events.select(*by, user, F.col(ts).cast("timestamp").alias(ts), F.lit(False).alias("_closing"))
+    if closing is not None:
+        marks = closing.select(F.col("until").cast("timestamp").alias(ts), F.lit(True).alias("_closing"))
+        rows = rows.unionByName(marks, allowMissingColumns=True)
+    # Written with the event time, the filter stays above the watermark, which must see the marks.
+    timed = rows.withWatermark(ts, late).where(~F.col("_closing") | F.col(ts).isNull())
     per_user = timed.groupBy(F.window(ts, "1 day").alias("day"), *by, user).agg(F.count("*").alias("n"))
     per_day = per_user.groupBy(F.window(F.window_time("day"), "1 day").alias("day"), *by).agg(
         F.sum("n").alias("count"), F.count("*").alias("uniques")
@@ -106,6 +117,11 @@ def daily_stream(
     return per_day.select(*by, F.col("day.start").cast("date").alias("date"), "count", "uniques")
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the finished run dropped as late, by its progress reports."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
 def run_to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream's output to a parquet table, exactly once."""
     return (
