@@ -28,6 +28,8 @@ TREES = 8
 SAMPLE, SAMPLE_LEAF = 32_768, 8
 LEAF = 64
 BLOCK = 2048
+#: Filed rows of neighbouring leaves that are searched together.
+BUNDLE = 8192
 #: Chance of a missed neighbour at which a query stops, and widening of its distance.
 MISS, WIDER = 1e-3, 1.3
 SEED = 5
@@ -130,42 +132,49 @@ def _filed(forest: Forest) -> Callable:
             if batch.num_rows:
                 leaf = leaves_of(forest, _unit(_matrix(batch.column("v"), batch.num_rows)))
                 at = np.repeat(np.arange(batch.num_rows), leaf.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(leaf.ravel()), *[batch.column(c).take(pa.array(at)) for c in ("cid", "v")]], ["leaf", "cid", "v"])
-
-    return run
-
-
-def _first_leaves(forest: Forest) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = leaves_of(forest, _unit(_matrix(batch.column("v"), batch.num_rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in ("cid", "v")], pa.array(found.tolist(), pa.list_(pa.int64()))], ["cid", "v", "leaves"]
+                    [pa.array(leaf.ravel()), *[batch.column(c).take(pa.array(at)) for c in ("cid", "first", "v")]], ["leaf", "cid", "first", "v"]
                 )
 
     return run
 
 
-def _more_leaves(forest: Forest) -> Callable:
+def _asked(forest: Forest, bundle: np.ndarray, more: bool) -> Callable:
+    """Rows (cid, v, bundle, leaves): the leaves to search for each query, by bundle.
+
+    First each tree's own leaf, then, knowing the worst of the best scores
+    found there (``worst``), those of the shared queue.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                unit = _unit(_matrix(batch.column("v"), batch.num_rows))
-                first = leaves_of(forest, unit)
+            if not batch.num_rows:
+                continue
+            unit = _unit(_matrix(batch.column("v"), batch.num_rows))
+            found = [sorted(set(f)) for f in leaves_of(forest, unit).tolist()]
+            if more:
                 known = np.asarray(batch.column("worst").to_pylist(), float)
                 found = [
-                    sorted(set(search(forest, u, math.sqrt(max(0.0, 2 - 2 * w)))) - set(f.tolist()))
-                    for u, w, f in zip(unit, known, first, strict=True)
+                    sorted(set(search(forest, u, math.sqrt(max(0.0, 2 - 2 * w)))) - set(f))
+                    for u, w, f in zip(unit, known, found, strict=True)
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in ("cid", "v")], pa.array(found, pa.list_(pa.int64()))], ["cid", "v", "leaves"]
-                )
+            at, where, lists = [], [], []
+            for i, leaves in enumerate(found):
+                own = bundle[leaves] if leaves else bundle[:0]
+                for number in np.unique(own).tolist():
+                    at.append(i)
+                    where.append(number)
+                    lists.append(np.array(leaves)[own == number].tolist())
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(at) for c in ("cid", "v")], pa.array(where, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+                ["cid", "v", "bundle", "leaves"],
+            )
 
     return run
 
 
-_PAIR = pa.schema([("cid", pa.string()), ("other", pa.string()), ("score", pa.float64())])
+_PAIR = pa.schema([("cid", pa.string()), ("other", pa.string()), ("first", pa.int64()), ("score", pa.float64())])
 
 
 def _rank(k: int) -> Callable:
@@ -173,16 +182,41 @@ def _rank(k: int) -> Callable:
         if not filed.num_rows or not asked.num_rows:
             return _PAIR.empty_table()
         x, q = _matrix(filed.column("v"), filed.num_rows), _matrix(asked.column("v"), asked.num_rows)
-        rough = _unit(q) @ _unit(x).T
-        near = np.argpartition(-rough, k - 1, axis=1)[:, :k] if len(x) > k else np.tile(np.arange(len(x)), (len(q), 1))
-        row = np.repeat(np.arange(len(q)), near.shape[1])
-        near = near.ravel()
-        return pa.table({"cid": asked.column("cid").take(pa.array(row)), "other": filed.column("cid").take(pa.array(near)),
-                         "score": cosines(q[row], x[near])})
+        ux, uq = _unit(x), _unit(q)
+        leaf = filed.column("leaf").to_numpy()
+        order = np.argsort(leaf, kind="stable")
+        members = dict(zip(*_groups(leaf[order], order), strict=True))
+        lists = asked.column("leaves").combine_chunks()
+        wanted = lists.flatten().to_numpy()
+        query = np.repeat(np.arange(len(q)), np.diff(lists.offsets.to_numpy()))
+        place = np.argsort(wanted, kind="stable")
+        rows, cols = [], []
+        for number, spots in zip(*_groups(wanted[place], query[place]), strict=True):
+            if number in members:
+                inside = members[number]
+                rough = uq[spots] @ ux[inside].T
+                width = min(k, len(inside))
+                near = np.argpartition(-rough, width - 1, axis=1)[:, :width]
+                rows.append(np.repeat(spots, width))
+                cols.append(inside[near.ravel()])
+        if not rows:
+            return _PAIR.empty_table()
+        row, col = np.concatenate(rows), np.concatenate(cols)
+        found = pa.table({"cid": asked.column("cid").take(pa.array(row)), "other": filed.column("cid").take(pa.array(col)),
+                          "first": filed.column("first").take(pa.array(col)), "score": cosines(q[row], x[col])})
+        frame = found.to_pandas().drop_duplicates(["cid", "other"])
+        frame = frame.sort_values(["cid", "score", "first"], ascending=[True, False, True]).groupby("cid").head(k)
+        return pa.Table.from_pandas(frame, schema=_PAIR, preserve_index=False)
 
     return run
 
 
+def _groups(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Runs of equal ascending keys, and the values of each."""
+    cuts = np.flatnonzero(np.diff(keys)) + 1
+    return keys[np.concatenate(([0], cuts))].tolist(), np.split(values, cuts)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found rows of ``vectors`` for each row of ``queries``.
 
@@ -221,40 +255,48 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     sample = _unit(np.array([r.v for r in classes.where(chance).select("v").orderBy("v").collect()] or [r.v for r in classes.select("v").limit(1).collect()], float))
     forest = grow(sample, max(SAMPLE_LEAF, round(LEAF * len(sample) / max(n, 1))))
 
-    filed = store(classes.select("cid", "v").mapInArrow(_filed(forest), "leaf long, cid string, v array<double>"), "ann-filed")
-    sizes = filed.groupBy("leaf").agg(F.count("*").alias("rows"))
+    named = classes.select("cid", F.col("ids")[0].alias("first"), "v")
+    filed = store(named.mapInArrow(_filed(forest), "leaf long, cid string, first long, v array<double>"), "ann-filed")
+    # Leaves are as many as the sample allows, whatever the input.
+    sizes = {r.leaf: r.n for r in filed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    bundle, blocks, held = np.zeros(max(sizes) + 1, np.int64), [1], 0
+    for leaf, rows_in in sorted(sizes.items()):
+        if held and held + rows_in > BUNDLE:
+            blocks.append(1)
+            held = 0
+        held += rows_in
+        bundle[leaf], blocks[-1] = len(blocks) - 1, math.ceil(held / BUNDLE)
+    dealt_leaves = spark.createDataFrame([(leaf, int(bundle[leaf]), blocks[bundle[leaf]]) for leaf in sizes], "leaf long, bundle long, a int")
     wanted = store(asked.select("cid", "v").dropDuplicates(["cid"]), "ann-queries")
-    probe = "cid string, v array<double>, leaves array<long>"
 
     def ranked(probes: DataFrame) -> DataFrame:
-        probes = probes.select("cid", "v", F.explode("leaves").alias("leaf"))
-        blocks = sizes.join(probes.groupBy("leaf").agg(F.count("*").alias("asked")), "leaf").select(
-            "leaf", F.ceil(F.col("rows") / BLOCK).cast("int").alias("a"), F.ceil(F.col("asked") / BLOCK).cast("int").alias("b")
+        probes = store(probes, "ann-probes")
+        widths = probes.groupBy("bundle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("b"))
+        cut = dealt_leaves.select("bundle", "a").distinct().join(widths, "bundle")
+        block = {c: F.pmod(F.xxhash64("cid"), F.col(c).cast("long")).cast("int") for c in ("a", "b")}
+        left = (
+            filed.join(dealt_leaves.select("leaf", "bundle"), "leaf").join(cut, "bundle").withColumn("i", block["a"])
+            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).select("bundle", "i", "j", "leaf", "cid", "first", "v")
         )
-
-        def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-            block = F.pmod(F.xxhash64("cid"), F.col(own).cast("long")).cast("int")
-            return df.join(blocks, "leaf").withColumn(f"{own}_", block).withColumn(
-                f"{other}_", F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-            )
-
-        keys = ["leaf", "a_", "b_"]
-        left = dealt(filed, "a", "b").select(*keys, "cid", "v").groupBy(*keys)
-        right = dealt(probes, "b", "a").select(*keys, "cid", "v").groupBy(*keys)
-        return left.cogroup(right).applyInArrow(_rank(k + 1), "cid string, other string, score double")
-
-    first = store(ranked(wanted.mapInArrow(_first_leaves(forest), probe)).distinct(), "ann-first")
-    best = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("score"), "other"))
-    worst = first.withColumn("p", best).where(F.col("p") <= k + 1).groupBy("cid").agg(
-        F.when(F.count("*") > k, F.min("score")).otherwise(F.lit(-1.0)).alias("worst")
-    )
-    more = ranked(wanted.join(worst, "cid").mapInArrow(_more_leaves(forest), probe))
-
-    found = first.union(more).distinct().join(
-        classes.select(F.col("cid").alias("other"), F.explode("ids").alias("vec_id")), "other"
-    )
+        right = (
+            probes.join(cut, "bundle").withColumn("j", block["b"])
+            .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("a") - 1))).select("bundle", "i", "j", "cid", "v", "leaves")
+        )
+        keys = ["bundle", "i", "j"]
+        pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_rank(k + 1), "cid string, other string, first long, score double")
+        best = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("score"), "first", "other"))
+        return pairs.distinct().withColumn("p", best).where(F.col("p") <= k + 1).drop("p")
+
+    probe = "cid string, v array<double>, bundle long, leaves array<long>"
+    first = store(ranked(wanted.mapInArrow(_asked(forest, bundle, more=False), probe)), "ann-first")
+    worst = first.groupBy("cid").agg(F.when(F.count("*") > k, F.min("score")).otherwise(F.lit(-1.0)).alias("worst"))
+    more = ranked(wanted.join(worst, "cid").mapInArrow(_asked(forest, bundle, more=True), probe))
+
+    best = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("score"), "first", "other"))
+    found = first.union(more).distinct().withColumn("p", best).where(F.col("p") <= k + 1)
+    found = found.join(classes.select(F.col("cid").alias("other"), F.explode("ids").alias("vec_id")), "other")
     top = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("score"), "vec_id"))
-    found = found.withColumn("p", top).where(F.col("p") <= k + 1).drop("p", "other")
+    found = found.withColumn("p", top).where(F.col("p") <= k + 1).drop("p", "other", "first")
     final = Window.partitionBy("query_id", "cid").orderBy(F.desc("score"), "vec_id")
     return (
         asked.select("query_id", "cid").join(found, "cid").where("vec_id <> query_id")
