@@ -349,9 +349,7 @@ def agg_run_counts(spark, sf):
     return O.run_counts(_opportunities(spark, sf), searched, ["campaign"])
 
 
-@query(
-    "digest_opportunities",
-    f"""
+DIGEST = f"""
 WITH runs AS (
   SELECT campaign, '[' || string_agg((next_batch - 1 + i) % 15 + 1, ', ' ORDER BY i) || ']' AS batches
   FROM v_cursors, unnest(range(15)) r(i) GROUP BY campaign),
@@ -365,9 +363,28 @@ lined AS (
   SELECT campaign, k, '*' || k || '. ' || title || '*' || chr(10) || '<' || url || '|View Post on Reddit>' || chr(10)
          || chr(10) || '*Suggested Comment:*' || chr(10) || suggested_comment
   FROM (SELECT *, row_number() OVER (PARTITION BY campaign ORDER BY batch_pos, kw_pos, hit_pos) AS k FROM v_opportunities))
-SELECT campaign, row_number() OVER (PARTITION BY campaign ORDER BY k) AS line_no, line FROM lined""",
-)
+SELECT campaign, row_number() OVER (PARTITION BY campaign ORDER BY k) AS line_no, line FROM lined"""
+
+
+@query("digest_opportunities", DIGEST)
 def digest_opportunities(spark, sf):
     picked, _ = O.rotate(F.col("next_batch"), PER_RUN, PER_RUN)
     runs = V.cursors(spark, sf).select("campaign", picked.alias("batches"))
     return G.opportunity_digest(_opportunities(spark, sf), runs, V.EVENTS_AS_OF)
+
+
+@query(
+    "payload_opportunities",
+    f"""
+WITH lines AS ({DIGEST}),
+told AS (
+  SELECT campaign, count(*) AS n, first(line ORDER BY line_no) AS head,
+         string_agg('{{"type":"section","text":{{"type":"mrkdwn","text":' || to_json(line)::VARCHAR || '}}}},{{"type":"divider"}}', ','
+                    ORDER BY line_no) AS blocks
+  FROM lines GROUP BY campaign)
+SELECT campaign, '{{"channel":"C1",' || CASE WHEN n > 1 THEN '"blocks":[' || blocks || '],' ELSE '' END || '"text":'
+       || to_json(CASE WHEN n > 1 THEN 'Reddit Digest - {V.EVENTS_AS_OF:%B %d, %Y}' ELSE head END)::VARCHAR || '}}' AS payload
+FROM told""",
+)
+def payload_opportunities(spark, sf):
+    return G.section_payload(digest_opportunities(spark, sf), V.EVENTS_AS_OF, "C1")

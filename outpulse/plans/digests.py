@@ -329,6 +329,29 @@ def digest_payload(text: DataFrame, by: Sequence[str], channel: str, name: str =
     return text.select(*by, "part", F.to_json(body).alias("payload"))
 
 
+def section_payload(
+    lines: DataFrame, as_of: date, channel: str, title: str = "Reddit Digest", by: Sequence[str] = ("campaign",)
+) -> DataFrame:
+    """Lines of :func:`opportunity_digest` as one JSON payload per run.
+
+    Header and items are sections, each followed by a divider, and a plain
+    text stands in for them; a run without results is that text alone. A run's
+    lines are capped, so a payload gathers a dozen at most.
+    """
+    ordered = F.sort_array(F.collect_list(F.struct("line_no", "line")))
+    runs = lines.groupBy(*by).agg(F.transform(ordered, lambda x: x["line"]).alias("lines"))
+    text_type = "struct<type: string, text: string>"
+    divider = F.struct(F.lit("divider").alias("type"), F.lit(None).cast(text_type).alias("text"))
+    blocks = F.flatten(F.transform("lines", lambda line: F.array(
+        F.struct(F.lit("section").alias("type"), F.struct(F.lit("mrkdwn").alias("type"), line.alias("text")).cast(text_type).alias("text")),
+        divider,
+    )))
+    some = F.size("lines") > 1
+    plain = F.when(some, F.lit(f"{title} - {as_of:%B %d, %Y}")).otherwise(F.col("lines")[0])
+    body = F.struct(F.lit(channel).alias("channel"), F.when(some, blocks).alias("blocks"), plain.alias("text"))
+    return runs.select(*by, F.to_json(body).alias("payload"))
+
+
 def write_digest(df: DataFrame, path: str) -> None:
     """Digest rows as a table of JSON lines."""
     df.write.mode("append").json(path)

@@ -13,7 +13,7 @@ from outpulse.catalog import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 # Scorers.
-PYTHON = {"score_posts", "opportunities", "digest_opportunities", "agg_run_counts"}
+PYTHON = {"score_posts", "opportunities", "digest_opportunities", "payload_opportunities", "agg_run_counts"}
 
 
 @pytest.fixture(scope="module")
