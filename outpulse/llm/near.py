@@ -226,14 +226,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     ``group_id`` the smallest doc_id of the near-duplicate group, the connected
     component of pairs with J_P of 0.8 or more over weighted 5-word shingles;
     ``group_size`` counts its rows; ``score`` is the largest similarity to
-    another text among the links that were verified (null without one). A text of one to four words
-    is one shingle. Texts without words (null, empty, only white space) are
-    groups of their own kind: equal ones share a class, and nothing else. Equal
-    rows are members like others. A null doc_id stays null and never names a
-    group if the group has another. ``rid`` hashes doc_id and text, ``keeper``
+    another text among the links that were verified (null without one). A text
+    of one to four words is one shingle. Texts without words (null, empty, only
+    white space) are near nothing, but equal ones are copies; null counts as
+    empty. Equal rows are members like others. A null doc_id stays null and
+    never names a group if the group has another. ``rid`` hashes doc_id and text, ``keeper``
     is the rid of the group's first row. Reads doc_id and text only.
     """
-    spark = docs.sparkSession
     node = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), node.alias("node"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
