@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from outpulse.functions import dates as D
 from outpulse.functions import text as X
 from outpulse.operators.keyed import first_per_key, join_lookup, number_rows, salted_join
+from outpulse.session import store
 
 INLINE_PHRASES = 64
 CHUNK = 64
@@ -235,7 +236,13 @@ def source_order(source: Column, score: Column) -> Column:
 def rank_in_source(
     mentions: DataFrame, arrival: Sequence[Column], by: Sequence[str] = ("monitor",), **options
 ) -> DataFrame:
-    """Place of every mention inside its keyword and source."""
+    """Place of every mention inside its keyword and source.
+
+    Numbering looks at its input twice, so mentions are written once before
+    unless the caller knows the ``largest`` group.
+    """
     keyed = mentions.withColumn("_order", source_order(F.col("source"), F.col("score")))
+    if options.get("largest") is None:
+        keyed = store(keyed, "ranked")
     order = [F.col("_order"), *arrival]
     return number_rows(keyed, [*by, "keyword", "source"], order, "place", **options).drop("_order")
