@@ -30,6 +30,8 @@ LEAF = 64
 BLOCK = 2048
 #: Filed rows of neighbouring leaves that are searched together.
 BUNDLE = 8192
+#: Queries of one task that walks the trees.
+WALKS = 128
 #: Chance of a missed neighbour at which a query stops, and widening of its distance.
 MISS, WIDER = 1e-3, 1.3
 SEED = 5
@@ -290,7 +292,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     probe = "cid string, v array<double>, bundle long, leaves array<long>"
     first = store(ranked(wanted.mapInArrow(_asked(forest, bundle, more=False), probe)), "ann-first")
     worst = first.groupBy("cid").agg(F.when(F.count("*") > k, F.min("score")).otherwise(F.lit(-1.0)).alias("worst"))
-    more = ranked(wanted.join(worst, "cid").mapInArrow(_asked(forest, bundle, more=True), probe))
+    # The walks through the trees are the only long step per query, so they get tasks of their own.
+    walks = wanted.join(worst, "cid").repartition(math.ceil(wanted.count() / WALKS) or 1)
+    more = ranked(walks.mapInArrow(_asked(forest, bundle, more=True), probe))
 
     best = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("score"), "first", "other"))
     found = first.union(more).distinct().withColumn("p", best).where(F.col("p") <= k + 1)

@@ -19,7 +19,7 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_minhash_near_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    return near.near_groups(table(spark, sf, "documents")).drop("rid")
+    return near.near_groups(table(spark, sf, "documents")).drop("rid", "keeper")
 
 
 @query("op3_preference_pairs", chat.PAIRS_SQL)
