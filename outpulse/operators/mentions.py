@@ -13,7 +13,7 @@ from outpulse.functions import text as X
 from outpulse.operators.keyed import first_per_key, join_lookup, number_rows, salted_join
 from outpulse.session import store
 
-INLINE_PHRASES = 64
+INLINE_PHRASES, LISTED_PHRASES = 64, 2048
 CHUNK = 64
 BLOCK = 16_384
 ANCHORS = (0, 1, 2, 4, 8, 16)
@@ -58,15 +58,20 @@ def exclude_phrases(
     """Drop rows whose lower-cased text contains any phrase.
 
     A phrase list, or a phrase table of up to 64 rows, becomes one predicate
-    per phrase inside the scan stage. Anything larger goes through
+    per phrase inside the scan stage; a table of up to 2048 rows is one list
+    that each text is tested against there. Anything larger goes through
     :func:`exclude_phrase_table`.
     """
     text = _search_text(columns)
     if isinstance(phrases, DataFrame):
         table = phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("phrase")).distinct()
-        few = [r.phrase for r in table.limit(INLINE_PHRASES + 1).collect()]
-        if len(few) > INLINE_PHRASES:
+        few = [r.phrase for r in table.limit(LISTED_PHRASES + 1).collect()]
+        if len(few) > LISTED_PHRASES:
             return exclude_phrase_table(df, phrases, columns)
+        if len(few) > INLINE_PHRASES:
+            # The outer array holds the text, so that it is lower-cased once and not for every phrase.
+            listed = F.array(*[F.lit(p) for p in few])
+            return df.where(~F.exists(F.array(text), lambda t: F.exists(listed, lambda p: F.contains(t, p))))
         phrases = few
     if not phrases:
         return df

@@ -41,9 +41,10 @@ def test_phrase_table_equals_substring_search(spark, chunk, monkeypatch):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("way", ["inline", "joins"])
+@pytest.mark.parametrize("way", ["inline", "listed", "joins"])
 def test_every_size_of_phrase_table_gives_the_same(spark, monkeypatch, way):
     monkeypatch.setattr(M, "INLINE_PHRASES", 64 if way == "inline" else 2)
+    monkeypatch.setattr(M, "LISTED_PHRASES", 2 if way == "joins" else 2048)
     df = spark.createDataFrame([(n, f"text {n}", "") for n in range(6)], "n INT, title STRING, summary STRING")
     phrases = spark.createDataFrame([("text 1",), ("XT 3",), ("text 9",), (None,)], "phrase STRING")
     kept = M.exclude_phrases(df, phrases)
