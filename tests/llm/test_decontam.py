@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 import numpy as np
@@ -66,6 +68,31 @@ def test_best_overlap_finds_the_best_segment():
         assert n == sum(doc[i + shift] == item[i] for i in range(a, b))
 
 
+def test_whole_overlap_tolerates_replaced_words():
+    for n in range(12, 21):
+        item, need = np.arange(n), min(13, math.ceil(0.8 * n))
+        for k in (1, 2):
+            for spots in itertools.combinations(range(n), k):
+                doc = np.concatenate((np.full(7, -1), item, np.full(5, -2)))
+                doc[[7 + at for at in spots]] = -3
+                got, first, end = decontam.whole_overlap(doc, item, 7)
+                assert decontam.needed(n) == need
+                assert got >= need and got == sum(at not in spots for at in range(first, end)) and 5 * got >= 4 * (end - first)
+
+
+def test_whole_overlap_equals_all_segments():
+    draw = random.Random(5)
+    for _ in range(300):
+        doc = np.array([draw.choice([0, 0, 0, 0, 1]) for _ in range(40)])
+        item = np.array([draw.choice([0, 0, 0, 0, 1]) for _ in range(25)])
+        shift = draw.randint(-10, 25)
+        n, a, b = decontam.whole_overlap(doc, item, shift)
+        same = {i: doc[i + shift] == item[i] for i in range(max(0, -shift), min(25, 40 - shift))}
+        spots = [*same, max(same) + 1]
+        every = [sum(same[i] for i in range(x, y)) for x in spots for y in spots if x <= y and 5 * sum(same[i] for i in range(x, y)) >= 4 * (y - x)]
+        assert n == max(every) == sum(same[i] for i in range(a, b)) and 5 * n >= 4 * (b - a)
+
+
 def test_empty_tables(spark, odd, nothing):
     none = spark.createDataFrame([], "item_id LONG, text STRING")
     some = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p")], "item_id LONG, text STRING")
