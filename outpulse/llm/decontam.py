@@ -10,6 +10,7 @@ allowed.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
@@ -21,9 +22,10 @@ from pyspark.sql import functions as F
 from outpulse.llm.words import Words, mix, slices
 from outpulse.session import store
 
-# The masks; 1 selects a position.
-MASKS = ("111010010111", "110101101011", "101110110101", "110011101101")
-SPAN = len(MASKS[0])
+# The masks; 1 selects a position. Chosen so that every overlap with an item of ``SPAN`` words or more that is
+# reported has a placement of one of them whose selected words are all equal (the tests try all replacements).
+MASKS = ("11101111", "111010001011", "11000110111", "101111011", "111101000011", "100010110111", "11110111")
+SPAN = max(map(len, MASKS))
 #: Equal words that make an overlap, or four of five of a shorter item; and what a differing word takes away,
 #: so that at least four of five words of a reported overlap are equal.
 OVERLAP, PENALTY = 13, 4
@@ -47,9 +49,19 @@ def hash_factor(j: int) -> int:
     return (0x9E3779B97F4A7C15 * (2 * j + 3)) >> 1 & (2**62 - 1)
 
 
-def masks_for(short: list[int]) -> list[str]:
-    """The fixed masks, and one without gaps for each length of items shorter than them."""
-    return [*MASKS, *["1" * n for n in sorted(short)]]
+def masks_for(short: list[int]) -> list[tuple[str, int]]:
+    """Masks and the length of the items they are for: the fixed ones for items of ``SPAN`` words or more (0), others for shorter.
+
+    A shorter item is cut into blocks, and a mask leaves out as many of them as
+    words may differ, so whichever words differ, one mask selects none of them.
+    """
+    out = {(mask, 0): None for mask in MASKS}
+    for n in sorted(short):
+        differ = n - needed(n)
+        blocks = 1 if differ == 0 else 3 if differ == 1 and n > 5 else 5
+        for gone in itertools.combinations(range(blocks), differ):
+            out["".join("0" if j * blocks // n in gone else "1" for j in range(n)).strip("0"), n] = None
+    return [*out]
 
 
 def _probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
@@ -73,41 +85,40 @@ def _tokens(texts: pa.Array) -> tuple[Words, np.ndarray]:
     return words, mix(words.hashes(), 31)
 
 
-def _test_side(masks: list[str]) -> Callable:
+def _test_side(masks: list[tuple[str, int]]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 words, hashes = _tokens(piece.column("text"))
                 per_row, ids, bounds = words.per_row(), piece.column("iid").to_numpy(), words.bounds()
-                for number, mask in enumerate(masks):
+                for mask, n in masks:
                     at, found = seeds(hashes, words.row, mask)
-                    if len(mask) < SPAN:
-                        whole = per_row[words.row[at]] == len(mask)
-                        at, found = at[whole], found[whole]
+                    meant = per_row[words.row[at]] == n if n else per_row[words.row[at]] >= SPAN
+                    at, found = at[meant], found[meant]
                     row = words.row[at]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), number, np.int32)), pa.array(found.view(np.int64)), pa.array(ids[row]),
+                        [pa.array(np.full(len(at), int(mask, 2), np.int32)), pa.array(found.view(np.int64)), pa.array(ids[row]),
                          pa.array((at - bounds[row]).astype(np.int32))], ["mask", "h", "iid", "item_pos"],
                     )
 
     return run
 
 
-def _train_side(masks: list[str], table: np.ndarray) -> Callable:
-    bits = len(table) * 8
+def _train_side(masks: list[tuple[str, int]], table: np.ndarray) -> Callable:
+    bits, patterns = len(table) * 8, sorted({mask for mask, _ in masks})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 words, hashes = _tokens(piece.column("text"))
                 bounds, hits = words.bounds(), []
-                for number, mask in enumerate(masks):
+                for mask in patterns:
                     at, found = seeds(hashes, words.row, mask)
                     for i in range(PROBES):
                         probe = mix(found, 100 + i) & np.uint64(bits - 1)
                         good = (table[(probe >> np.uint64(3)).astype(np.int64)] >> (probe & np.uint64(7)).astype(np.uint8)) & 1 > 0
                         at, found = at[good], found[good]
-                    hits.append((np.full(len(at), number, np.int32), found.view(np.int64), at))
+                    hits.append((np.full(len(at), int(mask, 2), np.int32), found.view(np.int64), at))
                 number, found, at = (np.concatenate(c) for c in zip(*hits, strict=True))
                 row = words.row[at]
                 order = np.argsort(row, kind="stable")
@@ -184,8 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     either side overlap nothing. Equal rows of ``docs`` give equal results, once.
     An empty benchmark gives no rows.
 
-    A seed finds every run of equal words as long as the mask; some overlaps
-    with replaced words are missed by all masks.
+    The masks leave a hit in every such overlap, whichever words are replaced.
     """
     items = benchmark.where("text IS NOT NULL").select("item_id", "text")
     item_type, doc_type = (df.schema[c].dataType.simpleString() for df, c in ((benchmark, "item_id"), (docs, "doc_id")))

@@ -68,6 +68,42 @@ def test_best_overlap_finds_the_best_segment():
         assert n == sum(doc[i + shift] == item[i] for i in range(a, b))
 
 
+def seeded(equal, masks):
+    """Whether a placement of a mask selects equal words only."""
+    return any(all(equal[o + j] for j, c in enumerate(mask) if c == "1") for mask in masks for o in range(len(equal) - len(mask) + 1))
+
+
+def test_masks_leave_a_hit_in_every_overlap_that_is_reported():
+    for n in range(12, 21):
+        for k in range(5):
+            if n - k >= decontam.needed(n) and 5 * (n - k) >= 4 * n:
+                for spots in itertools.combinations(range(n), k):
+                    assert seeded([i not in spots for i in range(n)], decontam.MASKS), (n, spots)
+    for period in range(5, 13):
+        for at in range(period):
+            assert seeded([i % period != at for i in range(40)], decontam.MASKS), (period, at)
+    for n in range(1, 12):
+        masks = [m for m, _ in decontam.masks_for([n])[len(decontam.MASKS) :]]
+        assert all(m.count("1") >= min(n, 4) for m in masks)
+        for spots in itertools.combinations(range(n), n - decontam.needed(n)):
+            assert seeded([i not in spots for i in range(n)], masks), (n, spots)
+
+
+def test_replaced_words_are_found(spark):
+    draw = random.Random(6)
+    items = {n: [f"w{n}x{i}" for i in range(n)] for n in (5, 7, 10, 11, 12, 15, 600)}
+    plants, want = [], set()
+    for n, words in items.items():
+        every = [range(5, n, 6)] if n == 600 else itertools.combinations(range(n), n - decontam.needed(n))
+        for spots in every:
+            copy = ["zz" if i in spots else w for i, w in enumerate(words)]
+            plants.append((len(plants), " ".join([draw.choice("abc") for _ in range(3)] + copy)))
+            want.add((plants[-1][0], n))
+    docs = spark.createDataFrame(plants, "doc_id LONG, text STRING")
+    test = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id INT, text STRING")
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, test).collect()} == want
+
+
 def test_whole_overlap_tolerates_replaced_words():
     for n in range(12, 21):
         item, need = np.arange(n), min(13, math.ceil(0.8 * n))
