@@ -2,7 +2,7 @@
 
 Strings in a sensitive context (a word such as ``token`` or ``auth`` shortly
 before) are compressed by Zstandard twice, with a raw dictionary of common
-identifiers and the code around the string: once alone, once without the
+words and identifiers and the code around the string: once alone, once without the
 string. The difference is what the string itself costs. A string that stays
 about as long as it was is not a word, a path or a repeated identifier.
 """
@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outpulse.llm.ordinary import WORDS
 from outpulse.llm.words import slices
 
 KINDS = ("assign", "access", "hex", "novel")
@@ -50,16 +51,23 @@ IDENTIFIERS = (
     "standard status string system template timestamp token_type undefined username validate variable version webhook "
     "your_api_key_here changeme xxxxxxxxxxxxxxxx 0123456789abcdef ABCDEFGHIJKLMNOPQRSTUVWXYZ abcdefghijklmnopqrstuvwxyz"
 )
+_WORDS = frozenset(f"{WORDS} {IDENTIFIERS.replace('_', ' ')}".split())
+_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 def marginal_bytes(text: str, start: int, end: int) -> int:
-    """Compressed bytes that the string adds to nothing, given identifiers and the text around it."""
+    """Compressed bytes that the string adds to nothing, given words, identifiers and the text around it."""
     around = text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
-    prime = zstandard.ZstdCompressionDict((IDENTIFIERS + " " + around).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    prime = zstandard.ZstdCompressionDict(f"{WORDS} {IDENTIFIERS} {around}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     squeeze = zstandard.ZstdCompressor(level=19, dict_data=prime, write_content_size=False, write_checksum=False).compress
     return len(squeeze(text[start:end].encode())) - len(squeeze(b""))
 
 
+def is_name(found: str) -> bool:
+    """Whether the string is ordinary words only, joined by marks or by capitals. Random letters are not, whatever their case."""
+    return not any(c.isdigit() for c in found) and all(p.lower() in _WORDS for p in _PIECE.findall(found))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the plain patterns, leftmost and not overlapping per kind."""
     low, spans = text.lower(), []
@@ -81,11 +89,9 @@ def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
                 continue
             start, end = _STRING.match(text, head.start()).span()
             done, found = end, text[start:end]
-            if not any(c.isdigit() for c in found) or found.isdigit():
-                continue
             if any(a <= start and end <= b for a, _, b in known):
                 continue
-            if marginal_bytes(text, start, end) >= NOVEL * (end - start):
+            if not is_name(found) and marginal_bytes(text, start, end) >= NOVEL * (end - start):
                 spans.append((start, 3, end))
     return spans
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 from collections import Counter
 
 from odd_rows import lower, nothing, odd  # noqa: F401
@@ -49,6 +50,22 @@ def test_novel_strings_and_redaction():
     assert secrets.redacted("") == "" and secrets.redacted("clean words") == "clean words"
 
 
+def reported(text):
+    return [text[a:b] for a, _, b in secrets.novel_spans(text, [])]
+
+
+def test_random_strings_without_digits_or_of_digits_are_reported():
+    draw = random.Random(7)
+    assert reported("Authorization: Bearer QwErTyUiOpAsDfGhJkLz") == ["QwErTyUiOpAsDfGhJkLz"]
+    for alphabet in (string.ascii_letters, string.ascii_lowercase, string.digits, string.ascii_letters + string.digits):
+        for n in (12, 16, 20, 40):
+            found = "".join(draw.choice(alphabet) for _ in range(n))
+            assert reported(f"the private_key {found} of the server") == [found]
+            assert found not in secrets.redacted(f"the private_key {found} of the server")
+    for name in ("get_user_password", "AuthenticationManager", "refresh_token_request", "authorization-header", "documentation"):
+        assert reported(f"the token {name} is a name") == []
+
+
 def test_redact_keeps_rows(odd, nothing):
     docs, _ = odd
     kept = secrets.redact(docs)
