@@ -4,7 +4,8 @@ Strings in a sensitive context (a word such as ``token`` or ``auth`` shortly
 before) are compressed by Zstandard twice, with a raw dictionary of common
 words and identifiers and the code around the string: once alone, once without the
 string. The difference is what the string itself costs. A string that stays
-about as long as it was is not a word, a path or a repeated identifier.
+about as long as it was, or costs many bytes, is not a word or a path. Its
+own copies around it do not explain it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ CONTEXT = 256
 REACH = 40
 #: Marginal bytes a character from which a string counts as incompressible.
 NOVEL = 0.7
+#: Marginal bytes from which a string counts whatever its length: long ones of few characters cost less each.
+ENOUGH = 24
 SHORTEST = 12
 
 _ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -36,6 +39,7 @@ _SENSITIVE = re.compile(
     r"(?ai)pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|authori[sz]ation|bearer|credential|signature"
 )
 _STRING = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
+_RUN = re.compile(r"[A-Za-z0-9]{%d,}" % SHORTEST)
 _MARKS = ("pass", "pwd", "secret", "token", "key", "authori", "bearer", "credential", "signature")
 
 # Identifiers of everyday code and configuration.
@@ -55,9 +59,18 @@ _WORDS = frozenset(f"{WORDS} {IDENTIFIERS.replace('_', ' ')}".split())
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def _around(text: str, start: int, end: int) -> str:
+    """The text around the string, with blanks for its other places, so that no copy explains it."""
+    found, size = text[start:end], end - start
+    left, right = text[max(0, start - CONTEXT - size) : start], text[end : end + CONTEXT + size]
+    for piece in sorted({found, *_RUN.findall(found)}, key=len, reverse=True):
+        left, right = (side.replace(piece, " " * len(piece)) for side in (left, right))
+    return left[-CONTEXT:] + right[:CONTEXT]
+
+
 def marginal_bytes(text: str, start: int, end: int) -> int:
     """Compressed bytes that the string adds to nothing, given words, identifiers and the text around it."""
-    around = text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
+    around = _around(text, start, end)
     prime = zstandard.ZstdCompressionDict(f"{WORDS} {IDENTIFIERS} {around}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     squeeze = zstandard.ZstdCompressor(level=19, dict_data=prime, write_content_size=False, write_checksum=False).compress
     return len(squeeze(text[start:end].encode())) - len(squeeze(b""))
@@ -91,7 +104,7 @@ def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
             done, found = end, text[start:end]
             if any(a <= start and end <= b for a, _, b in known):
                 continue
-            if not is_name(found) and marginal_bytes(text, start, end) >= NOVEL * (end - start):
+            if not is_name(found) and marginal_bytes(text, start, end) >= min(NOVEL * (end - start), ENOUGH):
                 spans.append((start, 3, end))
     return spans
 

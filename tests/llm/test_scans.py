@@ -66,6 +66,19 @@ def test_random_strings_without_digits_or_of_digits_are_reported():
         assert reported(f"the token {name} is a name") == []
 
 
+def test_neither_copies_nor_length_hide_a_string():
+    draw = random.Random(8)
+    for n in (16, 40, 120):
+        found = "".join(draw.choice(string.ascii_letters + string.digits) for _ in range(n))
+        line = f"Authorization: Bearer {found}"
+        assert reported(f"{line}\nGET /\n{line}\nGET /next\n{line}") == [found] * 3
+        assert reported(f"{line}, or credential: id/{found}==") == [found, f"id/{found}=="]
+        assert reported(f"{line}{' ' * (250 - n // 2)}{line}") == [found] * 2
+    for n in (48, 96, 128, 256, 600):
+        found = "".join(draw.choice("0123456789ABCDEF") for _ in range(n))
+        assert reported(f"authorization: {found}.") == [found]
+
+
 def test_redact_keeps_rows(odd, nothing):
     docs, _ = odd
     kept = secrets.redact(docs)
