@@ -27,6 +27,8 @@ from outpulse.llm.words import _LOWER, Words, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MESSAGE = pa.schema([("slot", pa.int64()), ("part", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
+#: Counts of one part fit 32 bits (part bytes bound them), those of the corpus do not.
+_SUMMED = "<i8"
 _MESSAGE_SQL = "slot long, part int, words binary, counts binary"
 
 
@@ -100,6 +102,23 @@ def _expect(vocabulary: Vocabulary) -> Callable:
     return run
 
 
+def _answer(vocabulary: Vocabulary, weights: np.ndarray) -> Callable:
+    def answer(key: tuple, messages: pa.Table) -> pa.Table:
+        asked = _Asked(messages)
+        logs = np.empty(len(asked.counts))
+        for some, lattices in asked.lattices(vocabulary, np.arange(len(logs))):
+            logs[some] = lattices.forward(weights)[lattices.last]
+        counts, logs = asked.counts[asked.number].astype(_SUMMED), logs[asked.number]
+        edges = np.concatenate(([0], np.cumsum([len(c) // 4 for c in column(messages, "counts")])))
+        return pa.table([
+            messages.column("part"), messages.column("slot"),
+            pa.array([counts[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
+            pa.array([logs[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
+        ], names=["part", "slot", "counts", "logs"])
+
+    return answer
+
+
 def _add(key: tuple, parts: pa.Table) -> pa.Table:
     out = sum(np.frombuffer(v) for v in column(parts, "expected"))
     return pa.table({"expected": [out.tobytes()], "tokens": [sum(column(parts, "tokens"))], "kinds": [sum(column(parts, "kinds"))]})
@@ -145,25 +164,12 @@ def score(docs: DataFrame, model: str = MODEL, part_bytes: int = PART_BYTES) ->
         counts = np.bincount(number, learn[words.row], minlength=len(hashes))
         return _messages(key[0].as_py(), words, hashes, place, counts, shard_bits)
 
-    def answer(key: tuple, messages: pa.Table) -> pa.Table:
-        asked = _Asked(messages)
-        logs = np.empty(len(asked.counts))
-        for some, lattices in asked.lattices(vocabulary, np.arange(len(logs))):
-            logs[some] = lattices.forward(weights)[lattices.last]
-        counts, logs = asked.counts[asked.number].astype("<u4"), logs[asked.number]
-        edges = np.concatenate(([0], np.cumsum([len(c) // 4 for c in column(messages, "counts")])))
-        return pa.table([
-            messages.column("part"), messages.column("slot"),
-            pa.array([counts[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
-            pa.array([logs[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
-        ], names=["part", "slot", "counts", "logs"])
-
     def finish(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
         words = Words(texts.column("text"), lower=True)
         _, _, number = _distinct(words)
         order = np.argsort(np.asarray(column(answers, "slot"), np.int64))
         joined = {c: b"".join(np.array(column(answers, c), dtype=object)[order]) for c in ("counts", "logs")}
-        counts, logs = np.frombuffer(joined["counts"], "<u4")[number], np.frombuffer(joined["logs"])[number]
+        counts, logs = np.frombuffer(joined["counts"], _SUMMED)[number], np.frombuffer(joined["logs"])[number]
         n, row = words.rows, words.row
         tokens_ = words.per_row() + 1
         base = np.bincount(row, np.log10(counts + 0.1), minlength=n) + math.log10(ends + 0.1) - tokens_ * base_all
@@ -173,7 +179,7 @@ def score(docs: DataFrame, model: str = MODEL, part_bytes: int = PART_BYTES) ->
                          "n_known": known, "train_tokens": np.full(n, tokens, np.int64), "base_score": base, "score": full})
 
     messages = dealt.groupBy("part").applyInArrow(ask, _MESSAGE_SQL)
-    answers = messages.groupBy("slot").applyInArrow(answer, "part int, slot long, counts binary, logs binary")
+    answers = messages.groupBy("slot").applyInArrow(_answer(vocabulary, weights), "part int, slot long, counts binary, logs binary")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(finish, out)

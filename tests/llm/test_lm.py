@@ -3,11 +3,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from odd_rows import lower, nothing, odd, words  # noqa: F401
 
 from outpulse.llm import lattice, lm
+from outpulse.llm.words import Words
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +94,13 @@ def test_empty_table_and_no_training_rows(spark, nothing):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     row = lm.score(spark.createDataFrame([(held, "only this")], "doc_id LONG, text STRING")).first()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (True, 3, 0, 0) and row.score < 0
+
+
+def test_counts_above_32_bits_are_sent_back(vocabulary):
+    texts = Words(pa.array(["hot rare"]))
+    hashes, place, _ = lm._distinct(texts)
+    counts = np.where(texts.end[place] - texts.start[place] == 3, 3_000_000_000, 1)
+    messages = pa.concat_tables([lm._messages(part, texts, hashes, place, counts, 0) for part in range(2)])
+    answers = lm._answer(vocabulary, vocabulary.prior)((), messages)
+    for sent in answers.column("counts").to_pylist():
+        assert np.frombuffer(sent, lm._SUMMED).tolist() == (2 * counts).tolist()
