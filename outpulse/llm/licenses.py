@@ -105,6 +105,9 @@ ROOTS = (
     "afl bsl busl ofl odbl cecill lppl ms bsd freebsd 0bsd unlicense wtfpl upl sspl cc0 cc creative redistribution permission "
     "provided redistribute domain rights reproduced proprietary copyright"
 ).split()
+# Short names with the version glued on are words of their own: gplv3, lgpl2. Not apache2, which is mostly the web server.
+_GLUED = {"gpl", "lgpl", "agpl", "gfdl", "mpl", "epl", "cddl", "cpl", "eupl", "osl", "afl", "bsl", "busl", "ofl", "odbl", "cecill", "lppl", "upl", "sspl"}
+ROOTS += sorted({f"{label}{v}{number[0]}" for label, _, _, versions in FAMILIES if label in _GLUED for number in versions for v in ("", "v")})
 
 # The base phrases and their labels.
 PHRASES = ((b"mit license", "mit"), (b"apache license", "apache"), (b"general public license", "gpl"))
@@ -122,10 +125,11 @@ def rules() -> tuple[Rule, ...]:
             major, _, minor = version.partition(".")
             number = rf"{major}(?: {minor})?" if minor == "0" else rf"{major} {minor}"
             full = f"{label}-{version}"
-            out.append(Rule(full, rf"\b{name} (?:version |v ?)?{number}\b(?! \d)", keywords, major, 3, 0.9))
+            gap = r"(?: (?:version |v ?)?|v ?|)" if label in _GLUED else r" (?:version |v ?)?"
+            out.append(Rule(full, rf"\b{name}{gap}{number}\b(?! \d)", keywords, major, 3, 0.9))
             out.append(Rule(full, rf"\bspdx license identifier {label.replace('-', ' ')} {number}\b", ("spdx",), "", 6, 1.0))
             if label in ("gpl", "lgpl", "agpl", "gfdl"):
-                later = rf"\b{name} (?:(?:as published by the free software foundation )?(?:either )?)?(?:version |v ?)?{number}(?: of the license)? or (?:\(?at your option\)? )?(?:any )?later"
+                later = rf"\b{name}(?: (?:(?:as published by the free software foundation )?(?:either )?)?(?:version |v ?)?|v ?|){number}(?: of the license)? or (?:\(?at your option\)? )?(?:any )?later"
                 out.append(Rule(full + "-or-later", later, keywords, "later", 4, 0.95))
     out += [Rule(label, rf"\b{pattern}\b", (word,), "", priority, sure) for label, pattern, word, priority, sure in SENTENCES]
     return tuple(sorted(out, key=lambda r: (-r.priority, r.label, r.pattern)))

@@ -112,6 +112,14 @@ def test_license_base_equals_brute_force(spark, odd):
     assert all(0 <= r.score <= 1 for r in got) and all(r.labels for r in got if r.n_base)
 
 
+def test_version_glued_to_the_name(spark):
+    texts = {"GPLv3": "gpl-3.0", "GPLv2 or later": "gpl-2.0-or-later", "LGPLv2.1": "lgpl-2.1", "AGPLv3": "agpl-3.0", "MPLv2": "mpl-2.0",
+             "under GPL3.": "gpl-3.0", "MPLv2.0": "mpl-2.0", "Apache2": "", "gplv34": "", "GPLv2.1": ""}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    got = {r.doc_id: r.labels for r in licenses.digest(licenses.scan(docs)).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_suppression_equals_pairwise_check():
     draw, table = random.Random(1), licenses.rules()
     assert len(table) > 200
