@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpulse.llm import ann, chat, decontam, licenses, lm, mixing, near, quality, repeats, secrets
+from outpulse.llm import ann, chat, decontam, licenses, lm, merkle, mixing, near, quality, repeats, secrets
 from outpulse.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]
@@ -66,3 +66,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_spaced_seed_decontamination")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("rid")
+
+
+@query("op13_merkle_manifest", merkle.MANIFEST_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.verify(table(spark, sf, "documents"))
