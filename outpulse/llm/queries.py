@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpulse.llm import ann, chat, decontam, licenses, lm, merkle, mixing, near, quality, repeats, secrets
+from outpulse.llm import ann, chat, decontam, licenses, lm, merkle, mixing, near, quality, repeats, secrets, shards
 from outpulse.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]
@@ -71,3 +71,8 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 @query("op13_merkle_manifest", merkle.MANIFEST_SQL)
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.verify(table(spark, sf, "documents"))
+
+
+@query("op12_virtual_slots", shards.SHARDS_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return shards.shard(table(spark, sf, "documents"))
