@@ -2,7 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from odd_rows import SF
+from odd_rows import SF, nothing, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from outpulse.llm import shards
