@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpulse.llm import ann, chat, decontam, licenses, lm, merkle, mixing, near, quality, repeats, secrets, shards
+from outpulse.llm import ann, chat, decontam, licenses, lm, merkle, mixing, near, quality, repeats, secrets, shards, trie
 from outpulse.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]
@@ -76,3 +76,8 @@ def op13(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_virtual_slots", shards.SHARDS_SQL)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return shards.shard(table(spark, sf, "documents"))
+
+
+@query("op11_zfast_trie", trie.TRIE_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return trie.trie(trie.with_shared_heads(trie.turn_lists(table(spark, sf, "conversations"))))
