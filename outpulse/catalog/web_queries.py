@@ -10,6 +10,8 @@ from outpulse.catalog import views as V
 from outpulse.catalog.registry import query
 from outpulse.operators import web as W
 from outpulse.plans import digests as G
+from outpulse.session import run_dir
+from outpulse.sources.firsts import update_firsts
 
 WIDE = 21_600
 WEEK = (date(2024, 1, 8), date(2024, 1, 14))
@@ -95,7 +97,11 @@ def win_session_hits(spark, sf):
 
 @query("ga_overview", report_sql({}, OVERVIEW, LATER, gap=WIDE))
 def ga_overview(spark, sf):
-    return W.overview(V.hits(spark, sf), LATER, gap=WIDE)
+    """First hits are filed week by week, as runs of earlier days leave them."""
+    hits, path = V.hits(spark, sf), run_dir(spark, "firsts")
+    for through in (WEEK[1], LATER[1]):
+        firsts = update_firsts(spark, path, hits, through)
+    return W.overview(hits, LATER, gap=WIDE, firsts=firsts)
 
 
 @query(

@@ -9,8 +9,8 @@ user's hits. A user with a third of all hits costs no more than a steady one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from outpulse.functions import dates as D
 from outpulse.operators.keyed import top_n_per
+from outpulse.session import store
 
 GAP = 1800
 USER = ["property_id", "user_id"]
@@ -33,6 +34,7 @@ HIT_DIMENSIONS = {
 SESSION_METRICS = ("sessions", "bounceRate", "averageSessionDuration")
 USER_METRICS = ("totalUsers", "newUsers")
 HIT_METRICS = ("screenPageViews",)
+RATES = ("bounceRate", "averageSessionDuration")
 
 
 def in_range(ts: Column, start: date | Column, end: date | Column) -> Column:
@@ -46,22 +48,20 @@ def _slot(gap: int) -> Column:
     return F.floor(D.epoch_seconds(F.col("ts")) / gap)
 
 
-def session_slots(hits: DataFrame, gap: int = GAP, counted: Sequence[Column] = ()) -> DataFrame:
-    """One row per user and slot, with the session the slot belongs to.
-
-    ``session_start`` names the session within its user; the session's totals
-    and the source and medium of its first hit are repeated on its slots.
-    A pause longer than ``gap`` seconds starts a new session. ``counted`` adds
-    further aggregates of the slot's hits.
-    """
-    slots = hits.groupBy(*USER, _slot(gap).alias("slot")).agg(
+def _fold(hits: DataFrame, gap: int, names: Sequence[str] = (), entry: bool = True, counted: Sequence[Column] = ()) -> DataFrame:
+    """One row per user, slot and hit dimension with the bounds and number of its hits."""
+    first = F.struct("ts", "event_id", "source", "medium")
+    return hits.groupBy(*USER, _slot(gap).alias("slot"), *[F.col(HIT_DIMENSIONS[d]).alias(d) for d in names]).agg(
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
         F.count("*").alias("slot_hits"),
-        F.min_by(F.struct("source", "medium"), F.struct("ts", "event_id")).alias("entry"),
+        *([F.min(first).alias("entry")] if entry else []),
         *counted,
     )
-    extra = slots.columns[slots.columns.index("entry") + 1 :]
+
+
+def _chain(slots: DataFrame, gap: int) -> DataFrame:
+    """Slots with ``starts`` and ``session_start``, and the totals and first hit of their session."""
     timeline = Window.partitionBy(*USER).orderBy("slot")
     previous = F.lag("last_ts").over(timeline)
     starts = previous.isNull() | (F.col("first_ts") > previous + F.make_dt_interval(secs=F.lit(gap)))
@@ -69,26 +69,26 @@ def session_slots(hits: DataFrame, gap: int = GAP, counted: Sequence[Column] = (
         "session_start", F.max(F.when(F.col("starts"), F.col("first_ts"))).over(timeline)
     )
     session = Window.partitionBy(*USER, "session_start")
-    seconds = D.epoch_seconds(F.max("last_ts").over(session)) - D.epoch_seconds(F.col("session_start"))
-    entry = F.max(F.when(F.col("starts"), F.col("entry"))).over(session)
-    return (
-        chained.withColumn("user_first_ts", F.min("first_ts").over(Window.partitionBy(*USER)))
-        .withColumn("session_hits", F.sum("slot_hits").over(session))
-        .withColumn("session_seconds", seconds)
-        .withColumn("_entry", entry)
-        .select(
-            *USER,
-            "slot",
-            "starts",
-            "session_start",
-            "session_hits",
-            "session_seconds",
-            F.col("_entry.source").alias("session_source"),
-            F.col("_entry.medium").alias("session_medium"),
-            "user_first_ts",
-            *extra,
+    chained = chained.withColumn("session_hits", F.sum("slot_hits").over(session)).withColumn("session_end", F.max("last_ts").over(session))
+    seconds = D.epoch_seconds(F.col("session_end")) - D.epoch_seconds(F.col("session_start"))
+    chained = chained.withColumn("session_seconds", seconds)
+    if "entry" in slots.columns:
+        entry = F.max(F.when(F.col("starts"), F.col("entry"))).over(session)
+        chained = chained.withColumn("_entry", entry).withColumns(
+            {"session_source": F.col("_entry.source"), "session_medium": F.col("_entry.medium")}
         )
-    )
+    return chained.drop("_entry", "entry", "first_ts", "last_ts", "slot_hits")
+
+
+def session_slots(hits: DataFrame, gap: int = GAP) -> DataFrame:
+    """One row per user and slot of the whole history, with the session the slot belongs to.
+
+    ``session_start`` names the session within its user; the session's totals
+    and the source and medium of its first hit are repeated on its slots.
+    A pause longer than ``gap`` seconds starts a new session.
+    """
+    slots = _fold(hits, gap).withColumn("user_first_ts", F.min("first_ts").over(Window.partitionBy(*USER)))
+    return _chain(slots, gap).drop("session_end")
 
 
 def sessions(hits: DataFrame, gap: int = GAP) -> DataFrame:
@@ -102,11 +102,15 @@ def with_sessions(hits: DataFrame, gap: int = GAP) -> DataFrame:
     return _join_slots(hits.withColumn("slot", _slot(gap)), slots).drop("slot")
 
 
+def _same(right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``right`` with renamed keys and the null-safe join on them: hits without a user are one unknown user of their property."""
+    renamed = right.withColumnsRenamed({c: f"_{c}" for c in keys})
+    return renamed, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+
+
 def _join_slots(df: DataFrame, slots: DataFrame) -> DataFrame:
-    """Hits without a user are one unknown user of their property, so the user compares null-safely."""
     keys = [*USER, "slot"]
-    right = slots.withColumnsRenamed({c: f"_{c}" for c in keys})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    right, same = _same(slots, keys)
     joined = df.join(right, same).drop(*[f"_{c}" for c in keys])
     return joined.select(*keys, *[c for c in df.columns if c not in keys], *[c for c in slots.columns if c not in keys])
 
@@ -119,9 +123,123 @@ def _counted(start: date, end: date) -> list[Column]:
     ]
 
 
-def range_slots(hits: DataFrame, date_range: tuple[date, date], gap: int = GAP) -> DataFrame:
-    """Session slots with their hits and views inside the range: all a report without hit dimensions needs."""
-    return session_slots(hits, gap, _counted(*date_range))
+def _at(epoch: int) -> Column:
+    return F.lit((datetime(1970, 1, 1) + timedelta(seconds=epoch)).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _between(hits: DataFrame, lo: int, hi: int) -> DataFrame:
+    """Hits from epoch second ``lo`` to before ``hi``; the bounds reach the scan."""
+    return hits.where((F.col("ts") >= _at(lo)) & (F.col("ts") < _at(hi)))
+
+
+def _open_ends(folded: DataFrame, lo: int, hi: int, gap: int) -> DataFrame:
+    """Users with a session in the range that hits before ``lo`` or from ``hi`` on may belong to."""
+    slots = folded.groupBy(*USER, "slot").agg(
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        F.sum("slot_hits").alias("slot_hits"), F.sum("hits").alias("hits"),
+    )
+    chained = _chain(slots, gap).groupBy(*USER, "session_start", "session_end").agg(F.sum("hits").alias("hits")).where("hits > 0")
+    ends = chained.groupBy(*USER).agg(F.min("session_start").alias("from"), F.max("session_end").alias("to"))
+    ends = ends.select(*USER, (F.col("from") < _at(lo + gap)).alias("back"), (F.col("to") >= _at(hi - gap)).alias("ahead"))
+    return ends.where(F.col("back") | F.col("ahead"))
+
+
+def range_hits(
+    hits: DataFrame, date_range: tuple[date, date], gap: int = GAP, dimensions: Sequence[str] = (), entry: bool = True
+) -> DataFrame:
+    """Folded hits of every session with a hit in the range, whole sessions, stored; hits of others may be among them.
+
+    The days of the range and one on each side are read. Sessions that may go
+    on beyond what was read are extended: each further read is twice as wide
+    and keeps only the users whose session is still open at that end, until
+    there are none. All reads are bounds on ``ts``, so a report's cost follows
+    its range, not the history. Rows have the user, the slot, the
+    ``dimensions`` of hits, and the hits and views inside the range.
+    """
+    start, end = ((d - date(1970, 1, 1)).days * D.DAY for d in date_range)
+    step = -(-max(D.DAY, gap) // gap) * gap
+    lo, hi = (start // gap) * gap - step, -(-(end + D.DAY) // gap) * gap + step
+    names = [d for d in dimensions if d in HIT_DIMENSIONS]
+    fold = lambda rows: store(_fold(rows, gap, names, entry, _counted(*date_range)), "range-hits")
+    folded = fold(_between(hits, lo, hi))
+    ends = store(_open_ends(folded, lo, hi, gap), "open-sessions")
+    while not ends.isEmpty():
+        lower, upper = lo - step, hi + step
+        sides = []
+        for side, since, until in (("back", lower, lo), ("ahead", hi, upper)):
+            users, same = _same(ends.where(side).select(*USER), USER)
+            sides.append(_between(hits, since, until).join(users, same, "left_semi"))
+        folded = folded.unionByName(fold(sides[0].unionByName(sides[1])))
+        lo, hi, step = lower, upper, 2 * step
+        users, same = _same(ends.select(*USER), USER)
+        ends = store(_open_ends(folded.join(users, same, "left_semi"), lo, hi, gap), "open-sessions")
+    return folded
+
+
+def _range_slots(folded: DataFrame, gap: int) -> DataFrame:
+    slots = folded.groupBy(*USER, "slot").agg(
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("slot_hits").alias("slot_hits"),
+        *([F.min("entry").alias("entry")] if "entry" in folded.columns else []),
+        F.sum("hits").alias("hits"), F.sum("views").alias("views"),
+    )
+    return _chain(slots, gap).drop("starts", "session_end")
+
+
+_REPORT_NAMES = {**SESSION_DIMENSIONS, **HIT_DIMENSIONS}
+
+
+def _formulas(date_range: tuple[date, date], sessions_known: bool) -> dict[str, Column]:
+    """Metrics over rows of (dimensions, user). The unknown user has sessions and views but is nobody to count."""
+    active = (F.col("hits") > 0) & F.col("user_id").isNotNull()
+    formulas = {"totalUsers": F.count_if(active), "screenPageViews": F.sum("views")}
+    if sessions_known:
+        per_session = lambda c: F.coalesce(F.try_divide(F.sum(c), F.sum("begun")), F.lit(0.0))
+        formulas |= {
+            "sessions": F.sum("begun"),
+            "newUsers": F.count_if(active & F.coalesce("fresh", F.lit(False))),
+            "bounceRate": per_session("bounced"),
+            "averageSessionDuration": per_session("seconds"),
+        }
+    return formulas
+
+
+def _per_user(per_session, group: Sequence[str], date_range: tuple[date, date], firsts: DataFrame | None) -> DataFrame:
+    """Sessions folded to (group, user), with ``fresh``, whether the user's first hit ever lies in the range."""
+    begun = in_range(F.col("session_start"), *date_range)
+    folded = per_session.groupBy("property_id", *group, "user_id").agg(
+        F.sum("hits").alias("hits"),
+        F.sum("views").alias("views"),
+        F.count_if(begun).alias("begun"),
+        F.count_if(begun & (F.col("session_hits") == 1)).alias("bounced"),
+        F.sum(F.when(begun, F.col("session_seconds")).otherwise(0)).alias("seconds"),
+    )
+    if firsts is None:
+        return folded.withColumn("fresh", F.lit(False))
+    fresh = firsts.where(in_range(F.col("first_ts"), *date_range)).select(*USER, F.lit(True).alias("fresh"))
+    return folded.join(fresh, USER, "left")
+
+
+def _checked(dimensions: Sequence[str], metrics: Sequence[str]) -> None:
+    unknown = [d for d in dimensions if d not in _REPORT_NAMES]
+    unknown += [m for m in metrics if m not in (*SESSION_METRICS, *USER_METRICS, *HIT_METRICS)]
+    if unknown:
+        raise ValueError(f"unknown dimensions or metrics: {unknown}")
+
+
+def _session_totals() -> list[Column]:
+    return [
+        F.sum("hits").alias("hits"), F.sum("views").alias("views"),
+        F.first("session_hits").alias("session_hits"), F.first("session_seconds").alias("session_seconds"),
+    ]
+
+
+def _sessioned(folded: DataFrame, dimensions: Sequence[str], gap: int) -> DataFrame:
+    """Folded hits with the attributes of their session; without hit dimensions the slots are enough."""
+    slots = _range_slots(folded, gap)
+    names = [d for d in dimensions if d in HIT_DIMENSIONS]
+    if names:
+        slots = _join_slots(folded.select(*USER, "slot", *names, "hits", "views"), slots.drop("hits", "views"))
+    return slots.withColumnsRenamed({SESSION_DIMENSIONS[d]: d for d in dimensions if d in SESSION_DIMENSIONS})
 
 
 def report(
@@ -132,78 +250,105 @@ def report(
     order_bys: Sequence[tuple[str, bool]] = (),
     limit: int = 10,
     gap: int = GAP,
-    slots: DataFrame | None = None,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """Any dimensions by any metrics over a closed date range, per property.
 
     ``order_bys`` lists ``(metric, descending)``; the dimensions break ties.
     Session metrics count the sessions that began in the range, the other
-    metrics the hits in the range. Rows are folded to (dimensions, user,
-    session), then (dimensions, user), then dimensions, so distinct counts are
-    plain counts and every fold starts map-side. Several reports over one range
-    share a stored :func:`range_slots` table through ``slots``.
+    metrics the hits in the range; :func:`range_hits` reads what that takes.
+    Rows are folded to (dimensions, user, session), then (dimensions, user),
+    then dimensions, so distinct counts are plain counts and every fold starts
+    map-side. ``firsts`` is the table of :mod:`outpulse.sources.firsts`; new
+    users, and the zero row of a property without data, are looked up there.
+    Without it, all hits up to the end of the range are folded for it.
     """
-    unknown = [d for d in dimensions if d not in SESSION_DIMENSIONS and d not in HIT_DIMENSIONS]
-    unknown += [m for m in metrics if m not in (*SESSION_METRICS, *USER_METRICS, *HIT_METRICS)]
-    if unknown:
-        raise ValueError(f"unknown dimensions or metrics: {unknown}")
-
+    _checked(dimensions, metrics)
     needs_sessions = any(m in SESSION_METRICS or m == "newUsers" for m in metrics) or any(
         d in SESSION_DIMENSIONS for d in dimensions
     )
-    start, end = date_range
-    group = ["property_id", *dimensions]
-    hit_dims = [F.col(HIT_DIMENSIONS[d]).alias(d) for d in dimensions if d in HIT_DIMENSIONS]
-    names = [d for d in dimensions if d in HIT_DIMENSIONS]
-    counted = _counted(start, end)
+    if firsts is None and ("newUsers" in metrics or not dimensions):
+        firsts = first_hits(_before(hits, date_range[1]))
     if needs_sessions:
-        session_dims = [F.col(SESSION_DIMENSIONS[d]).alias(d) for d in dimensions if d in SESSION_DIMENSIONS]
-        slots = range_slots(hits, date_range, gap) if slots is None else slots
-        if hit_dims:
-            folded = hits.groupBy(*USER, _slot(gap).alias("slot"), *hit_dims).agg(*counted)
-            joined = _join_slots(folded, slots.drop("hits", "views"))
-        else:
-            joined = slots
-        per_session = joined.groupBy(*USER, *names, *session_dims, "session_start").agg(
-            F.sum("hits").alias("hits"),
-            F.sum("views").alias("views"),
-            F.first("session_hits").alias("session_hits"),
-            F.first("session_seconds").alias("session_seconds"),
-            F.first("user_first_ts").alias("user_first_ts"),
-        )
-        begun = in_range(F.col("session_start"), start, end)
-        per_user = per_session.groupBy(*group, "user_id").agg(
-            F.sum("hits").alias("hits"),
-            F.sum("views").alias("views"),
-            F.count_if(begun).alias("begun"),
-            F.count_if(begun & (F.col("session_hits") == 1)).alias("bounced"),
-            F.sum(F.when(begun, F.col("session_seconds")).otherwise(0)).alias("seconds"),
-            F.first("user_first_ts").alias("user_first_ts"),
-        )
+        folded = range_hits(hits, date_range, gap, dimensions, entry=any(d in SESSION_DIMENSIONS for d in dimensions))
+        joined = _sessioned(folded, dimensions, gap)
+        per_session = joined.groupBy(*USER, *dimensions, "session_start").agg(*_session_totals())
+        per_user = _per_user(per_session, dimensions, date_range, firsts if "newUsers" in metrics else None)
     else:
-        per_user = hits.where(in_range(F.col("ts"), start, end)).groupBy("property_id", *hit_dims, "user_id").agg(*counted)
-
-    # The unknown user has sessions and views but is nobody to count.
-    active = (F.col("hits") > 0) & F.col("user_id").isNotNull()
-    per_session_of = lambda c: F.coalesce(F.try_divide(F.sum(c), F.sum("begun")), F.lit(0.0))
-    formulas = {
-        "sessions": lambda: F.sum("begun"),
-        "totalUsers": lambda: F.count_if(active),
-        "newUsers": lambda: F.count_if(active & in_range(F.col("user_first_ts"), start, end)),
-        "screenPageViews": lambda: F.sum("views"),
-        "bounceRate": lambda: per_session_of("bounced"),
-        "averageSessionDuration": lambda: per_session_of("seconds"),
-    }
-    rows = per_user.groupBy(*group).agg(
-        *[formulas[m]().alias(m) for m in metrics],
-        (F.sum("hits") + (F.sum("begun") if needs_sessions else F.lit(0))).alias("_activity"),
-    )
-    # A property without data keeps its zero row; a dimension value without data has no row.
-    if dimensions:
-        rows = rows.where(F.col("_activity") > 0)
-    rows = rows.drop("_activity")
+        shown = [F.col(HIT_DIMENSIONS[d]).alias(d) for d in dimensions]
+        inside = hits.where(in_range(F.col("ts"), *date_range))
+        per_user = inside.groupBy("property_id", *shown, "user_id").agg(*_counted(*date_range))
+    formulas = _formulas(date_range, needs_sessions)
+    active = F.sum("hits") + (F.sum("begun") if needs_sessions else F.lit(0))
+    rows = per_user.groupBy("property_id", *dimensions).agg(*[formulas[m].alias(m) for m in metrics], active.alias("_activity"))
+    rows = rows.where(F.col("_activity") > 0).drop("_activity")
+    if not dimensions:
+        # A property without data keeps its zero row; a dimension value without data has no row.
+        zeros = [F.coalesce(m, F.lit(0.0 if m in RATES else 0).cast(rows.schema[m].dataType)).alias(m) for m in metrics]
+        return firsts.select("property_id").distinct().join(rows, "property_id", "left").select("property_id", *zeros)
     order = [F.desc(m) if desc else F.asc(m) for m, desc in order_bys]
-    return top_n_per(rows, ["property_id"], [*order, *dimensions], limit) if dimensions else rows
+    return top_n_per(rows, ["property_id"], [*order, *dimensions], limit)
+
+
+def _before(hits: DataFrame, end: date) -> DataFrame:
+    return hits.where(F.col("ts") < _at(((end - date(1970, 1, 1)).days + 1) * D.DAY))
+
+
+def first_hits(hits: DataFrame) -> DataFrame:
+    """(property_id, user_id, first_ts) of every user, the unknown one included."""
+    return hits.groupBy(*USER).agg(F.min("ts").alias("first_ts"))
+
+
+def reports(
+    hits: DataFrame,
+    wanted: Mapping[str, tuple[Sequence[str], str | None, int]],
+    date_range: tuple[date, date],
+    gap: int = GAP,
+    firsts: DataFrame | None = None,
+) -> DataFrame:
+    """Several reports over one range from one pass, as one table.
+
+    ``wanted`` maps a report's name to its dimensions, the metric its rows
+    descend by (None: by dimensions) and its limit. Hits are read, folded and
+    given their session once; grouping sets fold them for all reports together.
+    Columns: property_id, report, all dimensions (null where the report lacks
+    them), all metrics, and ``place``. Rows equal those of :func:`report`: a
+    report of hit dimensions by a hit metric lists what was hit in the range,
+    others also what only sessions that began there name; a report without
+    dimensions has its zero rows.
+    """
+    every = list(dict.fromkeys(d for dimensions, _, _ in wanted.values() for d in dimensions))
+    _checked(every, [m for _, m, _ in wanted.values() if m])
+    firsts = first_hits(_before(hits, date_range[1])) if firsts is None else firsts
+    entry = any(d in SESSION_DIMENSIONS for d in every)
+    joined = _sessioned(range_hits(hits, date_range, gap, every, entry), every, gap)
+    sets = [[*USER, "session_start", *dimensions] for dimensions, _, _ in wanted.values()]
+    # A set's bits name the dimensions it leaves out, the first one highest.
+    masks = {name: sum(1 << (len(every) - 1 - i) for i, d in enumerate(every) if d not in dimensions) for name, (dimensions, _, _) in wanted.items()}
+    named = F.create_map(*[F.lit(x) for name, mask in masks.items() for x in (mask, name)])
+    per_session = joined.groupingSets(sets, *USER, "session_start", *every).agg(F.grouping_id().alias("_set"), *_session_totals())
+    per_user = _per_user(per_session, ["_set", *every], date_range, firsts)
+    plain = [masks[name] for name, (dimensions, _, _) in wanted.items() if not dimensions]
+    if plain:
+        # A property without data keeps its zero row: a user who did nothing.
+        known = firsts.select("property_id").distinct().withColumns({"_set": F.lit(plain[0]).cast(per_user.schema["_set"].dataType), "fresh": F.lit(False)})
+        nothing = {c: F.lit(0).cast("bigint") for c in ("hits", "views", "begun", "bounced", "seconds")}
+        per_user = per_user.unionByName(known.withColumns(nothing), allowMissingColumns=True)
+    formulas = _formulas(date_range, True)
+    of_hits = F.col("_set").isin([masks[n] for n, (dims, _, _) in wanted.items() if dims and all(d in HIT_DIMENSIONS for d in dims) and wanted[n][1] in HIT_METRICS])
+    active = F.sum("hits") + F.when(of_hits, 0).otherwise(F.sum("begun"))
+    rows = per_user.groupBy("property_id", "_set", *every).agg(*[c.alias(m) for m, c in formulas.items()], active.alias("_activity"))
+    shown = (F.col("_activity") > 0) | F.col("_set").isin(plain)
+    rows = rows.where(shown).select("property_id", named[F.col("_set")].alias("report"), *every, *formulas)
+    by = F.lit(None).cast("bigint")
+    limit = F.lit(1)
+    for name, (_, metric, most) in wanted.items():
+        if metric:
+            by = F.when(F.col("report") == name, F.col(metric)).otherwise(by)
+        limit = F.when(F.col("report") == name, most).otherwise(limit)
+    place = F.row_number().over(Window.partitionBy("property_id", "report").orderBy(by.desc(), *every))
+    ranked = rows.withColumn("place", place).where(F.col("place") <= max(most for _, _, most in wanted.values()))
+    return ranked.where(F.col("place") <= limit)
 
 
 def overview(hits: DataFrame, date_range: tuple[date, date], **options) -> DataFrame:

@@ -138,44 +138,38 @@ def repo_digest(
     return _number(sections, by, SHORT)
 
 
-def _ranked(df: DataFrame, by: Sequence[str], *order: Column) -> DataFrame:
-    """Rows of a report (at most its limit per tenant) with their place."""
-    return number_rows(df, by, list(order), "place", largest=SHORT)
-
-
 def web_digest(
     hits: DataFrame,
     date_range: tuple[date, date],
     label: str,
     title: str = "Google Analytics",
     gap: int = WEB.GAP,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """Web analytics digest: overview, devices, sources, pages and countries of every property.
 
-    Sessions are built once and stored for all reports.
+    The five reports come from one pass over the range's hits and are stored
+    as one table of at most the reports' limits per property.
     """
     by = ["property_id"]
     whole = lambda c: X.thousands(F.col(c))
     first = F.col("place") == 1
     users = lambda name: _text("• ", name, ": ", whole("sessions"), " sessions (", whole("totalUsers"), " users)")
 
-    shared = {"gap": gap, "slots": store(WEB.range_slots(hits, date_range, gap), "slots")}
-    head = WEB.overview(hits, date_range, **shared)
-    devices = WEB.devices(hits, date_range, **shared).withColumn(
-        "shown", _text(F.col("deviceCategory"), ": ", whole("sessions"))
-    )
+    wanted = {
+        "overview": ([], None, 1),
+        "devices": (["deviceCategory"], None, 10),
+        "sources": (["sessionSource", "sessionMedium"], "sessions", 10),
+        "pages": (["pagePath", "pageTitle"], "screenPageViews", 10),
+        "countries": (["country"], "sessions", 5),
+    }
+    rows = store(WEB.reports(hits, wanted, date_range, gap, firsts), "web-reports")
+    head, devices, sources, pages, countries = (rows.where(F.col("report") == name) for name in wanted)
+    devices = devices.withColumn("shown", _text(F.col("deviceCategory"), ": ", whole("sessions")))
     # At most the report's ten rows per property.
     device_line = devices.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("deviceCategory", "shown"))).alias("_rows")
     )
-    sources = _ranked(
-        WEB.top_sources(hits, date_range, **shared), by, F.desc("sessions"), F.col("sessionSource"),
-        F.col("sessionMedium"),
-    )
-    pages = _ranked(
-        WEB.top_pages(hits, date_range), by, F.desc("screenPageViews"), F.col("pagePath"), F.col("pageTitle")
-    )
-    countries = _ranked(WEB.top_countries(hits, date_range, **shared), by, F.desc("sessions"), F.col("country"))
     place = F.col("place")
     source = _text(F.col("sessionSource"), " / ", F.col("sessionMedium"))
     page = _text(

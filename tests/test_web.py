@@ -7,6 +7,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from outpulse.operators import web as W
+from outpulse.sources.firsts import read_firsts, update_firsts
 
 HITS = (
     "property_id STRING, event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, page_path STRING, "
@@ -56,9 +57,12 @@ def test_sessions_equal_a_walk_over_the_hits(spark):
     assert W.with_sessions(df, 600).count() == len(rows)
 
 
-@pytest.mark.parametrize("dims", [[], ["sessionSource"], ["country"], ["deviceCategory", "sessionMedium"]])
-def test_report_equals_distinct_counts(spark, dims):
-    rows, days = random_hits(), (date(2024, 1, 2), date(2024, 1, 3))
+METRICS = ["sessions", "totalUsers", "newUsers", "screenPageViews", "bounceRate", "averageSessionDuration"]
+DAYS = (date(2024, 1, 2), date(2024, 1, 3))
+
+
+def brute_report(rows, dims, days):
+    """Metrics by a walk over all hits."""
     inside = lambda ts: days[0] <= ts.date() <= days[1]
     first_hit = {}
     for r in rows:
@@ -66,14 +70,14 @@ def test_report_equals_distinct_counts(spark, dims):
     groups = defaultdict(lambda: {"s": {}, "u": set(), "v": 0, "any": False})
     for ((p, u), start), hits in brute_sessions(rows, 600).items():
         for h in hits:
-            value = {"sessionSource": hits[0][7], "sessionMedium": hits[0][8], "country": h[9], "deviceCategory": h[10]}
+            value = {"sessionSource": hits[0][7], "sessionMedium": hits[0][8], "country": h[9], "deviceCategory": h[10], "pagePath": h[5]}
             g = groups[(p, *[value[d] for d in dims])]
             if inside(start):
                 g["s"][u, start] = (len(hits), int(hits[-1][3].timestamp()) - int(start.timestamp()))
                 g["any"] = True
             if inside(h[3]):
                 g["any"] = True
-                g["u"].add(u)
+                g["u"] |= {u} - {None}
                 g["v"] += h[4] == "view"
     want = set()
     for key, g in groups.items():
@@ -83,10 +87,77 @@ def test_report_equals_distinct_counts(spark, dims):
         bounced, seconds = sum(c == 1 for c, _ in g["s"].values()), sum(s for _, s in g["s"].values())
         new = sum(inside(first_hit[key[0], u]) for u in g["u"])
         want.add((*key, n, len(g["u"]), new, g["v"], bounced / n if n else 0.0, seconds / n if n else 0.0))
-    metrics = ["sessions", "totalUsers", "newUsers", "screenPageViews", "bounceRate", "averageSessionDuration"]
-    df = spark.createDataFrame(rows, HITS)
-    got = W.report(df, dims, metrics, days, limit=1000, gap=600).collect()
-    assert {tuple(r) for r in got} == want
+    return want
+
+
+def long_sessions():
+    """Sessions that reach into the range and out of it by days, of a known and of an unknown user, and one just beyond the gap."""
+    rows = random_hits()
+    for user, since, until in ((8, -5, 12), (None, 1.3, 1.9), (9, 2.5, 9), (10, -3, 1.01), (None, 3.4, 3.7)):
+        at = T0 + timedelta(days=since)
+        while at < T0 + timedelta(days=until):
+            rows.append(("p0", len(rows), user, at, "view", "/long", "t", f"s{len(rows) % 5}", "m0", "c0", f"d{len(rows) % 2}"))
+            at += timedelta(seconds=600)
+    edge = datetime(2024, 1, 2)
+    rows += [("p1", 90_000 + i, 11, edge + timedelta(seconds=s), "view", "/", "t", f"e{i}", "m", "c", "d") for i, s in enumerate((-601, 0, 600, 1200.5))]
+    return rows
+
+
+@pytest.mark.parametrize("dims", [[], ["sessionSource"], ["country"], ["deviceCategory", "sessionMedium"]])
+def test_report_equals_distinct_counts(spark, dims):
+    rows = random_hits()
+    got = W.report(spark.createDataFrame(rows, HITS), dims, METRICS, DAYS, limit=1000, gap=600).collect()
+    assert {tuple(r) for r in got} == brute_report(rows, dims, DAYS)
+
+
+def test_sessions_across_both_ends_are_read_whole(spark, tmp_path, monkeypatch):
+    """The range's days are read, then, in bounded reads, what its open sessions need; one pass gives all reports."""
+    rows, path = long_sessions(), str(tmp_path / "hits")
+    spark.createDataFrame(rows, HITS).write.parquet(path)
+    hits, plans = spark.read.parquet(path), []
+
+    def recorded(df, name, stored=W.store):
+        plans.append(plan_of(df))
+        return stored(df, name)
+
+    monkeypatch.setattr(W, "store", recorded)
+    firsts = W.first_hits(hits)
+    dims = ["sessionSource", "deviceCategory"]
+    got = W.report(hits, dims, METRICS, DAYS, limit=1000, gap=600, firsts=firsts).collect()
+    assert {tuple(r) for r in got} == brute_report(rows, dims, DAYS)
+    scans = [line for plan in plans for line in plan.split("\n") if "FileScan" in line and "tmp_path" not in line and path in line]
+    assert len(scans) >= 5 and all("GreaterThanOrEqual(ts," in line and "LessThan(ts," in line for line in scans)
+
+    wanted = {"all": ([], None, 1), "s": (["sessionSource"], "sessions", 1000), "d": (["deviceCategory"], None, 1000),
+              "c": (["country", "pagePath"], "sessions", 1000)}
+    table = W.reports(hits, wanted, DAYS, 600, firsts)
+    for name, (dimensions, _, _) in wanted.items():
+        some = table.where(F.col("report") == name).select("property_id", *dimensions, *METRICS).collect()
+        assert {tuple(r) for r in some} == brute_report(rows, dimensions, DAYS)
+    assert plan_of(table).count("Expand") == 1
+
+
+def test_reports_rank_and_limit(spark):
+    hits = spark.createDataFrame(random_hits(), HITS)
+    table = W.reports(hits, {"p": (["pagePath", "pageTitle"], "screenPageViews", 2), "o": ([], None, 1)}, DAYS, 600)
+    one = W.report(hits, ["pagePath", "pageTitle"], ["screenPageViews", "totalUsers"], DAYS, [("screenPageViews", True)], 2, 600)
+    some = table.where("report = 'p'").select("property_id", "pagePath", "pageTitle", "screenPageViews", "totalUsers")
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, one.collect()))
+    idle = W.reports(hits, {"o": ([], None, 1)}, (date(2030, 1, 1), date(2030, 1, 2)), 600).collect()
+    assert {(r.property_id, r.sessions, r.averageSessionDuration) for r in idle} == {("p0", 0, 0.0), ("p1", 0, 0.0)}
+
+
+def test_first_hits_grow_by_days(spark, tmp_path):
+    rows = long_sessions()
+    hits, path = spark.createDataFrame(rows, HITS), str(tmp_path / "firsts")
+    assert read_firsts(spark, path).count() == 0
+    for day in (date(2024, 1, 1), date(2024, 1, 4), date(2024, 1, 3), date(2024, 1, 4), date(2024, 1, 20)):
+        update_firsts(spark, path, hits, day)
+    want = {}
+    for r in rows:
+        want[r[0], r[2]] = min(want.get((r[0], r[2]), r[3]), r[3])
+    assert {(r[0], r[1]): r[2] for r in read_firsts(spark, path).collect()} == want
+    assert read_firsts(spark, path).count() == len(want)
 
 
 def test_overview_has_zeros_without_data(spark):
@@ -105,9 +176,8 @@ def test_hit_reports_need_no_sessions_and_prune(spark, tmp_path):
     plan = plan_of(W.top_pages(spark.read.parquet(path), (date(2024, 1, 2), date(2024, 1, 3))))
     assert "GreaterThanOrEqual(ts,2024-01-02T00:00)" in plan and "WindowGroupLimit" in plan
     assert "medium" not in plan and "lag(" not in plan
-    plan = plan_of(W.overview(spark.read.parquet(path), (date(2024, 1, 2), date(2024, 1, 3))))
-    # Without session dimensions no text is carried and the folds are hash aggregates on both sides of the shuffle.
-    assert "SortAggregate" not in plan and "source" not in plan
+    # Without session dimensions no text is carried.
+    assert "entry" not in W.range_hits(spark.read.parquet(path), (date(2024, 1, 2), date(2024, 1, 3)), entry=False).columns
 
 
 def test_hits_without_a_user_stay(spark):
