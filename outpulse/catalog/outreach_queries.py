@@ -388,3 +388,67 @@ FROM told""",
 )
 def payload_opportunities(spark, sf):
     return G.section_payload(digest_opportunities(spark, sf), V.EVENTS_AS_OF, "C1")
+
+
+def _run_sql(no: int, per_run: int = O.BATCHES_PER_RUN) -> str:
+    """One turn of the loop: batches, searches, seen URLs, threads, scores, the cap."""
+    known = " UNION ALL ".join(["SELECT campaign, url FROM v_seen", *[f"SELECT campaign, url FROM reported_{k}" for k in range(1, no)]])
+    score = _FOUND
+    return f"""
+posts_{no} AS (
+  SELECT campaign, batch_pos, batch_no, kw_pos, keyword, hit_pos, rtrim(split_part(link, '?', 1), '/') AS url,
+         split_part(split_part(link, '/r/', 2), '/', 1) AS subreddit, trim(replace(title, ' - Reddit', '')) AS title, snippet
+  FROM (
+    SELECT c.campaign, i::INT AS batch_pos, b.batch_no, b.kw_pos, b.keyword, s.hit_pos, s.link, s.title, s.snippet
+    FROM v_cursors c, unnest(range({per_run})) r(i)
+    JOIN v_batches b ON b.batch_no = (c.next_batch - 1 + {(no - 1) * per_run} + i) % 15 + 1
+    JOIN v_search s ON s.campaign = c.campaign AND s.keyword = b.keyword
+    QUALIFY row_number() OVER (PARTITION BY c.campaign, b.batch_no, b.kw_pos ORDER BY s.hit_pos) <= 3)
+  WHERE contains(link, 'reddit.com/r/') AND contains(link, '/comments/')),
+asked_{no} AS (
+  SELECT f.*, subreddit || chr(10) || title || chr(10) || CASE WHEN body = '' THEN '(no body text)' ELSE body END || chr(10)
+         || CASE WHEN len(comments) = 0 THEN '(no comments)' ELSE '- ' || array_to_string(comments, chr(10) || '- ') END AS prompt
+  FROM (
+    SELECT p.*, CASE WHEN t.selftext IS NULL THEN snippet WHEN t.selftext IN ('', '[removed]', '[deleted]') THEN left(snippet, 2000)
+                     ELSE left(t.selftext, 2000) END AS body, coalesce(t.comments, []) AS comments
+    FROM (SELECT * FROM posts_{no} WHERE (campaign, url) NOT IN ({known})
+          QUALIFY row_number() OVER (PARTITION BY campaign, url ORDER BY batch_pos, kw_pos, hit_pos) = 1) p
+    LEFT JOIN fetched t USING (url)) f),
+reported_{no} AS (
+  SELECT * EXCLUDE (prompt, body, comments, snippet) FROM (SELECT *, least(10, {score}) AS n FROM asked_{no})
+  WHERE n >= 6 AND n <> 7
+  QUALIFY row_number() OVER (PARTITION BY campaign ORDER BY batch_pos, kw_pos, hit_pos) <= 10)"""
+
+
+_RUNS = 3
+RUNS = f"""
+WITH fetched AS (
+  SELECT b.url, t.selftext, t.comments FROM v_threads t JOIN v_based b ON b.hit_pos = t.conv_id
+  QUALIFY row_number() OVER (PARTITION BY b.url ORDER BY page) = 1),
+{", ".join(_run_sql(no) for no in range(1, _RUNS + 1))}
+""" + " UNION ALL ".join(
+    f"SELECT {no}::BIGINT AS run_no, campaign, batch_pos, batch_no::INT AS batch_no, kw_pos::INT AS kw_pos, keyword, url, subreddit, title, "
+    f"n::DOUBLE AS relevance_score, 'found ' || n AS suggested_comment FROM reported_{no}"
+    for no in range(1, _RUNS + 1)
+)
+
+
+@query("opportunity_run", RUNS)
+def opportunity_run(spark, sf):
+    """Three runs from landed search replies, two batches each; the second dies before its marker and is made again."""
+    root = run_dir(spark, "opportunity-runs")
+    P.seed_opportunities(spark, root, V.cursors(spark, sf), V.seen(spark, sf), V.EVENTS_AS_OF)
+
+    def dies(run):
+        raise InterruptedError(f"run {run.run_no} is cut off")
+
+    for cut in (False, True, False, False):
+        try:
+            P.run_opportunities(
+                spark, root, V.landed_search(spark, sf), V.landed_thread_urls(spark, sf), V.BATCHES, V.phrase_scorer(),
+                V.POST_TEMPLATE, V.ORDERS_AS_OF, **({"before_finish": dies} if cut else {}),
+            )
+        except InterruptedError:
+            pass
+    columns = "run_no campaign batch_pos batch_no kw_pos keyword url subreddit title relevance_score suggested_comment".split()
+    return P.found_opportunities(spark, root).select(*columns)

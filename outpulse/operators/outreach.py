@@ -20,7 +20,7 @@ BATCHES_PER_RUN = 2
 MAX_RESULTS = 10
 MIN_SCORE = 6
 
-#: Share of a batch's rows that may fail before the scorer counts as down.
+#: Share of a job's rows that may fail before the scorer counts as down.
 FAILED_SHARE = 0.5
 
 
@@ -121,37 +121,52 @@ def keyword_prompt(
     )
 
 
+def score_attempts(
+    df: DataFrame, scorer: Callable[[pd.Series], pd.Series], prompt: str = "prompt", most_failed: float = FAILED_SHARE
+) -> DataFrame:
+    """Every row with the ``_reply`` of a vectorised scorer and its ``status``, ``scored`` or ``failed``; stored.
+
+    A batch that fails is sent again by halves, down to single rows, so what
+    fails is a row and not its batch. Replies are written before anything is
+    made of them, so no row is scored again by what follows. Failures are
+    counted over the whole job: if more than the share ``most_failed`` of all
+    rows failed, the scorer is taken to be down and the job fails, whatever
+    the batches or partitions. Null replies are replies.
+    """
+
+    @F.pandas_udf("reply string, status string")
+    def ask(texts: pd.Series) -> pd.DataFrame:
+        def replies(some: pd.Series) -> list[tuple[str | None, str]]:
+            try:
+                answers = list(scorer(some))
+                if len(answers) != len(some):
+                    raise ValueError(f"{len(answers)} replies to {len(some)} posts")
+                return [(None if pd.isna(a) else a, "scored") for a in answers]
+            except Exception:
+                if len(some) <= 1:
+                    return [(None, "failed")] * len(some)
+                middle = len(some) // 2
+                return replies(some.iloc[:middle]) + replies(some.iloc[middle:])
+
+        return pd.DataFrame(replies(texts), columns=["reply", "status"])
+
+    # Non-deterministic, so that no filter is pushed below the scorer.
+    asked = df.withColumn("_asked", ask.asNondeterministic()(F.col(prompt)))
+    asked = store(asked.select(*df.columns, F.col("_asked.reply").alias("_reply"), F.col("_asked.status").alias("status")), "scored")
+    rows, failed = asked.agg(F.count("*"), F.count_if(F.col("status") == "failed")).first()
+    if failed > most_failed * rows:
+        raise RuntimeError(f"the scorer failed for {failed} of {rows} posts")
+    return asked
+
+
 def score_posts(df: DataFrame, scorer: Callable[[pd.Series], pd.Series], prompt: str = "prompt") -> DataFrame:
-    """Replies of a vectorised scorer (prompt text to reply JSON), parsed to score and comment.
+    """Rows with the score and comment of the scorer's reply (prompt text to reply JSON).
 
-    A batch that fails is scored again by halves, so rows of its sound halves
-    are paid for twice at most per level and a failing or unusable reply drops
-    its row, not the job. If more than ``FAILED_SHARE`` of a batch of four rows
-    or more fails, the scorer is taken to be down and the job fails. The scorer
-    is marked non-deterministic so that no filter is pushed below it.
+    Rows that failed (see :func:`score_attempts`, which also fails the job if
+    the scorer is down) and rows with an unusable reply are left out.
     """
-
-    def halves(texts: pd.Series) -> list[str | None]:
-        try:
-            return list(scorer(texts))
-        except Exception:
-            if len(texts) <= 1:
-                return [None] * len(texts)
-            middle = len(texts) // 2
-            return halves(texts.iloc[:middle]) + halves(texts.iloc[middle:])
-
-    @F.pandas_udf("string")
-    def reply(texts: pd.Series) -> pd.Series:
-        try:
-            return scorer(texts)
-        except Exception as error:
-            replies = halves(texts)
-            failed = sum(r is None for r in replies)
-            if len(texts) >= 4 and failed > FAILED_SHARE * len(texts):
-                raise RuntimeError(f"the scorer failed for {failed} of {len(texts)} posts") from error
-            return pd.Series(replies, dtype=object)
-
-    return parse_reply_score(df.withColumn("_reply", reply.asNondeterministic()(F.col(prompt))), "_reply")
+    asked = score_attempts(df, scorer, prompt)
+    return parse_reply_score(asked.where(F.col("status") == "scored").drop("status"), "_reply")
 
 
 def qualify(df: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

@@ -21,6 +21,7 @@ from outpulse.operators.keyed import top_n_per
 from outpulse.session import store
 
 GAP = 1800
+MARGIN_GAPS = 12
 USER = ["property_id", "user_id"]
 
 # Report dimension -> column; the first two belong to a session, the rest to a hit.
@@ -69,15 +70,16 @@ def _chain(slots: DataFrame, gap: int) -> DataFrame:
         "session_start", F.max(F.when(F.col("starts"), F.col("first_ts"))).over(timeline)
     )
     session = Window.partitionBy(*USER, "session_start")
-    chained = chained.withColumn("session_hits", F.sum("slot_hits").over(session)).withColumn("session_end", F.max("last_ts").over(session))
-    seconds = D.epoch_seconds(F.col("session_end")) - D.epoch_seconds(F.col("session_start"))
-    chained = chained.withColumn("session_seconds", seconds)
+    totals = {"session_hits": F.sum("slot_hits").over(session), "session_end": F.max("last_ts").over(session)}
+    if "hits" in slots.columns:
+        totals["session_inside"] = F.sum("hits").over(session)
     if "entry" in slots.columns:
-        entry = F.max(F.when(F.col("starts"), F.col("entry"))).over(session)
-        chained = chained.withColumn("_entry", entry).withColumns(
-            {"session_source": F.col("_entry.source"), "session_medium": F.col("_entry.medium")}
-        )
-    return chained.drop("_entry", "entry", "first_ts", "last_ts", "slot_hits")
+        totals["_entry"] = F.max(F.when(F.col("starts"), F.col("entry"))).over(session)
+    chained = chained.withColumns(totals)
+    more = {"session_seconds": D.epoch_seconds(F.col("session_end")) - D.epoch_seconds(F.col("session_start"))}
+    if "entry" in slots.columns:
+        more |= {"session_source": F.col("_entry.source"), "session_medium": F.col("_entry.medium")}
+    return chained.withColumns(more).drop("_entry")
 
 
 def session_slots(hits: DataFrame, gap: int = GAP) -> DataFrame:
@@ -88,7 +90,7 @@ def session_slots(hits: DataFrame, gap: int = GAP) -> DataFrame:
     A pause longer than ``gap`` seconds starts a new session.
     """
     slots = _fold(hits, gap).withColumn("user_first_ts", F.min("first_ts").over(Window.partitionBy(*USER)))
-    return _chain(slots, gap).drop("session_end")
+    return _chain(slots, gap).drop("session_end", "first_ts", "last_ts", "slot_hits", "entry")
 
 
 def sessions(hits: DataFrame, gap: int = GAP) -> DataFrame:
@@ -132,57 +134,66 @@ def _between(hits: DataFrame, lo: int, hi: int) -> DataFrame:
     return hits.where((F.col("ts") >= _at(lo)) & (F.col("ts") < _at(hi)))
 
 
-def _open_ends(folded: DataFrame, lo: int, hi: int, gap: int) -> DataFrame:
+def _open_ends(slots: DataFrame, lo: int, hi: int, gap: int) -> DataFrame:
     """Users with a session in the range that hits before ``lo`` or from ``hi`` on may belong to."""
-    slots = folded.groupBy(*USER, "slot").agg(
-        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
-        F.sum("slot_hits").alias("slot_hits"), F.sum("hits").alias("hits"),
-    )
-    chained = _chain(slots, gap).groupBy(*USER, "session_start", "session_end").agg(F.sum("hits").alias("hits")).where("hits > 0")
-    ends = chained.groupBy(*USER).agg(F.min("session_start").alias("from"), F.max("session_end").alias("to"))
-    ends = ends.select(*USER, (F.col("from") < _at(lo + gap)).alias("back"), (F.col("to") >= _at(hi - gap)).alias("ahead"))
-    return ends.where(F.col("back") | F.col("ahead"))
+    back, ahead = F.col("session_start") < _at(lo + gap), F.col("session_end") >= _at(hi - gap)
+    found = slots.where(F.col("starts") & (F.col("session_inside") > 0) & (back | ahead))
+    return found.groupBy(*USER).agg(F.max(back).alias("back"), F.max(ahead).alias("ahead"))
 
 
-def range_hits(
+def range_sessions(
     hits: DataFrame, date_range: tuple[date, date], gap: int = GAP, dimensions: Sequence[str] = (), entry: bool = True
-) -> DataFrame:
-    """Folded hits of every session with a hit in the range, whole sessions, stored; hits of others may be among them.
+) -> tuple[DataFrame, DataFrame]:
+    """Slots of every session with a hit in the range, whole sessions, and their hits folded by ``dimensions``.
 
-    The days of the range and one on each side are read. Sessions that may go
+    The days of the range and one on each side (or twelve times the gap, if
+    that is more) are read. Sessions that may go
     on beyond what was read are extended: each further read is twice as wide
     and keeps only the users whose session is still open at that end, until
     there are none. All reads are bounds on ``ts``, so a report's cost follows
-    its range, not the history. Rows have the user, the slot, the
-    ``dimensions`` of hits, and the hits and views inside the range.
+    its range, not the history. Both tables are stored and may hold other
+    sessions, which have no hit in the range and do not begin there. Without
+    hit dimensions they are one.
     """
     start, end = ((d - date(1970, 1, 1)).days * D.DAY for d in date_range)
-    step = -(-max(D.DAY, gap) // gap) * gap
+    step = -(-max(D.DAY, MARGIN_GAPS * gap) // gap) * gap
     lo, hi = (start // gap) * gap - step, -(-(end + D.DAY) // gap) * gap + step
     names = [d for d in dimensions if d in HIT_DIMENSIONS]
-    fold = lambda rows: store(_fold(rows, gap, names, entry, _counted(*date_range)), "range-hits")
-    folded = fold(_between(hits, lo, hi))
-    ends = store(_open_ends(folded, lo, hi, gap), "open-sessions")
-    while not ends.isEmpty():
+
+    def folded(rows: DataFrame) -> DataFrame:
+        found = _fold(rows, gap, names, entry, _counted(*date_range))
+        return store(found, "range-hits") if names else found
+
+    def slots_of(rows: DataFrame) -> DataFrame:
+        return _merged(rows) if names else rows
+
+    known = folded(_between(hits, lo, hi))
+    slots = store(_chain(slots_of(known), gap), "range-slots")
+    raw = ["first_ts", "last_ts", "slot_hits", "hits", "views", *(["entry"] if entry else [])]
+    while not (ends := _open_ends(slots, lo, hi, gap)).isEmpty():
+        ends = store(ends, "open-sessions")
         lower, upper = lo - step, hi + step
         sides = []
         for side, since, until in (("back", lower, lo), ("ahead", hi, upper)):
             users, same = _same(ends.where(side).select(*USER), USER)
             sides.append(_between(hits, since, until).join(users, same, "left_semi"))
-        folded = folded.unionByName(fold(sides[0].unionByName(sides[1])))
-        lo, hi, step = lower, upper, 2 * step
+        more = folded(sides[0].unionByName(sides[1]))
+        known = known.unionByName(more) if names else known
         users, same = _same(ends.select(*USER), USER)
-        ends = store(_open_ends(folded.join(users, same, "left_semi"), lo, hi, gap), "open-sessions")
-    return folded
+        reopened = slots.join(users, same, "left_semi").select(*USER, "slot", *raw).unionByName(slots_of(more))
+        extended = store(_chain(reopened, gap), "range-slots")
+        slots = slots.join(users, same, "left_anti").unionByName(extended)
+        lo, hi, step = lower, upper, 2 * step
+    return slots, known if names else slots
 
 
-def _range_slots(folded: DataFrame, gap: int) -> DataFrame:
-    slots = folded.groupBy(*USER, "slot").agg(
+def _merged(folded: DataFrame) -> DataFrame:
+    """Hits folded by dimensions as one row per user and slot."""
+    return folded.groupBy(*USER, "slot").agg(
         F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("slot_hits").alias("slot_hits"),
         *([F.min("entry").alias("entry")] if "entry" in folded.columns else []),
         F.sum("hits").alias("hits"), F.sum("views").alias("views"),
     )
-    return _chain(slots, gap).drop("starts", "session_end")
 
 
 _REPORT_NAMES = {**SESSION_DIMENSIONS, **HIT_DIMENSIONS}
@@ -203,10 +214,13 @@ def _formulas(date_range: tuple[date, date], sessions_known: bool) -> dict[str,
     return formulas
 
 
-def _per_user(per_session, group: Sequence[str], date_range: tuple[date, date], firsts: DataFrame | None) -> DataFrame:
-    """Sessions folded to (group, user), with ``fresh``, whether the user's first hit ever lies in the range."""
-    begun = in_range(F.col("session_start"), *date_range)
-    folded = per_session.groupBy("property_id", *group, "user_id").agg(
+def _per_user(sessioned, group: Sequence[str], date_range: tuple[date, date], firsts: DataFrame | None, once: Column) -> DataFrame:
+    """Rows folded to (group, user); a session counts in the row where ``once`` holds.
+
+    ``fresh`` says whether the user's first hit ever lies in the range.
+    """
+    begun = once & in_range(F.col("session_start"), *date_range)
+    folded = sessioned.groupBy("property_id", *group, "user_id").agg(
         F.sum("hits").alias("hits"),
         F.sum("views").alias("views"),
         F.count_if(begun).alias("begun"),
@@ -233,12 +247,15 @@ def _session_totals() -> list[Column]:
     ]
 
 
-def _sessioned(folded: DataFrame, dimensions: Sequence[str], gap: int) -> DataFrame:
-    """Folded hits with the attributes of their session; without hit dimensions the slots are enough."""
-    slots = _range_slots(folded, gap)
+def _joined(slots: DataFrame, folded: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Folded hits with the attributes of their session."""
     names = [d for d in dimensions if d in HIT_DIMENSIONS]
-    if names:
-        slots = _join_slots(folded.select(*USER, "slot", *names, "hits", "views"), slots.drop("hits", "views"))
+    attributes = ["session_start", "session_hits", "session_seconds", *[SESSION_DIMENSIONS[d] for d in dimensions if d in SESSION_DIMENSIONS]]
+    joined = _join_slots(folded.select(*USER, "slot", *names, "hits", "views"), slots.select(*USER, "slot", *attributes))
+    return _named(joined, dimensions)
+
+
+def _named(slots: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     return slots.withColumnsRenamed({SESSION_DIMENSIONS[d]: d for d in dimensions if d in SESSION_DIMENSIONS})
 
 
@@ -256,10 +273,10 @@ def report(
 
     ``order_bys`` lists ``(metric, descending)``; the dimensions break ties.
     Session metrics count the sessions that began in the range, the other
-    metrics the hits in the range; :func:`range_hits` reads what that takes.
-    Rows are folded to (dimensions, user, session), then (dimensions, user),
-    then dimensions, so distinct counts are plain counts and every fold starts
-    map-side. ``firsts`` is the table of :mod:`outpulse.sources.firsts`; new
+    metrics the hits in the range; :func:`range_sessions` reads what that
+    takes. Rows are folded to (dimensions, user, session), then (dimensions,
+    user), then dimensions, so distinct counts are plain counts and every fold
+    starts map-side. ``firsts`` is the table of :mod:`outpulse.sources.firsts`; new
     users, and the zero row of a property without data, are looked up there.
     Without it, all hits up to the end of the range are folded for it.
     """
@@ -270,10 +287,13 @@ def report(
     if firsts is None and ("newUsers" in metrics or not dimensions):
         firsts = first_hits(_before(hits, date_range[1]))
     if needs_sessions:
-        folded = range_hits(hits, date_range, gap, dimensions, entry=any(d in SESSION_DIMENSIONS for d in dimensions))
-        joined = _sessioned(folded, dimensions, gap)
-        per_session = joined.groupBy(*USER, *dimensions, "session_start").agg(*_session_totals())
-        per_user = _per_user(per_session, dimensions, date_range, firsts if "newUsers" in metrics else None)
+        slots, folded = range_sessions(hits, date_range, gap, dimensions, entry=any(d in SESSION_DIMENSIONS for d in dimensions))
+        if any(d in HIT_DIMENSIONS for d in dimensions):
+            rows = _joined(slots, folded, dimensions).groupBy(*USER, *dimensions, "session_start").agg(*_session_totals())
+            once = F.lit(True)
+        else:
+            rows, once = _named(slots, dimensions), F.col("starts")
+        per_user = _per_user(rows, dimensions, date_range, firsts if "newUsers" in metrics else None, once)
     else:
         shown = [F.col(HIT_DIMENSIONS[d]).alias(d) for d in dimensions]
         inside = hits.where(in_range(F.col("ts"), *date_range))
@@ -319,15 +339,15 @@ def reports(
     """
     every = list(dict.fromkeys(d for dimensions, _, _ in wanted.values() for d in dimensions))
     _checked(every, [m for _, m, _ in wanted.values() if m])
-    firsts = first_hits(_before(hits, date_range[1])) if firsts is None else firsts
+    firsts = store(first_hits(_before(hits, date_range[1])), "firsts") if firsts is None else firsts
     entry = any(d in SESSION_DIMENSIONS for d in every)
-    joined = _sessioned(range_hits(hits, date_range, gap, every, entry), every, gap)
+    joined = _joined(*range_sessions(hits, date_range, gap, every, entry), every)
     sets = [[*USER, "session_start", *dimensions] for dimensions, _, _ in wanted.values()]
     # A set's bits name the dimensions it leaves out, the first one highest.
     masks = {name: sum(1 << (len(every) - 1 - i) for i, d in enumerate(every) if d not in dimensions) for name, (dimensions, _, _) in wanted.items()}
     named = F.create_map(*[F.lit(x) for name, mask in masks.items() for x in (mask, name)])
     per_session = joined.groupingSets(sets, *USER, "session_start", *every).agg(F.grouping_id().alias("_set"), *_session_totals())
-    per_user = _per_user(per_session, ["_set", *every], date_range, firsts)
+    per_user = _per_user(per_session, ["_set", *every], date_range, firsts, F.lit(True))
     plain = [masks[name] for name, (dimensions, _, _) in wanted.items() if not dimensions]
     if plain:
         # A property without data keeps its zero row: a user who did nothing.

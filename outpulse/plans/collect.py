@@ -8,11 +8,13 @@ from datetime import date
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from outpulse.operators import mentions as M
 from outpulse.operators import outreach as O
 from outpulse.operators.keyed import first_per_key, join_lookup, unseen
-from outpulse.schemas import ARCHIVES
+from outpulse.schemas import ARCHIVES, SEEN
+from outpulse.sources import ledger
 from outpulse.sources.archive import update_archive
 from outpulse.sources.landing import (
     POPULAR_NAMES,
@@ -21,8 +23,11 @@ from outpulse.sources.landing import (
     read_listing,
     read_popular,
     read_repo_info,
+    read_search_items,
+    read_threads,
     read_traffic,
 )
+from outpulse.sources.seen import seen_rows
 
 ARRIVAL = ("kw_rank", "src_rank", "hit_rank")
 
@@ -126,3 +131,83 @@ def find_opportunities(
     if stages is not None:
         return O.score_until_full(prompted, scorer, by, "batch_pos", order, stages, n, min_score)
     return O.run_cap(O.qualify(O.score_posts(prompted, scorer), min_score), by, order, n)
+
+
+_INT, _LONG, _TEXT = T.IntegerType(), T.LongType(), T.StringType()
+OPPORTUNITY = T.StructType(
+    [
+        T.StructField("batch_pos", _INT),
+        T.StructField("batch_no", _INT),
+        T.StructField("kw_pos", _INT),
+        T.StructField("keyword", _TEXT),
+        T.StructField("page", _LONG),
+        T.StructField("pos", _INT),
+        T.StructField("url", _TEXT),
+        T.StructField("subreddit", _TEXT),
+        T.StructField("title", _TEXT),
+        T.StructField("relevance_score", T.DoubleType()),
+        T.StructField("suggested_comment", _TEXT),
+    ]
+)
+CURSOR = T.StructType([T.StructField("next_batch", _INT)])
+
+
+def _with(by: Sequence[str], schema: T.StructType) -> T.StructType:
+    return T.StructType([*[T.StructField(c, T.StringType()) for c in by], *schema.fields])
+
+
+def found_opportunities(spark: SparkSession, root: str, by: Sequence[str] = ("campaign",)) -> DataFrame:
+    """What the finished runs of a ledger reported, with ``run_no``."""
+    return ledger.finished(spark, root, "results", _with(by, OPPORTUNITY))
+
+
+def seed_opportunities(
+    spark: SparkSession, root: str, cursors: DataFrame, seen: DataFrame, as_of: date, by: Sequence[str] = ("campaign",)
+) -> None:
+    """Run 0 of a new ledger: first cursors (next_batch) and URLs that were reported before."""
+    run = ledger.begin(spark, root)
+    if run.run_no:
+        raise ValueError(f"{root} has runs already")
+    ledger.file_rows(run, "cursors", cursors.select(*by, F.col("next_batch").cast("int")))
+    ledger.file_rows(run, "seen", seen.select(*by, *SEEN.names))
+    ledger.finish(spark, run, as_of)
+
+
+def run_opportunities(
+    spark: SparkSession,
+    root: str,
+    searches: DataFrame,
+    threads: DataFrame,
+    batches: Mapping[int, Sequence[str]],
+    scorer: Callable[[pd.Series], pd.Series],
+    template: str,
+    as_of: date,
+    by: Sequence[str] = ("campaign",),
+    per_run: int = O.BATCHES_PER_RUN,
+    n: int = O.MAX_RESULTS,
+    min_score: float = O.MIN_SCORE,
+    before_finish: Callable[[ledger.Run], None] = lambda run: None,
+) -> ledger.Run:
+    """One whole run: landed search replies to reported posts, remembered URLs and the next cursors.
+
+    ``searches`` is (*by, keyword, page, payload), ``threads`` (url, page,
+    payload). Cursors and seen URLs are those of the finished runs of the
+    ledger at ``root``. Results, seen URLs and cursors are written first and
+    count only with the run's marker, the last thing written. A run that dies
+    before it can be made again: it takes the same batches, and nothing is
+    reported twice. Posts are scored once per attempt.
+    """
+    run = ledger.begin(spark, root)
+    cursors = ledger.latest(spark, root, "cursors", _with(by, CURSOR))
+    seen = ledger.finished(spark, root, "seen", _with(by, SEEN)).drop("run_no")
+    hits = read_search_items(searches, keep=[*by, "keyword", "page"]).withColumn("hit_pos", F.struct("page", "pos"))
+    posts = candidate_posts(hits, read_threads(threads, keep=("url", "page")), seen, cursors, batches, by, per_run)
+    found = find_opportunities(posts, scorer, template, by, n, min_score)
+    schema = _with(by, OPPORTUNITY)
+    results = ledger.file_rows(run, "results", found.select(*[F.col(f.name).cast(f.dataType) for f in schema]))
+    ledger.file_rows(run, "seen", seen_rows(results, as_of, by))
+    _, following = O.rotate(F.col("next_batch"), len(batches), per_run)
+    ledger.file_rows(run, "cursors", cursors.select(*by, following.alias("next_batch")))
+    before_finish(run)
+    ledger.finish(spark, run, as_of)
+    return run

@@ -1,3 +1,4 @@
+import json
 from datetime import date
 
 import pandas as pd
@@ -7,6 +8,9 @@ from pyspark.sql import functions as F
 from outpulse.catalog import outreach_queries as Q
 from outpulse.catalog import views as V
 from outpulse.operators import outreach as O
+from outpulse.plans import collect as C
+from outpulse.schemas import SEEN
+from outpulse.sources import ledger
 
 SF = "/root/testdata/sf0.01"
 
@@ -90,9 +94,17 @@ def test_a_failing_reply_drops_its_row_only(spark):
 
 
 def test_filters_stay_above_the_scorer(spark):
-    df = O.qualify(O.score_posts(posts(spark), scorer))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
+    """Replies are written before they are read, so nothing that follows asks the scorer again."""
+    calls = spark.sparkContext.accumulator(0)
+    inner = make_scorer()
+
+    def counting(texts):
+        calls.add(len(texts))
+        return inner(texts)
+
+    df = O.qualify(O.score_posts(posts(spark, 24), counting))
+    assert df.count() == df.where("relevance_score > 5").count() == 16
+    assert calls.value == 24
 
 
 def test_whole_and_staged_opportunities_agree(spark):
@@ -144,12 +156,85 @@ def test_counts_stop_with_the_tenth_result(spark):
         assert got == {"c": (results, searches), "none": (0, 1)}
 
 
-def test_an_outage_fails_the_job(spark):
+@pytest.mark.parametrize(("rows", "partitions"), [(1, 1), (2, 2), (3, 1), (3, 3), (12, 6), (12, 1), (40, 1)])
+def test_an_outage_fails_the_job(spark, rows, partitions):
+    """Whatever the batches: no rows and no error would look like a quiet day."""
+
     def down(texts):
         raise RuntimeError("unavailable")
 
-    with pytest.raises(Exception, match="scorer failed"):
-        O.score_posts(posts(spark, 40).coalesce(1), down).collect()
+    with pytest.raises(RuntimeError, match=f"failed for {rows} of {rows}"):
+        O.score_posts(posts(spark, rows).repartition(partitions), down)
+
+
+def test_failures_are_counted_over_the_job(spark):
+    """Some batches of failures only are no outage; a share above the limit is one."""
+    inner = make_scorer()
+
+    def picky(texts):
+        if (texts.astype(int) < 4).any():
+            raise RuntimeError("refused")
+        return inner(texts)
+
+    some = posts(spark, 12).repartition(6, "prompt")
+    asked = O.score_attempts(some, picky).collect()
+    assert {r.prompt: r.status for r in asked} == {str(i): "failed" if i < 4 else "scored" for i in range(12)}
+    assert O.score_posts(some, picky).count() == 8
+    with pytest.raises(RuntimeError, match="failed for 4 of 12"):
+        O.score_attempts(some, picky, most_failed=0.25)
+    assert O.score_posts(some.limit(0), picky).count() == 0
+
+    def short(texts):
+        return inner(texts).iloc[:-1] if len(texts) > 1 else inner(texts)
+
+    assert {r.status for r in O.score_attempts(some.coalesce(1), short).collect()} == {"scored"}
+
+
+def _searches(spark, items):
+    """Replies of one keyword each: (keyword, links) for campaign c."""
+    reply = lambda links: json.dumps({"items": [{"link": f"https://reddit.com/r/x/comments/{n}/?a", "title": f"t{n}", "snippet": n} for n in links]})
+    return spark.createDataFrame([("c", k, 0, reply(links)) for k, links in items.items()], "campaign STRING, keyword STRING, page LONG, payload STRING")
+
+
+def test_a_run_counts_only_with_its_marker(spark, tmp_path):
+    """Runs take batch after batch; one that dies is made again; no post is reported twice."""
+    root = str(tmp_path / "runs")
+    batches = {1: ["a"], 2: ["b"], 3: ["c"]}
+    searches = _searches(spark, {"a": ["1", "2", "3", "9"], "b": ["2", "4"], "c": ["5", "1", "77"]})
+    threads = spark.createDataFrame([], "url STRING, page LONG, payload STRING")
+    day = date(2026, 1, 5)
+    seen = spark.createDataFrame([("c", "https://reddit.com/r/x/comments/77", "old", day)], "campaign STRING, url STRING, title STRING, date_seen DATE")
+    C.seed_opportunities(spark, root, spark.createDataFrame([("c", 3)], "campaign STRING, next_batch INT"), seen, day)
+    with pytest.raises(ValueError):
+        C.seed_opportunities(spark, root, seen, seen, day)
+
+    def run(**more):
+        def reply(texts):
+            return texts.map(lambda t: f'{{"relevance_score": 7, "suggested_comment": "{t}"}}')
+
+        return C.run_opportunities(spark, root, searches, threads, batches, reply, "{title}", day, per_run=1, **more)
+
+    def dies(_):
+        raise InterruptedError
+
+    def reported():
+        return {(r.run_no, r.title) for r in C.found_opportunities(spark, root).collect()}
+
+    with pytest.raises(InterruptedError):
+        run(before_finish=dies)
+    assert reported() == set()
+    assert [run().run_no, run().run_no] == [1, 2]
+    assert reported() == {(1, "t5"), (1, "t1"), (2, "t2"), (2, "t3")}
+    with pytest.raises(InterruptedError):
+        run(before_finish=dies)
+    run()
+    want = {(1, "t5"), (1, "t1"), (2, "t2"), (2, "t3"), (3, "t4")}
+    assert reported() == want
+    run()
+    assert reported() == want  # batch 3 again: all seen
+    assert ledger.latest(spark, root, "cursors", C._with(["campaign"], C.CURSOR)).collect() == [("c", 1)]
+    urls = [r.url for r in ledger.finished(spark, root, "seen", C._with(["campaign"], SEEN)).collect()]
+    assert len(urls) == len(set(urls)) == 6
 
 
 def test_more_results_than_a_search_has_are_refused(spark):

@@ -177,7 +177,8 @@ def test_hit_reports_need_no_sessions_and_prune(spark, tmp_path):
     assert "GreaterThanOrEqual(ts,2024-01-02T00:00)" in plan and "WindowGroupLimit" in plan
     assert "medium" not in plan and "lag(" not in plan
     # Without session dimensions no text is carried.
-    assert "entry" not in W.range_hits(spark.read.parquet(path), (date(2024, 1, 2), date(2024, 1, 3)), entry=False).columns
+    slots, _ = W.range_sessions(spark.read.parquet(path), (date(2024, 1, 2), date(2024, 1, 3)), entry=False)
+    assert "entry" not in slots.columns
 
 
 def test_hits_without_a_user_stay(spark):
