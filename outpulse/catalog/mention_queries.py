@@ -77,6 +77,26 @@ def join_exclude_anti(spark, sf):
     return M.exclude_phrases(_titled(spark, sf), phrases)
 
 
+WINDOWS = """
+SELECT DISTINCT array_to_string(w[i:i + n - 1], ' ') AS phrase
+FROM (SELECT string_split(text, ' ') AS w FROM benchmark), unnest([4, 5, 6]) l(n), unnest(range(1, len(w) - n + 2)) r(i)"""
+
+
+@query(
+    "join_exclude_index",
+    f"""
+SELECT doc_id, title FROM ({TITLED}) d
+WHERE NOT EXISTS (SELECT 1 FROM ({WINDOWS}) WHERE contains(lower(d.title || ' ' || d.summary), lower(phrase)))""",
+)
+def join_exclude_index(spark, sf):
+    """The phrase table are all runs of four, five and six words of the benchmark passages, thousands of them."""
+    words = V.table(spark, sf, "benchmark").select(F.split("text", " ").alias("w"))
+    lengths = words.select("w", F.explode(F.array(F.lit(4), F.lit(5), F.lit(6))).alias("n")).where(F.size("w") >= F.col("n"))
+    starts = lengths.select("w", "n", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)).alias("i"))
+    phrases = starts.select(F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("phrase"))
+    return M.exclude_phrases(_titled(spark, sf), phrases).select("doc_id", "title")
+
+
 @query("filt_has_url", "SELECT * FROM v_mentions WHERE url <> ''")
 def filt_has_url(spark, sf):
     return M.has_url(V.mentions(spark, sf))

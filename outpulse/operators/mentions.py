@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from outpulse.functions import dates as D
 from outpulse.functions import text as X
-from outpulse.operators.keyed import first_per_key, join_lookup, number_rows, salted_join
+from outpulse.operators.keyed import BROADCAST_BYTES, BROADCAST_ROWS, first_per_key, join_lookup, number_rows
 from outpulse.session import store
 
-INLINE_PHRASES, LISTED_PHRASES = 64, 2048
+INLINE_PHRASES, INLINE_BYTES = 64, 65_536
+SAMPLE_TEXTS = 10_000
+SHARDS_A_JOB = 4
 CHUNK = 64
 BLOCK = 16_384
-ANCHORS = (0, 1, 2, 4, 8, 16)
+ANCHORS = (1, 2, 4, 8, 16)
 
 # Icons of sentiments and sources.
 SENTIMENT_ICONS = {
@@ -57,82 +59,121 @@ def exclude_phrases(
 ) -> DataFrame:
     """Drop rows whose lower-cased text contains any phrase.
 
-    A phrase list, or a phrase table of up to 64 rows, becomes one predicate
-    per phrase inside the scan stage; a table of up to 2048 rows is one list
-    that each text is tested against there. Anything larger goes through
+    A phrase list, or a phrase table of up to 64 rows and 64 KB, becomes one
+    predicate per phrase inside the scan stage. Any larger table goes through
     :func:`exclude_phrase_table`.
     """
     text = _search_text(columns)
     if isinstance(phrases, DataFrame):
-        table = phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("phrase")).distinct()
-        few = [r.phrase for r in table.limit(LISTED_PHRASES + 1).collect()]
-        if len(few) > LISTED_PHRASES:
+        table = _distinct_phrases(phrases)
+        n, size = table.limit(INLINE_PHRASES + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+        if n > INLINE_PHRASES or size > INLINE_BYTES:
             return exclude_phrase_table(df, phrases, columns)
-        if len(few) > INLINE_PHRASES:
-            # The outer array holds the text, so that it is lower-cased once and not for every phrase.
-            listed = F.array(*[F.lit(p) for p in few])
-            return df.where(~F.exists(F.array(text), lambda t: F.exists(listed, lambda p: F.contains(t, p))))
-        phrases = few
+        phrases = [r.phrase for r in table.limit(INLINE_PHRASES).collect()]
     if not phrases:
         return df
     return df.where(~reduce(lambda a, b: a | b, [F.contains(text, F.lit(p.lower())) for p in phrases]))
 
 
+def _distinct_phrases(phrases: DataFrame) -> DataFrame:
+    return phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("phrase")).distinct()
+
+
+def _words(text: Column | str) -> Column:
+    return F.array_distinct(F.split(text, " "))
+
+
 def exclude_phrase_table(
-    df: DataFrame,
-    phrases: DataFrame,
-    columns: Sequence[str] = ("title", "summary"),
-    chunk: int = CHUNK,
+    df: DataFrame, phrases: DataFrame, columns: Sequence[str] = ("title", "summary"), shard_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """The same filter for a phrase table of any size, as equality joins.
-
-    A phrase is found by its anchor: its first 16, 8, 4, 2 or 1 characters,
-    whatever its length allows. Every text position gives one hash per anchor
-    size in use; where a hash is known, the text is cut to the lengths of the
-    phrases behind it, and those pieces are looked up as a whole. The work is
-    linear in the text, and no text meets more phrases than it contains.
-    Copies of a text are searched once, only hashes are shuffled, and the few
-    positions that hit fetch their text again.
+    """The same filter for a phrase table of any size, by an index of anchors.
+
+    A text that contains a phrase has each of the phrase's inner words, those
+    with a blank on both sides, as a word of its own. The anchor of a phrase
+    is the inner word that the fewest texts of a sample have. A phrase without
+    inner words is filed under every word of the texts that holds its longest
+    part. Texts are split to words inside the scan and looked up in the index
+    there, in shards that each are small enough to broadcast; a phrase that
+    meets its anchor is tested against the whole text. So only the keys of
+    texts that hit leave the scan.
     """
-    table = phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("piece")).distinct()
-    size = F.length("piece")
-    anchor_size = F.lit(ANCHORS[0])
-    for n in ANCHORS[1:]:
-        anchor_size = F.when(size >= n, n).otherwise(anchor_size)
-    # One row per anchor size.
-    known = table.groupBy(anchor_size.alias("q")).agg(F.max(size).alias("longest")).collect()
-    if not known:
-        return df
-    overlap = max(0, max(r.longest for r in known) - 1)
-    anchors = table.groupBy(F.xxhash64(F.left("piece", anchor_size)).alias("anchor")).agg(
-        F.collect_set(size).alias("lengths")
-    )
-
     text = _search_text(columns)
-    keyed = df.withColumn("_text_key", F.sha2(text, 256))
-    texts = df.select(F.sha2(text, 256).alias("_text_key"), text.alias("part")).dropDuplicates(["_text_key"])
-    # Cutting walks a text from its start, so long texts are cut to blocks first.
-    blocks = _cut(texts, ["_text_key"], "block", BLOCK, overlap)
-    chunks = _cut(blocks, ["_text_key", "block"], "chunk", chunk, overlap)
-
-    starts = F.sequence(F.lit(1), F.greatest(F.least(F.length("part"), F.lit(chunk)), F.lit(1)))
-    part = F.col("part")
-
-    def hashed(q: int) -> Column:
-        return F.transform(
-            starts, lambda i: F.struct(i.alias("at"), F.xxhash64(part.substr(i, F.lit(q))).alias("anchor"))
-        )
-
-    hashes = F.flatten(F.array(*[hashed(r.q) for r in known]))
-    place = ["_text_key", "block", "chunk"]
-    positions = chunks.select(*place, F.explode(hashes).alias("p")).select(*place, "p.*")
-    found = join_lookup(positions, anchors, ["anchor"]).join(chunks, place)
-    pieces = found.select(
-        "_text_key", F.explode(F.transform("lengths", lambda n: part.substr(F.col("at"), n))).alias("piece")
-    )
-    hit = join_lookup(pieces, table, ["piece"], "left_semi").select("_text_key").distinct()
-    # Copies of one text share a key, so the rows of a key are spread.
-    return salted_join(keyed, hit, ["_text_key"], "left_anti").drop("_text_key")
+    parts = F.split("phrase", " ")
+    inner = F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")
+    longest = F.array_max(F.transform(parts, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    listed = store(_distinct_phrases(phrases).select("phrase", inner.alias("inner"), longest.alias("part")), "phrases")
+    has_inner, has_part = F.size("inner") > 0, F.col("part") != ""
+    blank, plain, short = listed.agg(
+        F.min(F.when(~has_part, F.length("phrase"))), F.count_if(has_inner), F.count_if(~has_inner & has_part)
+    ).first()
+    if blank is not None:
+        # Of phrases of blanks alone, the shortest decides.
+        df = df.where(~F.contains(text, F.lit(" " * blank)))
+    texts = df.select(text.alias("_text"))
+    filed = [_by_rarest_word(texts, listed.where(has_inner))] if plain else []
+    filed += [_by_holding_words(texts, listed.where(~has_inner & has_part))] if short else []
+    if not filed:
+        return df
+    index = store(reduce(lambda a, b: a.unionByName(b), filed), "anchors")
+    shard, shards = _even_shards(index, shard_bytes)
+    words = texts.select("_text", F.explode(_words("_text")).alias("anchor"))
+
+    def passes(numbers: Sequence[int]) -> DataFrame:
+        met = [words.join(F.broadcast(index.where(shard == i)), "anchor").where(F.contains("_text", "phrase")) for i in numbers]
+        keys = reduce(lambda a, b: a.unionByName(b), met).select(F.sha2("_text", 256).alias("_text_key"))
+        return store(keys.distinct(), "excluded")
+
+    # Every shard is a pass over the texts; a few of them at a time keep the plan small.
+    hits = [passes(range(i, min(i + SHARDS_A_JOB, shards))) for i in range(0, shards, SHARDS_A_JOB)]
+    hit = reduce(lambda a, b: a.unionByName(b), hits).distinct() if len(hits) > 1 else hits[0]
+    return join_lookup(df.withColumn("_text_key", F.sha2(text, 256)), hit, ["_text_key"], "left_anti").drop("_text_key")
+
+
+def _even_shards(index: DataFrame, most: int) -> tuple[Column, int]:
+    """A split of the index by hash whose parts each fit a broadcast; a longer phrase is a part of its own."""
+    width = F.octet_length("anchor") + F.octet_length("phrase") + 64
+    shards = 1
+    while True:
+        shard = F.pmod(F.xxhash64("anchor", "phrase"), F.lit(shards))
+        rows, largest, single = index.groupBy(shard).agg(
+            F.count("*").alias("n"), F.sum(width).alias("size"), F.max(width).alias("one")
+        ).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("one"), F.lit(0))).first()
+        if rows <= BROADCAST_ROWS and largest <= max(most, single):
+            return shard, shards
+        shards = max(2 * shards, -(-largest // most))
+
+
+def _by_rarest_word(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(anchor, phrase) with the inner word that the fewest of the first texts have; a sample changes only the cost."""
+    inner = phrases.select("phrase", F.explode("inner").alias("anchor"))
+    sampled = texts.limit(SAMPLE_TEXTS).select(F.explode(_words("_text")).alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n"))
+    counted = inner.join(sampled, "anchor", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return counted.groupBy("phrase").agg(F.min(F.struct("n", "anchor"))["anchor"].alias("anchor")).select("anchor", "phrase")
+
+
+def _by_holding_words(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(anchor, phrase) for all words of the texts that hold a phrase's longest part.
+
+    Distinct words are cut to short pieces, whose every position gives a hash
+    of 1, 2, 4, 8 or 16 characters; a part is looked up by its first ones.
+    """
+    size = F.length("part")
+    width = reduce(lambda a, n: F.when(size >= n, n).otherwise(a), ANCHORS[1:], F.lit(ANCHORS[0]))
+    keyed = phrases.select("phrase", "part", width.alias("q")).withColumn("start", F.left("part", F.col("q")))
+    used = [n for n, there in zip(ANCHORS, phrases.agg(*[F.max(width == n) for n in ANCHORS]).first(), strict=True) if there]
+    vocabulary = store(texts.select(F.explode(_words("_text")).alias("anchor")).distinct(), "words")
+    whole = vocabulary.select(F.md5("anchor").alias("_word"), F.col("anchor").alias("part"))
+    # Cutting walks a text from its start, so long words are cut to blocks first.
+    pieces = _cut(_cut(whole, ["_word"], "block", BLOCK, ANCHORS[-1]), ["_word"], "chunk", CHUNK, ANCHORS[-1])
+    at = F.sequence(F.lit(1), F.greatest(F.least(F.length("part"), F.lit(CHUNK)), F.lit(1)))
+
+    def cut(n: int) -> Column:
+        return F.transform(at, lambda i: F.col("part").substr(i, F.lit(n)))
+
+    starts = F.flatten(F.array(*[cut(n) for n in used]))
+    found = pieces.select("_word", F.explode(F.array_distinct(starts)).alias("start")).join(keyed, "start").select("_word", "part", "phrase").distinct()
+    held = found.join(vocabulary.withColumn("_word", F.md5("anchor")), "_word").where(F.contains("anchor", "part"))
+    return held.select("anchor", "phrase")
 
 
 def _cut(df: DataFrame, keep: Sequence[str], name: str, size: int, overlap: int) -> DataFrame:

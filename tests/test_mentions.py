@@ -22,36 +22,59 @@ def test_exclusion(spark, as_table):
     assert sorted(r.n for r in M.exclude_phrases(df, phrases).collect()) == [1, 4]
 
 
-@pytest.mark.parametrize("chunk", [7, 64])
-def test_phrase_table_equals_substring_search(spark, chunk, monkeypatch):
-    """Whole documents against phrases of many lengths, by joins and by plain search."""
+@pytest.mark.parametrize("shard_bytes", [60_000, M.BROADCAST_BYTES])
+def test_phrase_table_equals_substring_search(spark, shard_bytes, monkeypatch):
+    """Whole documents against phrases of many lengths, cut anywhere, by the index and by plain search."""
     docs = V.table(spark, SF, "documents").select("doc_id", F.lit("Title").alias("title"), F.col("text").alias("summary"))
-    texts = {r.doc_id: f"title {r.summary}".lower() for r in docs.collect()}
+    long = "x" * 3000 + "yz" + "w" * 500
+    more = [(9000, "Title", None), (9001, "Title", f"{long} end"), (9002, "Title", "a  b"), (9003, "Title", "tail of it")]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    texts = {r.doc_id: f"title {r.summary or ''}".lower() for r in docs.collect()}
     some = sorted(texts.values())
     phrases = {t[-k:] for k, t in zip(range(1, 40), some)} | {t[i * 31 : i * 31 + 9 + i] for i, t in enumerate(some[40:80])}
-    phrases = {p for p in phrases if len(p) > 5} | {"title de", "nowhere to be found", "é"}
+    phrases = {p for p in phrases if len(p) > 5} | {"title de", "nowhere to be found", "xyzw", "a  b", "ail o", " of it"}
+    phrases -= {" " * k for k in range(9)}
     table = spark.createDataFrame([(p.upper() if "ß" not in p else p,) for p in phrases] + [(None,)], "phrase STRING")
     want = sorted(n for n, t in texts.items() if not any(p in t for p in phrases))
     monkeypatch.setattr(M, "BLOCK", 1000)
-    got = M.exclude_phrase_table(docs, table, chunk=chunk)
+    got = M.exclude_phrase_table(docs, table, shard_bytes=shard_bytes)
     assert sorted(r.doc_id for r in got.collect()) == want
     assert 0 < len(want) < len(texts)
-    assert sorted(r.doc_id for r in M.exclude_phrases(docs, table).collect()) == want
     plan = plan_of(got)
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
 
 
-@pytest.mark.parametrize("way", ["inline", "listed", "joins"])
+@pytest.mark.parametrize("way", ["rows", "bytes", "index"])
 def test_every_size_of_phrase_table_gives_the_same(spark, monkeypatch, way):
-    monkeypatch.setattr(M, "INLINE_PHRASES", 64 if way == "inline" else 2)
-    monkeypatch.setattr(M, "LISTED_PHRASES", 2 if way == "joins" else 2048)
+    monkeypatch.setattr(M, "INLINE_PHRASES", 2 if way == "index" else 64)
+    monkeypatch.setattr(M, "INLINE_BYTES", 5 if way == "bytes" else 65_536)
     df = spark.createDataFrame([(n, f"text {n}", "") for n in range(6)], "n INT, title STRING, summary STRING")
     phrases = spark.createDataFrame([("text 1",), ("XT 3",), ("text 9",), (None,)], "phrase STRING")
     kept = M.exclude_phrases(df, phrases)
     assert sorted(r.n for r in kept.collect()) == [0, 2, 4, 5]
     assert "Python" not in plan_of(kept)
-    nothing = M.exclude_phrases(df, phrases.unionByName(spark.createDataFrame([("",)], "phrase STRING")))
-    assert nothing.count() == 0
+    for blank, left in (("", 0), (" ", 0), ("   ", 4)):
+        also = phrases.unionByName(spark.createDataFrame([(blank,)], "phrase STRING"))
+        assert M.exclude_phrases(df, also).count() == left
+
+
+def test_index_takes_the_rarest_inner_word_and_probes_in_the_scan(spark, tmp_path, monkeypatch):
+    """Anchors follow the texts' counts; words are looked up by broadcast, and only hits are shuffled."""
+    texts = spark.createDataFrame([("common rare the x",)] + [("common the y",)] * 5, "_text STRING")
+    listed = spark.createDataFrame([("a common rare the b", ["common", "rare", "the"]), ("a the unseen", ["the"])], "phrase STRING, inner ARRAY<STRING>")
+    assert {(r.phrase, r.anchor) for r in M._by_rarest_word(texts, listed).collect()} == {("a common rare the b", "rare"), ("a the unseen", "the")}
+    plans = {}
+
+    def recorded(df, name, stored=M.store):
+        plans[name] = plan_of(df)
+        return stored(df, name)
+
+    monkeypatch.setattr(M, "store", recorded)
+    docs = V.table(spark, SF, "documents").select("doc_id", F.col("source").alias("title"), F.col("text").alias("summary"))
+    phrases = spark.range(3000).select(F.concat(F.lit("some phrase "), F.col("id"), F.lit(" here")).alias("phrase"))
+    assert M.exclude_phrases(docs, phrases).count() == docs.count()
+    assert "BroadcastHashJoin" in plans["excluded"] and "SortMergeJoin" not in plans["excluded"]
+    assert plans["excluded"].count("Exchange hashpartitioning") == 1  # the hits' distinct
 
 
 def test_first_per_url(spark):

@@ -49,13 +49,16 @@ def test_library_collects_nothing_unbounded():
     """Driver reads are single rows, or lists that were limited or counted before."""
     allowed = {
         "operators/keyed.py": 2,  # largest group, size check
-        "operators/mentions.py": 3,  # phrases up to the inline limit or of a checked size, anchor sizes
+        "operators/mentions.py": 5,  # size of a phrase table, a list of checked size, counts by kind, anchor widths, shard sizes
+        "operators/outreach.py": 1,  # rows and failures of a scoring job
+        "sources/firsts.py": 1,  # last filed day
+        "sources/ledger.py": 2,  # last run
         "sources/archive.py": 1,  # date span of a batch
         "plans/digests.py": 1,  # largest digest
     }
     root = Path(entry_module.__file__).parent / "outpulse"
     for path in root.rglob("*.py"):
-        if path.parent.name == "catalog":
+        if path.parent.name in ("catalog", "llm"):
             continue
         found = len(re.findall(r"(?<!\bF)\.(?:collect|first|toPandas|toLocalIterator|take|head)\(", path.read_text()))
         assert found == allowed.get(str(path.relative_to(root)), 0), path
