@@ -48,9 +48,16 @@ def stream_append(spark, sf):
 
 @query("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedupe(spark, sf):
+    """Days in order, some in each micro-batch; keys come back long after the look-back of 14 days, and once more in a second run."""
     base = run_dir(spark, "stream-dedupe")
-    unique = J.dedupe_stream(_events(spark, sf), ["user_id", "event_type"], look_back="60 days")
-    J.run_to_table(unique.select("user_id", "event_type"), f"{base}/out", f"{base}/state").awaitTermination()
+    events = V.table(spark, sf, "events").select("user_id", "event_type", "ts")
+    days = events.withColumn("part", F.floor(F.datediff("ts", F.lit("2024-01-01")) / 5))
+    last = 5
+    for part in range(last + 1):
+        days.where(F.least(F.greatest("part", F.lit(0)), F.lit(last)) == part).drop("part").coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    for run in ("first", "again"):
+        stream = J.landing_stream(spark, f"{base}/landing", events.schema, files=1)
+        J.run_dedupe_stream(stream, ["user_id", "event_type"], f"{base}/out", f"{base}/state-{run}").awaitTermination()
     return spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{base}/out")
 
 
@@ -82,11 +89,11 @@ def stream_daily(spark, sf):
 def stream_unseen(spark, sf):
     base, by = run_dir(spark, "stream-unseen"), ["campaign"]
     store = f"{base}/seen"
-    S.append_seen(V.seen(spark, sf), store, F.col("date_seen"), by)
+    S.append_bucketed(V.seen(spark, sf), store)
     hits = V.search_hits(spark, sf)
     landed = hits.select("campaign", "hit_pos", X.url_base(F.col("link")).alias("url"), "title")
     landed.write.parquet(f"{base}/landing")
     for run in ("first", "again"):
         stream = J.landing_stream(spark, f"{base}/landing", landed.schema, files=1)
         J.run_unseen_stream(stream, store, V.ORDERS_AS_OF, f"{base}/state-{run}", ["hit_pos"], by=by).awaitTermination()
-    return S.read_seen(spark, store, by)
+    return S.read_bucketed(spark, store, by=by)

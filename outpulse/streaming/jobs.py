@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from outpulse.operators.keyed import unseen
-from outpulse.session import require_utc
-from outpulse.sources.archive import ensure_archive, update_archive
-from outpulse.sources.seen import append_seen, read_seen
+from outpulse.session import require_utc, store
+from outpulse.sources.archive import append_batch, ensure_archive
+from outpulse.sources.seen import append_bucketed, in_buckets, read_bucketed, read_buckets, seen_rows
 
 LOOK_BACK = "14 days"
 
@@ -39,12 +40,13 @@ def run_archive_stream(
 ) -> StreamingQuery:
     """Append what landed since the last run to the archive; known keys add nothing.
 
-    A micro-batch that is replayed after a failure finds its rows in the
-    archive and writes none twice.
+    A micro-batch is parsed once. One that is replayed after a failure writes
+    no row twice and keeps the count of its first run in the archive's table
+    of finished batches.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        update_archive(batch.sparkSession, root, kind, parse(batch), as_of, order_by)
+        append_batch(batch.sparkSession, root, kind, parse(batch), as_of, checkpoint, batch_id, order_by)
 
     ensure_archive(landed.sparkSession, root, kind)
     return (
@@ -64,11 +66,15 @@ def run_unseen_stream(
     select: Callable[[DataFrame], DataFrame] = lambda df: df,
     by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Seen-URL state across runs: ``select`` keeps what a run reports, the store remembers it."""
+    """Seen-URL state across runs: ``select`` keeps what a run reports, the store remembers it.
+
+    The store is partitioned by a hash of the URL. A micro-batch reads the
+    partitions its URLs fall into and no others.
+    """
 
     def report(batch: DataFrame, batch_id: int) -> None:
-        fresh = unseen(batch, read_seen(batch.sparkSession, store, by), order_by, by)
-        append_seen(select(fresh), store, as_of, by)
+        seen = read_bucketed(batch.sparkSession, store, batch, by)
+        append_bucketed(seen_rows(select(unseen(batch, seen, order_by, by)), as_of, by), store)
 
     return (
         landed.writeStream.foreachBatch(report)
@@ -79,16 +85,44 @@ def run_unseen_stream(
 
 
 def dedupe_stream(events: DataFrame, keys: Sequence[str], ts: str = "ts", look_back: str = LOOK_BACK) -> DataFrame:
-    """Stateful dedupe for feeds whose repeats stay within the look-back.
+    """Stateful dedupe for feeds whose repeats stay within the look-back; what is older than it leaves the state.
 
-    A key that returns after the watermark passed is emitted again; the
-    archive stream is the unbounded form.
+    A key that returns after it left the state is emitted again;
+    :func:`run_dedupe_stream` keeps those back.
     """
     require_utc(events.sparkSession)
     timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, look_back)
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
+def run_dedupe_stream(
+    events: DataFrame, keys: Sequence[str], path: str, checkpoint: str, ts: str = "ts", look_back: str = LOOK_BACK,
+) -> StreamingQuery:
+    """Every key once, for feeds without a bound on repeats: the look-back as state, the table for what is older.
+
+    The state answers for keys of the look-back, which are nearly all, and is
+    bounded by them. What passes it is new or has come back after its time; only
+    those few are looked up in the table of keys that were emitted, in the partitions
+    of their hash. A replayed micro-batch finds its keys there. Keys are
+    null-safe.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        known = [f"_{k}" for k in keys]
+        found = store(in_buckets(batch.select(*keys), keys), "passed")
+        emitted = read_buckets(batch.sparkSession, path, found.drop("bucket").schema, found).toDF(*known)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        fresh = found.join(emitted, same, "left_anti")
+        fresh.dropDuplicates(list(keys)).write.mode("append").partitionBy("bucket").parquet(path)
+
+    return (
+        dedupe_stream(events, keys, ts, look_back).writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def daily_stream(
     events: DataFrame, by: Sequence[str], ts: str = "ts", user: str = "user_id", late: str = "1 hour",
     closing: DataFrame | None = None,
