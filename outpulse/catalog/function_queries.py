@@ -210,4 +210,4 @@ def fn_ws_trim(spark, sf):
 
 @query("fn_lower", "SELECT doc_id, md5(lower(text)) AS folded FROM documents")
 def fn_lower(spark, sf):
-    return V.table(spark, sf, "documents").select("doc_id", F.md5(F.lower("text")).alias("folded"))
+    return V.table(spark, sf, "documents").select("doc_id", F.md5(X.folded(F.col("text"))).alias("folded"))

@@ -34,7 +34,7 @@ def src_listing_comments(spark, sf):
 
 @query(
     "src_reply_array",
-    "SELECT monitor, kw_rank, keyword, title, url, source, summary, sentiment, date FROM v_web_mentions",
+    "SELECT monitor, kw_rank, keyword, title, url, source, summary, sentiment, date, CAST(date AS VARCHAR) AS date_text FROM v_web_mentions",
 )
 def src_reply_array(spark, sf):
     return L.parse_reply_array(V.landed_replies(spark, sf), "payload", keep=("monitor", "kw_rank")).drop("asked", "pos")
@@ -252,7 +252,7 @@ def set_union_posts_comments(spark, sf):
 @query("set_union_sources", f"{BOTH} UNION ALL SELECT {MENTION} FROM v_web_mentions")
 def set_union_sources(spark, sf):
     reply = L.parse_reply_array(V.landed_replies(spark, sf), "payload", keep=("monitor", "kw_rank"))
-    return M.union_sources(set_union_posts_comments(spark, sf), reply.drop("asked", "pos"))
+    return M.union_sources(set_union_posts_comments(spark, sf), reply.drop("asked", "pos", "date_text"))
 
 
 COLLECTED = f"""
@@ -275,7 +275,7 @@ def collected(spark, sf):
 
 @query("collect_mentions", f"SELECT {MENTION}, src_rank FROM ({COLLECTED})")
 def collect_mentions(spark, sf):
-    return collected(spark, sf).drop("page", "pos")
+    return collected(spark, sf).drop("page", "pos", "date_text")
 
 
 ITEM = f"""'  ' || {SENTIMENT_ICON} || ' <' || url || '|' || title || '>'

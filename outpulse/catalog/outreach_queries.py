@@ -72,8 +72,8 @@ def array_first_n(spark, sf):
     words = F.split("text", " ")
     return V.table(spark, sf, "documents").select(
         "doc_id",
-        F.array_join(F.slice(words, 1, 5), "|").alias("first_five"),
-        F.array_join(F.slice(words, 1, 8), "|").alias("first_eight"),
+        F.array_join(X.first_n(words, 5), "|").alias("first_five"),
+        F.array_join(X.first_n(words, 8), "|").alias("first_eight"),
     )
 
 

@@ -16,7 +16,7 @@ from outpulse.plans import charts as C
 from outpulse.plans import collect as P
 from outpulse.plans import digests as G
 from outpulse.schemas import ARCHIVES
-from outpulse.session import run_dir
+from outpulse.session import run_dir, store
 from outpulse.sources import archive as A
 from outpulse.sources import landing as L
 
@@ -176,6 +176,38 @@ def csv_roundtrip(spark, sf):
     return A.import_csv(spark, path, "paths")
 
 
+_LINES = """
+SELECT repo, path, CASE n % 8 WHEN 1 THEN repo || ',' || fetched_date
+                              WHEN 2 THEN repo || ',' || fetched_date || ',' || path || ',' || views || ',' || unique_visitors || ',more'
+                              WHEN 3 THEN repo || ',' || fetched_date || ',' || path || ',many,' || unique_visitors
+                              WHEN 4 THEN repo || ',2001-13-45,' || path || ',' || views || ',' || unique_visitors
+                              ELSE repo || ',' || fetched_date || ',' || path || ',' || views || ',' || unique_visitors END AS line, n
+FROM (SELECT *, (views * 31 + unique_visitors * 7 + day(fetched_date)) % 16 AS n FROM v_paths)"""
+
+
+@query(
+    "csv_rejects",
+    f"""
+SELECT repo, n % 8 BETWEEN 1 AND 4 AS rejected, count(*) AS lines, md5(string_agg(line, chr(10) ORDER BY line)) AS digest
+FROM ({_LINES}) GROUP BY ALL""",
+)
+def csv_rejects(spark, sf):
+    """Archive lines, some cut short, too long, or with numbers and dates that are none; all come out on one side."""
+    n = (F.col("views") * 31 + F.col("unique_visitors") * 7 + F.dayofmonth("fetched_date")) % 16 % 8
+    parts = ["repo", F.col("fetched_date").cast("string"), "path", F.col("views").cast("string"), F.col("unique_visitors").cast("string")]
+    cut = {1: parts[:2], 2: [*parts, F.lit("more")], 3: [*parts[:3], F.lit("many"), parts[4]], 4: [parts[0], F.lit("2001-13-45"), *parts[2:]]}
+    line = F.concat_ws(",", *parts)
+    for k, some in cut.items():
+        line = F.when(n == k, F.concat_ws(",", *some)).otherwise(line)
+    path = run_dir(spark, "csv-lines")
+    V.paths(spark, sf).select(line.alias("line")).write.text(path, lineSep="\n")
+    rows, rejects = A.import_csv_checked(spark, path, "paths", header=False)
+    good = rows.select("repo", F.lit(False).alias("rejected"), F.concat_ws(",", *parts).alias("line"))
+    bad = rejects.select(F.split("line", ",")[0].alias("repo"), F.lit(True).alias("rejected"), "line")
+    lines = good.unionByName(bad).groupBy("repo", "rejected").agg(F.count("*").alias("lines"), F.array_sort(F.collect_list("line")).alias("l"))
+    return lines.select("repo", "rejected", "lines", F.md5(F.array_join("l", "\n")).alias("digest"))
+
+
 NEW_ROWS = f"""
 SELECT repo, fetched_date, referrer, views, unique_visitors, _seq FROM v_incoming i
 WHERE NOT EXISTS (SELECT 1 FROM v_existing e WHERE e.repo = i.repo AND e.fetched_date = i.fetched_date
@@ -302,7 +334,7 @@ def join_daily_series(spark, sf):
 
 @query("sort_daily", "SELECT repo, date, stars, forks FROM v_repo_stats ORDER BY date, repo")
 def sort_daily(spark, sf):
-    return V.repo_stats(spark, sf).select("repo", "date", "stars", "forks").orderBy("date", "repo")
+    return TR.ascending(V.repo_stats(spark, sf).select("repo", "date", "stars", "forks"))
 
 
 @query(
@@ -325,6 +357,21 @@ def agg_trailing_totals(spark, sf):
     return TR.trailing_totals(V.events(spark, sf), ["repo", "event_type"], V.EVENTS_AS_OF)
 
 
+@query(
+    "agg_trailing_sketches",
+    f"""
+SELECT repo, event_type, count, uniques, true AS within FROM ({TRAILING})""",
+)
+def agg_trailing_sketches(spark, sf):
+    """Fourteen stored daily sketches united, held against the exact count."""
+    by = ["repo", "event_type"]
+    daily = store(TR.daily_sketches(V.events(spark, sf), by), "sketches")
+    estimate = TR.trailing_from_sketches(daily, by, V.EVENTS_AS_OF).withColumnRenamed("uniques", "estimate").drop("count")
+    exact = TR.trailing_totals(V.events(spark, sf), by, V.EVENTS_AS_OF)
+    within = F.abs(F.col("estimate") - F.col("uniques")) <= F.greatest(0.03 * F.col("uniques"), F.lit(1.0))
+    return exact.join(estimate, by).select(*by, "count", "uniques", within.alias("within"))
+
+
 @query("agg_referrer_views", "SELECT repo, referrer, CAST(sum(views) AS BIGINT) AS views FROM v_referrers GROUP BY ALL")
 def agg_referrer_views(spark, sf):
     return TR.sum_by(V.referrers(spark, sf), "referrer")
@@ -379,12 +426,49 @@ def chart_repo_stats(spark, sf):
 
 @query("chart_referrers", _top("referrer", "v_referrers", ALL))
 def chart_referrers(spark, sf):
-    """Flagship: append what is new to the archive, read the last months, rank referrers."""
+    """Flagship: file the history by month, read all its months, rank referrers."""
     root = run_dir(spark, "chart")
     A.write_archive(V.referrers(spark, sf), root, "referrers", F.col("fetched_date"))
     return C.referrers(A.read_archive(spark, root, "referrers", ALL))
 
 
+LAST_SIX = D.resolve_months(V.ORDERS_AS_OF, 6)
+_FILED = f"""
+SELECT repo, fetched_date, referrer, views, unique_visitors, archive_month FROM v_existing UNION ALL
+SELECT repo, fetched_date, referrer, views, unique_visitors, '{V.ORDERS_AS_OF:%Y_%m}' FROM v_referrers
+WHERE fetched_date >= DATE '{V.CUT}'"""
+
+
+def _archived(spark, sf, scope="all"):
+    """The archive of the cut day, and the run that finds the whole history in its replies, made twice."""
+    root = run_dir(spark, "archive")
+    A.write_archive(V.existing(spark, sf), root, "referrers", F.col("fetched_date"))
+    replies = {"referrers": V.landed_popular(spark, sf, "referrers")}
+    for _ in range(2):
+        P.collect_traffic(spark, root, replies, V.ORDERS_AS_OF, F.col("run_date"), scope)
+    return root
+
+
+@query("chart_last_months", _top("referrer", f"(SELECT DISTINCT * EXCLUDE (archive_month), archive_month FROM ({_FILED}))", LAST_SIX))
+def chart_last_months(spark, sf):
+    """Collect, append to the archive, and rank what was filed in the last six months; earlier months are not read."""
+    root = _archived(spark, sf)
+    return C.referrers(A.read_archive(spark, root, "referrers", LAST_SIX))
+
+
+@query(
+    "archive_month_scope",
+    f"""
+SELECT repo, fetched_date, referrer, views, unique_visitors, archive_month FROM v_existing UNION ALL
+SELECT repo, fetched_date, referrer, views, unique_visitors, '{V.ORDERS_AS_OF:%Y_%m}' FROM v_referrers r
+WHERE NOT EXISTS (SELECT 1 FROM v_existing e WHERE e.archive_month = '{V.ORDERS_AS_OF:%Y_%m}' AND e.repo = r.repo
+                  AND e.fetched_date = r.fetched_date AND e.referrer = r.referrer)""",
+)
+def archive_month_scope(spark, sf):
+    """Known keys are looked for in the month of the run only, so days of earlier months are filed once more."""
+    return A.read_archive(spark, _archived(spark, sf, "archive_month"), "referrers")
+
+
 @query(
     "chart_paths",
     f"""

@@ -16,6 +16,11 @@ def iso_date(timestamp_text: Column) -> Column:
     return F.substring(timestamp_text, 1, 10).try_cast("date")
 
 
+def strict_date(text: Column) -> Column:
+    """The day that an ISO-8601 date or timestamp names; NULL for any other text, one without a day included."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}(?:$|[T ])"), iso_date(text))
+
+
 def epoch_date(seconds: Column) -> Column:
     """UTC date of an epoch-seconds value."""
     return F.date_add(F.lit(date(1970, 1, 1)), F.floor(seconds / DAY).cast("int"))

@@ -177,6 +177,16 @@ def fill_template(template: str, values: Mapping[str, Column]) -> Column:
     return F.concat(*pieces)
 
 
+def first_n(values: Column, n: int) -> Column:
+    """The first ``n`` elements; a missing array is an empty one."""
+    return F.slice(F.coalesce(values, F.array().cast("array<string>")), 1, n)
+
+
+def folded(text: Column) -> Column:
+    """Text for comparisons without regard to case."""
+    return F.lower(text)
+
+
 def clean_comments(comments: Column, size: int = 5) -> Column:
     """First ``size`` comments of ``array<struct<kind, body>>`` that still carry text."""
     kept = F.filter(
@@ -184,7 +194,7 @@ def clean_comments(comments: Column, size: int = 5) -> Column:
         lambda c: (c["kind"] == "t1") & ~ws_trim(F.coalesce(c["body"], F.lit(""))).isin("", *REMOVED_TEXTS),
     )
     texts = F.transform(kept, lambda c: ws_trim(c["body"]))
-    return F.slice(F.coalesce(texts, F.array().cast("array<string>")), 1, size)
+    return first_n(texts, size)
 
 
 def bullets(lines: Column, empty: str = "(no comments)") -> Column:

@@ -51,7 +51,7 @@ def has_url(df: DataFrame, url: str = "url") -> DataFrame:
 
 
 def _search_text(columns: Sequence[str]) -> Column:
-    return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
+    return X.folded(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
 
 
 def exclude_phrases(
@@ -76,7 +76,7 @@ def exclude_phrases(
 
 
 def _distinct_phrases(phrases: DataFrame) -> DataFrame:
-    return phrases.where("phrase IS NOT NULL").select(F.lower("phrase").alias("phrase")).distinct()
+    return phrases.where("phrase IS NOT NULL").select(X.folded(F.col("phrase")).alias("phrase")).distinct()
 
 
 def _words(text: Column | str) -> Column:
@@ -219,7 +219,7 @@ def sentiment_icon(sentiment: Column) -> Column:
 
 
 def source_icon(source: Column) -> Column:
-    return lookup_icon(F.lower(source), SOURCE_ICONS, ":link:")
+    return lookup_icon(X.folded(source), SOURCE_ICONS, ":link:")
 
 
 def listed(mentions: DataFrame, keywords: Sequence[str]) -> DataFrame:
@@ -249,7 +249,7 @@ def merge_keywords(base: DataFrame, extra: DataFrame, by: Sequence[str] = ()) ->
     the base and 1 for extras.
     """
     tagged = base.withColumn("origin", F.lit(0)).unionByName(extra.withColumn("origin", F.lit(1)))
-    tagged = tagged.withColumn("_folded", F.lower("keyword"))
+    tagged = tagged.withColumn("_folded", X.folded(F.col("keyword")))
     # The first row per folded keyword comes from the base if the base has it.
     first = first_per_key(tagged, [*by, "_folded"], ["origin", "pos", "keyword"])
     added = first.where("origin = 1").drop("_folded")

@@ -52,6 +52,28 @@ def trailing_totals(
     return per_user.groupBy(*by).agg(F.sum("n").alias("count"), F.count(user).alias("uniques"))
 
 
+def daily_sketches(events: DataFrame, by: Sequence[str], ts: str = "ts", user: str = "user_id", log_k: int = 12) -> DataFrame:
+    """Count and a mergeable HyperLogLog sketch of the users per day: a few KB each, however many users.
+
+    Days are sketched once and stored; any window is then a union of them.
+    """
+    day = F.col(ts).cast("date").alias("date")
+    return events.groupBy(*by, day).agg(F.count("*").alias("count"), F.hll_sketch_agg(user, log_k).alias("users"))
+
+
+def trailing_from_sketches(sketches: DataFrame, by: Sequence[str], as_of: date, days: int = 14) -> DataFrame:
+    """:func:`trailing_totals` from stored daily sketches; ``uniques`` is an estimate, 3% off at most in 19 of 20 cases."""
+    start = F.date_sub(F.lit(as_of), days)
+    window = sketches.where((F.col("date") >= start) & (F.col("date") < F.lit(as_of)))
+    union = F.hll_sketch_estimate(F.hll_union_agg("users")).alias("uniques")
+    return window.groupBy(*by).agg(F.sum("count").alias("count"), union)
+
+
+def ascending(series: DataFrame, by: Sequence[str] = ("repo",)) -> DataFrame:
+    """A daily series by date, then by series."""
+    return series.orderBy("date", *by)
+
+
 def sum_by(archive: DataFrame, key: str, measure: str = "views", by: Sequence[str] = ("repo",)) -> DataFrame:
     """Sum of a measure per key; rows without a key do not count."""
     return archive.where(F.col(key).isNotNull()).groupBy(*by, key).agg(F.sum(measure).alias(measure))

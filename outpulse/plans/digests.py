@@ -206,7 +206,7 @@ def mention_line(m: str = "") -> Column:
     """One mention with its optional parts; absent or empty parts leave no trace."""
     col = lambda c: F.col(m + c)
     shown = lambda value, text: F.when(value, text).otherwise(F.lit(""))
-    day = col("date").cast("string")
+    day = F.coalesce(F.nullif(col("date_text"), F.lit("")), col("date").cast("string"))
     return _text(
         "  ", M.sentiment_icon(col("sentiment")), " <", col("url"), "|", col("title"), ">",
         shown(X.has_text(col("subreddit")), _text(" [", col("subreddit"), "]")),
@@ -235,6 +235,8 @@ def mention_digest(
     ``tenants`` names all monitors, so that one without mentions says so.
     """
     by = list(by)
+    if "date_text" not in mentions.columns:
+        mentions = mentions.withColumn("date_text", F.lit(None).cast("string"))
     mentions = store(mentions, "mentions")
     total = F.col("total")
     counts = M.sentiment_counts(mentions, by)

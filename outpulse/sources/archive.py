@@ -178,7 +178,7 @@ def import_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return reader.csv(path)
 
 
-def import_csv_checked(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
+def import_csv_checked(spark: SparkSession, path: str, kind: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
     """Typed rows of CSV files, and the lines that are none: (rows, rejects).
 
     A line is rejected if it has fewer or more fields than the dataset, or a
@@ -189,7 +189,7 @@ def import_csv_checked(spark: SparkSession, path: str, kind: str) -> tuple[DataF
     spec = ARCHIVES[kind]
     fields = spec.schema.fields[:-1]
     schema = type(spec.schema)([*fields, T.StructField("_bad", T.StringType())])
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("header", header).option("escape", '"').option("mode", "PERMISSIVE")
     lines = reader.option("columnNameOfCorruptRecord", "_bad").csv(path).withColumn("file", F.input_file_name())
     parsed = store(lines, "csv-lines")
     rows = parsed.where("_bad IS NULL").drop("_bad", "file")

@@ -163,7 +163,9 @@ def parse_reply_array(
 ) -> DataFrame:
     """Mention rows of a model reply; the asked keyword fills a missing one.
 
-    The asked keyword stays as ``asked``: it decides the arrival order.
+    The asked keyword stays as ``asked``: it decides the arrival order. The
+    date is kept as it was written (``date_text``, which digests print) beside
+    the day it names, if it names one.
     """
     bare = X.strip_fence(F.col(text))
     # The lenient reader takes a valid beginning; a reply counts only if all of it is one JSON value.
@@ -175,7 +177,8 @@ def parse_reply_array(
         "pos",
         F.coalesce("m.keyword", "asked").alias("keyword"),
         *[F.col(f"m.{c}").alias(c) for c in ("title", "url", "source", "summary", "sentiment")],
-        D.iso_date(F.col("m.date")).alias("date"),
+        D.strict_date(F.col("m.date")).alias("date"),
+        F.col("m.date").alias("date_text"),
     )
 
 

@@ -1,6 +1,8 @@
 import json
 from datetime import date
 
+import pytest
+
 from outpulse.sources import landing as L
 
 
@@ -48,6 +50,14 @@ def test_reply_array(spark):
     assert rows[0].date == date(2026, 4, 1)
 
 
+@pytest.mark.parametrize("text, day", [("2026-04-05", date(2026, 4, 5)), ("2026-04-05T10:00:00Z", date(2026, 4, 5)), ("April 5, 2026", None),
+                                       ("2026-04", None), ("2026", None), ("2026-02-30", None), ("2026-04-051", None), ("", None), (None, None)])
+def test_reply_dates_are_kept_and_none_is_invented(spark, text, day):
+    reply = json.dumps([{"url": "u", "date": text}])
+    r = L.parse_reply_array(landed(spark, reply, name="reply")).first()
+    assert (r.date, r.date_text) == (day, text)
+
+
 def test_reply_score(spark):
     replies = [
         '{"relevance_score":6,"suggested_comment":"c"}', '{"relevance_score":6,"suggested_comment":" "}',
