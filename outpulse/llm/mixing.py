@@ -18,6 +18,7 @@ from outpulse.session import store
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, LEVEL_BITS = 60, 12
 MOST = 3
+PLANNED = ("source_size", "target", "whole", "cut", "last")
 
 
 def hash60(*columns: str) -> Column:
@@ -107,10 +108,11 @@ def plan(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
 
 
 def _taken(rows: DataFrame, planned: DataFrame, h: str) -> DataFrame:
-    """``rows`` with the plan's columns and ``copies``."""
+    """``rows`` with the plan's columns and ``copies``, all with a leading ``_``: the rows may have any others."""
     rows = rows.withColumns({"_s": F.coalesce("source", F.lit("")), "_n": F.col("source").isNull()})
-    once_more = F.coalesce((F.col(h) < F.col("cut")) | ((F.col(h) == F.col("cut")) & F.col("last")), F.lit(False))
-    return join_lookup(rows, planned, ["_s", "_n"]).withColumn("copies", (F.col("whole") + once_more.cast("long")).cast("long"))
+    planned = planned.withColumnsRenamed({c: f"_{c}" for c in PLANNED})
+    once_more = F.coalesce((F.col(h) < F.col("_cut")) | ((F.col(h) == F.col("_cut")) & F.col("_last")), F.lit(False))
+    return join_lookup(rows, planned, ["_s", "_n"]).withColumn("_copies", (F.col("_whole") + once_more.cast("long")).cast("long"))
 
 
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -124,16 +126,22 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     an empty table gives no rows.
     """
     rows = store(_sized(docs, seed).select("doc_id", "source", F.col("_size").alias("size"), F.col("_h").alias("h")), "mix-sizes")
-    taken = _taken(rows, plan(rows, weights), "h")
+    taken = _taken(rows, plan(rows, weights), "h").withColumnsRenamed({f"_{c}": c for c in ("source_size", "target", "copies")})
     return taken.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixed(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """``docs``' rows that the mix of :func:`mix` takes, with ``copies``, how often; the texts are not shuffled."""
+    """``docs``' rows that the mix of :func:`mix` takes, with ``copies``, how often; the texts are not shuffled.
+
+    Rows keep all their columns, whatever their names, but one named
+    ``copies``, which is replaced. Nulls, repeated rows and sources without
+    words are as in :func:`mix`; an empty table gives no rows.
+    """
     rows = _sized(docs, seed)
     sizes = store(rows.select("source", F.col("_size").alias("size"), F.col("_h").alias("h")), "mix-sizes")
     taken = _taken(rows, plan(sizes, weights), "_h")
-    return taken.where("copies > 0").select(*[F.col(c) for c in docs.columns], "copies")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "copies"]
+    return taken.where("_copies > 0").select(*kept, F.col("_copies").alias("copies"))
 
 
 #: The same mix for DuckDB, from a table ``{docs}`` with doc_id, text and source.

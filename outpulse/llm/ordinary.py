@@ -99,3 +99,52 @@ WORDS = (
     "within without word words work worker works would wrap wrapped wrapper wrapping wraps writable write writer writing written www "
     "yet yield you your zero zip"
 )
+
+#: Words of other languages, for their letters only.
+GERMAN = (
+    "und der die das nicht eine einen werden wurde haben sich auch nach wenn zwischen durch gegen Geschwindigkeit "
+    "Begrenzung Wirtschaft Gesellschaft Entwicklung Bundesregierung Verantwortung Zusammenarbeit Versicherung Krankenhaus "
+    "Wissenschaft Möglichkeit Veränderung Unternehmen Mitarbeiter Geschäftsführer Bürgermeister Veranstaltung Ausbildung "
+    "Einrichtung Verwaltung Landwirtschaft Freundschaft Nachbarschaft Gewerkschaft Eigenschaft Öffentlichkeit "
+    "Schwierigkeit Aufmerksamkeit Abhängigkeit Arbeitslosigkeit Persönlichkeit Gerechtigkeit Sicherheit Krankheit "
+    "Gesundheit Wahrscheinlichkeit Verständnis Ergebnis Verhältnis Gedächtnis Bedürfnis Reichtum Wachstum Eigentum "
+    "Schmetterling Frühling Zeitung Rechnung Wohnung Kreuzung Meinung Hoffnung Erfahrung Erinnerung Entscheidung "
+    "Unterscheidung Bedeutung Bewegung Beziehung Erklärung Forschung Herstellung Vorstellung Leistung Lieferung Prüfung "
+    "Richtung Sammlung Steuerung Überraschung Umgebung Vermittlung Zerstörung Straßenbahn Flughafen Schriftsteller "
+    "Zeitschrift Buchhandlung Taschenbuch Wörterbuch Handschuh Kühlschrank Schlafzimmer Kindergarten Hauptbahnhof "
+    "Wochenende Geburtstag Weihnachten selbstverständlich wahrscheinlich außergewöhnlich grundsätzlich hauptsächlich "
+    "durchschnittlich unterschiedlich verschiedene zusätzlich tatsächlich freundlich gesellschaftlich wirtschaftlich "
+    "wissenschaftlich landwirtschaftlich beziehungsweise möglicherweise glücklicherweise normalerweise"
+)
+
+FRENCH = (
+    "les des une pour dans avec sur pas plus vous nous être avoir faire comme mais gouvernement développement "
+    "établissement environnement fonctionnement changement renseignement enseignement commencement remerciement "
+    "appartement département événement investissement information organisation administration communication construction "
+    "production réalisation utilisation situation population éducation considération représentation transformation "
+    "participation connaissance naissance croissance importance indépendance correspondance expérience conséquence "
+    "différence préférence existence intelligence université responsabilité possibilité activité qualité société réalité "
+    "sécurité bibliothèque médicament bâtiment boulangerie librairie entreprise travailleur utilisateur ordinateur "
+    "consommateur chercheur malheureusement heureusement certainement probablement particulièrement généralement "
+    "évidemment rapidement actuellement complètement simplement notamment aujourd maintenant quelquefois longtemps "
+    "beaucoup pourquoi lorsque cependant pourtant toujours parallèlement professionnel exceptionnel traditionnel "
+    "international nécessaire extraordinaire vocabulaire anniversaire propriétaire merveilleux dangereux nombreuses "
+    "magnifique automatique électronique mathématiques scientifique démocratique politique économique historique "
+    "catastrophe philosophie photographie chaussures fenêtre champignon montagne"
+)
+
+SPANISH = (
+    "los las una por para con que del como más pero sus este entre desde hasta sobre también gobierno desarrollo "
+    "establecimiento conocimiento funcionamiento crecimiento nacimiento agradecimiento departamento pensamiento movimiento "
+    "información organización administración comunicación construcción producción realización utilización situación "
+    "población educación consideración representación transformación participación importancia independencia "
+    "correspondencia experiencia consecuencia diferencia preferencia existencia inteligencia universidad responsabilidad "
+    "posibilidad actividad calidad sociedad realidad seguridad biblioteca medicamento edificio panadería librería empresa "
+    "trabajador ordenador consumidor investigador desafortunadamente afortunadamente ciertamente probablemente "
+    "particularmente generalmente evidentemente rápidamente actualmente completamente simplemente especialmente "
+    "ayuntamiento siempre mientras aunque todavía después entonces profesional excepcional tradicional internacional "
+    "necesario extraordinario vocabulario aniversario propietario maravilloso peligroso numerosas magnífico automático "
+    "electrónico matemáticas científico democrático política económica histórica catástrofe filosofía fotografía zapatos "
+    "ventana montaña desgraciadamente ferrocarril cumpleaños aparcamiento rascacielos lavavajillas paraguas murciélago "
+    "guardarropa agricultura arquitectura literatura temperatura"
+)

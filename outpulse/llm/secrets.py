@@ -5,7 +5,8 @@ before) are compressed by Zstandard twice, with a raw dictionary of common
 words and identifiers and the code around the string: once alone, once without the
 string. The difference is what the string itself costs. A string that stays
 about as long as it was, or costs many bytes, is not a word or a path. Its
-own copies around it do not explain it.
+own copies around it do not explain it. Strings made of words only, listed
+ones or ones spelt like words, are names and not measured.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outpulse.llm.letters import is_wordlike
 from outpulse.llm.ordinary import WORDS
 from outpulse.llm.words import slices
 
@@ -31,6 +33,8 @@ NOVEL = 0.7
 #: Marginal bytes from which a string counts whatever its length: long ones of few characters cost less each.
 ENOUGH = 24
 SHORTEST = 12
+#: Letters from which spelling tells a word.
+SPELT = 5
 
 _ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -77,8 +81,14 @@ def marginal_bytes(text: str, start: int, end: int) -> int:
 
 
 def is_name(found: str) -> bool:
-    """Whether the string is ordinary words only, joined by marks or by capitals. Random letters are not, whatever their case."""
-    return not any(c.isdigit() for c in found) and all(p.lower() in _WORDS for p in _PIECE.findall(found))
+    """Whether the string is words only, joined by marks or by capitals. Random letters are not, whatever their case.
+
+    A word is listed, or has at least five letters in an order that words have
+    in English, German, French or Spanish.
+    """
+    pieces = _PIECE.findall(found)
+    known = all(p.lower() in _WORDS or (len(p) >= SPELT and is_wordlike(p)) for p in pieces)
+    return known and not any(c.isdigit() for c in found)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -146,6 +156,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def digest(scanned: DataFrame) -> DataFrame:
+    """Counts and joined spans of :func:`scan`'s rows, one row each, repeated ones too.
+
+    A document without spans, null and empty ones included, has counts of 0
+    and empty ``spans``. No rows give no rows.
+    """
     def count(kind: str) -> Column:
         return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
 

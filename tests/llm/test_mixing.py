@@ -1,6 +1,7 @@
 import duckdb
 import pytest
 from odd_rows import nothing, odd, words  # noqa: F401
+from pyspark.sql import functions as F
 
 from outpulse.llm import mixing
 
@@ -16,7 +17,12 @@ def test_odd_rows_against_sql(odd):
     got = [tuple(r) for r in mixing.mix(clean).collect()]
     order = lambda r: tuple(str(x) for x in r)
     assert sorted(map(order, got)) == sorted(map(order, want))
-    mixed = mixing.mixed(clean.drop("copies"))
+    # Columns named like those of the plan stay as they are; ``copies`` is the operator's own.
+    clash = {c: F.lit(f"own {c}") for c in ("target", "cut", "whole", "last", "source_size", "h", "copies")}
+    mixed = mixing.mixed(clean.withColumns(clash))
+    assert mixed.columns == [c for c in clean.withColumns(clash).columns if c != "copies"] + ["copies"]
+    assert {tuple(r) for r in mixed.select("target", "cut", "whole", "last", "source_size").distinct().collect()} == {
+        ("own target", "own cut", "own whole", "own last", "own source_size")}
     assert sorted((str(r.doc_id), r.copies) for r in mixed.collect()) == sorted((str(r[0]), r[4]) for r in want if r[4])
 
 

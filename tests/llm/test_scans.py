@@ -4,6 +4,7 @@ import re
 import string
 from collections import Counter
 
+import pytest
 from odd_rows import lower, nothing, odd  # noqa: F401
 
 from outpulse.llm import licenses, secrets
@@ -66,6 +67,55 @@ def test_random_strings_without_digits_or_of_digits_are_reported():
         assert reported(f"the token {name} is a name") == []
 
 
+#: Heads and tails of ordinary long words; every head goes with every tail.
+LONG = {
+    "English": ("inter counter over under trans", "nationalization productivity formational organizational governmental standardization "
+                "characteristically industrialization responsibility administrative communication transformation understanding representative "
+                "determination accomplishment constitutional experimental recommendation acknowledgement configuration entertainment fulfilment "
+                "environmental measurements dependability capabilities comprehensive appreciation significance proportional illustrations "
+                "circumstance manufacturing professionalism consideration neighbourhood refreshments breakthroughs"),
+    "German": ("Haushalts Arbeits Bildungs Landes Verkehrs", "begrenzungen gestaltung schutzgesetz vertretung beauftragter ministerium verordnung "
+               "verzeichnis planungen entwicklung behandlung abteilungen wissenschaft versammlung rechnungen unternehmen verwaltung "
+               "geschwindigkeit verhandlung sicherheit ausstellung gemeinschaft vorschriften einrichtung bedingungen untersuchung "
+               "veranstaltung erfahrungen beschreibung dienstleistung zusammenarbeit genehmigung kosten vertrag behörde beratung pflichten "
+               "ordnungen leistungen verbindungen"),
+    "French": ("anti inter re trans sur", "gouvernementale organisation professionnelle traditionnellement développement établissement "
+               "fonctionnement constitutionnelle administrative considération représentations malheureusement approvisionnement bouleversement "
+               "communication responsabilité investissement environnementale vraisemblablement correspondance particulièrement enseignements "
+               "commencement renouvellement bibliothécaire émerveillement rafraîchissement quotidiennement reconnaissance consommateurs "
+               "divertissement accompagnement remboursement encouragements applaudissements attendrissement appartenance "
+               "engourdissement amoindrissement embellissement"),
+    "Spanish": ("anti inter re trans sobre", "gubernamental organizaciones profesionalmente tradicionalmente desarrolladores establecimiento "
+                "funcionamiento constitucional administrativo consideraciones representaciones desafortunadamente abastecimiento "
+                "enriquecimiento embarcaciones comunicaciones responsabilidades inversionistas medioambiental correspondencia particularmente "
+                "conocimientos renacimiento bibliotecario agradecimiento entretenimiento cotidianamente reconocimientos consumidores "
+                "acompañamiento desplazamiento florecimiento aprovechamiento envejecimiento fortalecimiento internacionales "
+                "comportamiento estacionamiento levantamiento mantenimiento"),
+}
+
+
+@pytest.mark.parametrize("language", LONG)
+def test_ordinary_long_words_are_no_secrets(language):
+    heads, tails = (part.split() for part in LONG[language])
+    words = [head + tail for head in heads for tail in tails]
+    assert len(words) >= 180 and all(len(w) >= 9 for w in words)
+    wrong = [w for w in words if reported(f"the token {w} was meant")]
+    assert len(wrong) <= 0.01 * len(words), wrong
+
+
+def test_words_after_sensitive_words_stay():
+    for text in ("a token of appreciation", "Bearer internationalization", "the secret Geschwindigkeitsbegrenzung"):
+        assert reported(text) == [] and secrets.redacted(text) == text
+
+
+def test_planted_strings_are_found():
+    """Recall on random strings of several alphabets, some hundred of each."""
+    draw = random.Random(9)
+    for alphabet, least in ((string.ascii_lowercase, 0.97), (string.ascii_letters, 0.99), (string.ascii_letters + string.digits, 0.99), (string.hexdigits[:16].upper(), 0.99)):
+        planted = ["".join(draw.choice(alphabet) for _ in range(draw.randint(14, 48))) for _ in range(300)]
+        assert sum(reported(f"credential {p} end") == [p] for p in planted) >= least * len(planted)
+
+
 def test_neither_copies_nor_length_hide_a_string():
     draw = random.Random(8)
     for n in (16, 40, 120):
