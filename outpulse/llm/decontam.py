@@ -29,6 +29,8 @@ SPAN = max(map(len, MASKS))
 #: Equal words that make an overlap, or four of five of a shorter item; and what a differing word takes away,
 #: so that at least four of five words of a reported overlap are equal.
 OVERLAP, PENALTY = 13, 4
+#: Pairs of places of one seed up to which their differences are listed one by one.
+PAIRS = 256
 #: Bits of the Bloom filter for each test hash, and at most: 2^28 bits are 32 MB whatever the test set.
 BLOOM_BITS, BLOOM_MOST, PROBES = 64, 1 << 28, 6
 
@@ -120,21 +122,44 @@ def _train_side(masks: list[tuple[str, int]], table: np.ndarray) -> Callable:
                         at, found = at[good], found[good]
                     hits.append((np.full(len(at), int(mask, 2), np.int32), found.view(np.int64), at))
                 number, found, at = (np.concatenate(c) for c in zip(*hits, strict=True))
-                row = words.row[at]
-                order = np.argsort(row, kind="stable")
+                order = np.lexsort((at, found, number, words.row[at]))
+                number, found, at = number[order], found[order], at[order]
+                row, place = words.row[at], (at - bounds[words.row[at]]).astype(np.int32)
+                # One entry for every seed of a text, with all its places.
+                same = (row[1:] == row[:-1]) & (number[1:] == number[:-1]) & (found[1:] == found[:-1])
+                first = np.flatnonzero(np.append(True, ~same)[: len(at)])
+                places = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(place))
                 rows = np.unique(row)
-                edges = pa.array(np.append(np.searchsorted(row[order], rows), len(row)).astype(np.int32))
+                edges = pa.array(np.append(np.searchsorted(row[first], rows), len(first)).astype(np.int32))
                 tokens = [hashes[bounds[r] : bounds[r + 1]].tobytes() for r in rows]
-                place = (at - bounds[row]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id").take(pa.array(rows)), piece.column("rid").take(pa.array(rows)), pa.array(tokens, pa.binary()),
-                     *[pa.ListArray.from_arrays(edges, pa.array(c[order])) for c in (number, found, place)]],
+                     *[pa.ListArray.from_arrays(edges, c) for c in (pa.array(number[first]), pa.array(found[first]), places)]],
                     ["doc_id", "rid", "tokens", "mask", "h", "pos"],
                 )
 
     return run
 
 
+def distinct_shifts(places: np.ndarray, item_places: np.ndarray) -> np.ndarray:
+    """All differences of a place and an item place, each once; memory is that of the span, not of the pairs."""
+    few, many, sign = (item_places, places, 1) if len(item_places) <= len(places) else (places, item_places, -1)
+    low = int(places.min()) - int(item_places.max())
+    there = np.zeros(int(places.max()) - int(item_places.min()) - low + 1, bool)
+    for place in few:
+        there[sign * (many - place) - low] = True
+    return np.flatnonzero(there) + low
+
+
+def _many_shifts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            one = batch.slice(at, 1)
+            places, items = (one.column(c)[0].values.to_numpy() for c in ("pos", "item_pos"))
+            shifts = pa.array([distinct_shifts(places, items).astype(np.int32)], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([one.column("rid"), one.column("iid"), shifts], ["rid", "iid", "shifts"])
+
+
 def needed(item_words: int) -> int:
     """Equal words from which an overlap with an item of so many words is reported."""
     return min(OVERLAP, (PENALTY * item_words + PENALTY) // (PENALTY + 1))
@@ -221,13 +246,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         table |= np.frombuffer(part.bits, np.uint8)
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), "text")
-    found = f"doc_id {doc_type}, rid long, tokens binary, mask array<int>, h array<long>, pos array<int>"
+    found = f"doc_id {doc_type}, rid long, tokens binary, mask array<int>, h array<long>, pos array<array<int>>"
     hit = store(rows.mapInArrow(_train_side(masks, table), found), "decontam-hits")
     spots = hit.select("rid", F.explode(F.arrays_zip("mask", "h", "pos")).alias("s")).select("rid", "s.*")
-    shifts = (
-        spots.join(tests, ["mask", "h"]).select("rid", "iid", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        .groupBy("rid", "iid").agg(F.collect_set("shift").alias("shifts"))
-    )
+    placed = tests.groupBy("mask", "h", "iid").agg(F.collect_list("item_pos").alias("item_pos"))
+    met = spots.join(placed, ["mask", "h"]).select("rid", "iid", "pos", "item_pos")
+    # Seeds that stand in a text and in an item again and again give few shifts from many pairs.
+    often = F.size("pos").cast("long") * F.size("item_pos") > PAIRS
+    each = F.flatten(F.transform("pos", lambda p: F.transform("item_pos", lambda q: p - q)))
+    few = met.where(~often).select("rid", "iid", each.alias("shifts"))
+    many = met.where(often).mapInArrow(_many_shifts, "rid long, iid long, shifts array<int>")
+    both = few.unionByName(many).groupBy("rid", "iid").agg(F.flatten(F.collect_list("shifts")).alias("shifts"))
+    shifts = both.select("rid", "iid", F.array_distinct("shifts").alias("shifts"))
     texts = hit.select("doc_id", "rid", "tokens").dropDuplicates(["rid"])
     pairs = shifts.join(items.select("iid", "item_id", "item"), "iid").join(texts, "rid")
     return pairs.select("doc_id", "rid", "item_id", "tokens", "item", "shifts").mapInArrow(

@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 from odd_rows import lower, nothing, odd  # noqa: F401
@@ -134,3 +135,27 @@ def test_empty_tables(spark, odd, nothing):
     some = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p")], "item_id LONG, text STRING")
     assert decontam.contaminated(odd[0], none).collect() == []
     assert decontam.contaminated(nothing, some).collect() == []
+
+
+def test_distinct_shifts():
+    draw = np.random.default_rng(3)
+    for n, m in ((1, 1), (5, 60), (700, 40), (300, 900)):
+        a, b = (np.unique(draw.integers(0, 3000, k)).astype(np.int32) for k in (n, m))
+        assert decontam.distinct_shifts(a, b).tolist() == sorted({int(p) - int(q) for p in a for q in b})
+
+
+def test_words_repeated_in_text_and_item(spark):
+    """Pairs of places grow with the product of the repeats, shifts with their sum."""
+    texts = [(1, "w " * 40_000), (2, "a b " * 3000 + "w " * 30), (3, "w " * 12), (4, "clean text of no overlap at all")]
+    items = [(10, "w " * 200), (11, "a b " * 100), (12, "w " * 60 + "a b " * 20)]
+    start = time.time()
+    got = {(r.doc_id, r.item_id): r.matched for r in decontam.contaminated(
+        spark.createDataFrame(texts, "doc_id LONG, text STRING"), spark.createDataFrame(items, "item_id LONG, text STRING")).collect()}
+    assert got[1, 10] == 200 and got[2, 11] == 200 and got[2, 10] == 30
+    for (doc, item), matched in got.items():
+        words, own = dict(texts)[doc].split(), dict(items)[item].split()
+        if len(words) < 7000:
+            best = max(decontam.whole_overlap(*(np.array([hash(x) for x in t], np.int64) for t in (words, own)), s)[0] for s in range(-len(own) + 1, len(words)))
+            assert matched == best
+    assert (3, 10) not in got and not any(d == 4 for d, _ in got)
+    assert time.time() - start < 60
