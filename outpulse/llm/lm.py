@@ -119,9 +119,16 @@ def _answer(vocabulary: Vocabulary, weights: np.ndarray) -> Callable:
     return answer
 
 
-def _add(key: tuple, parts: pa.Table) -> pa.Table:
-    out = sum(np.frombuffer(v) for v in column(parts, "expected"))
-    return pa.table({"expected": [out.tobytes()], "tokens": [sum(column(parts, "tokens"))], "kinds": [sum(column(parts, "kinds"))]})
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for all rows of a task: as many vectors as there are leave it as one."""
+    out, tokens, kinds = None, 0, 0
+    for batch in batches:
+        for uses, n, k in zip(*(batch.column(c).to_pylist() for c in ("expected", "tokens", "kinds")), strict=True):
+            vector = np.frombuffer(uses)
+            out = vector.copy() if out is None else out + vector
+            tokens, kinds = tokens + n, kinds + k
+    if out is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary()), pa.array([tokens]), pa.array([kinds])], ["expected", "tokens", "kinds"])
 
 
 _SUMS = "expected binary, tokens long, kinds long"
@@ -144,8 +151,10 @@ def score(docs: DataFrame, model: str = MODEL, part_bytes: int = PART_BYTES) ->
 
     training = rows.where("NOT held_out")
     learnt = training.select("text").mapInArrow(_counter(shard_bits), _MESSAGE_SQL).groupBy("slot").applyInArrow(_expect(vocabulary), _SUMS)
-    learnt = learnt.withColumn("g", F.spark_partition_id() % 16).groupBy("g").applyInArrow(_add, _SUMS)
-    learnt = learnt.withColumn("g", F.lit(0)).groupBy("g").applyInArrow(_add, _SUMS).collect()
+    # A task sends one vector; between the tasks and the driver as many groups as each then has vectors.
+    groups = math.isqrt(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    learnt = learnt.mapInArrow(_added, _SUMS).withColumn("g", F.spark_partition_id() % groups)
+    learnt = learnt.repartition(groups, "g").drop("g").mapInArrow(_added, _SUMS).repartition(1).mapInArrow(_added, _SUMS).collect()
     ends = training.count()
     tokens = (learnt[0].tokens if learnt else 0) + ends
     kinds = (learnt[0].kinds if learnt else 0) + (ends > 0)
