@@ -439,7 +439,7 @@ SELECT repo, fetched_date, referrer, views, unique_visitors, '{V.ORDERS_AS_OF:%Y
 WHERE fetched_date >= DATE '{V.CUT}'"""
 
 
-def _archived(spark, sf, scope="all"):
+def _appended_twice(spark, sf, scope="all"):
     """The archive of the cut day, and the run that finds the whole history in its replies, made twice."""
     root = run_dir(spark, "archive")
     A.write_archive(V.existing(spark, sf), root, "referrers", F.col("fetched_date"))
@@ -452,7 +452,7 @@ def _archived(spark, sf, scope="all"):
 @query("chart_last_months", _top("referrer", f"(SELECT DISTINCT * EXCLUDE (archive_month), archive_month FROM ({_FILED}))", LAST_SIX))
 def chart_last_months(spark, sf):
     """Collect, append to the archive, and rank what was filed in the last six months; earlier months are not read."""
-    root = _archived(spark, sf)
+    root = _appended_twice(spark, sf)
     return C.referrers(A.read_archive(spark, root, "referrers", LAST_SIX))
 
 
@@ -466,7 +466,7 @@ WHERE NOT EXISTS (SELECT 1 FROM v_existing e WHERE e.archive_month = '{V.ORDERS_
 )
 def archive_month_scope(spark, sf):
     """Known keys are looked for in the month of the run only, so days of earlier months are filed once more."""
-    return A.read_archive(spark, _archived(spark, sf, "archive_month"), "referrers")
+    return A.read_archive(spark, _appended_twice(spark, sf, "archive_month"), "referrers")
 
 
 @query(
