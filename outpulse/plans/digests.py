@@ -202,11 +202,11 @@ def web_digest(
     return _number(sections, by, SHORT)
 
 
-def mention_line(m: str = "") -> Column:
-    """One mention with its optional parts; absent or empty parts leave no trace."""
+def mention_line(m: str = "", day: Column | None = None) -> Column:
+    """One mention with its optional parts; absent or empty parts leave no trace. ``day`` is the date as shown."""
     col = lambda c: F.col(m + c)
     shown = lambda value, text: F.when(value, text).otherwise(F.lit(""))
-    day = F.coalesce(F.nullif(col("date_text"), F.lit("")), col("date").cast("string"))
+    day = col("date").cast("string") if day is None else day
     return _text(
         "  ", M.sentiment_icon(col("sentiment")), " <", col("url"), "|", col("title"), ">",
         shown(X.has_text(col("subreddit")), _text(" [", col("subreddit"), "]")),
@@ -257,6 +257,8 @@ def mention_digest(
         ],
     )
 
+    # A reply's date is shown as it was written.
+    shown_day = F.coalesce(F.nullif(F.col("date_text"), F.lit("")), F.col("date").cast("string"))
     named = M.listed(
         mentions.withColumn("source", F.coalesce("source", F.lit("Other"))).withColumn(
             "keyword", F.coalesce("keyword", F.lit("unknown"))
@@ -277,7 +279,7 @@ def mention_digest(
     )
     places = {f"key{k}": F.col(c) for k, c in enumerate(arrival, 3)}
     item_lines = _section(
-        named, by, 1, [mention_line(), summary_line(F.col("summary"))],
+        named, by, 1, [mention_line(day=shown_day), summary_line(F.col("summary"))],
         key=rank, name=source, key1=F.lit(2), key2=M.source_order(source, F.col("score")), **places,
     )
     # At most two lines per item, one per source and one per keyword.
