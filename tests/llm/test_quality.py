@@ -66,3 +66,49 @@ def test_no_labels_and_no_rows(spark, odd, nothing):
     assert quality.classify(nothing, corpus(spark)[1]).collect() == []
     few = spark.createDataFrame([(0, 1, ""), (1, 0, "")], LABELS)
     assert quality.classify(odd[0], few).count() == odd[0].count()
+
+
+def test_model_equals_plain_normal_equations(spark):
+    """Moments, partition sums, ridge and calibration against one numpy program over all rows at once."""
+    docs, labels, truth = corpus(spark)
+    measured = quality.measure(docs.repartition(7))
+    model = quality.fit(measured, labels)
+    rows = {r.doc_id: (r.x, zlib.crc32(str(r.doc_id).encode()) % 4) for r in measured.collect()}
+    learnt = [(x, truth[i], k) for i, (x, k) in sorted(rows.items()) if k != 2]
+    x = np.array([r[0] for r in learnt])
+    y, k = np.array([r[1] for r in learnt], float), np.array([r[2] for r in learnt])
+    mean, scale = x.mean(0), np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    assert np.allclose(model.mean, mean) and np.allclose(model.scale, scale)
+
+    draw = np.random.default_rng(quality.SEED)
+    w = draw.normal(size=(x.shape[1], quality.FEATURES)) / (quality.BANDWIDTH * np.sqrt(x.shape[1]))
+    b = draw.uniform(0, 2 * np.pi, quality.FEATURES)
+    z = np.sqrt(2 / quality.FEATURES) * np.cos(np.clip((x - mean) / scale, -8, 8) @ w + b)
+    z = np.hstack([z, np.ones((len(z), 1))])
+    fit = z[k != 3]
+    ridge = quality.RIDGE * len(fit) / quality.FEATURES
+    weights = np.linalg.lstsq(np.vstack([fit, np.sqrt(ridge) * np.eye(z.shape[1])]), np.append(y[k != 3], np.zeros(z.shape[1])), rcond=None)[0]
+    assert np.allclose(z @ model.weights, z @ weights, atol=1e-6)
+
+    held = z[k == 3] @ model.weights
+    bins = np.clip((held + 0.5) * (quality.BINS / 2), 0, quality.BINS - 1).astype(int)
+    used = np.unique(bins)
+    means, counts = np.array([y[k == 3][bins == u].mean() for u in used]), np.array([(bins == u).sum() for u in used])
+    assert np.allclose(model.chances, quality.pool(means, counts)) and np.allclose(model.knots, (used + 0.5) * (2 / quality.BINS) - 0.5)
+
+
+def test_features_approximate_the_gaussian_kernel():
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(40, 18))
+    z = quality.fourier(x, np.zeros(18), np.ones(18))[:, :-1]
+    exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / (2 * quality.BANDWIDTH**2 * 18))
+    assert np.abs(z @ z.T - exact).mean() < 3 / np.sqrt(quality.FEATURES)
+
+
+def test_repeated_rows_and_ties_score_alike(spark):
+    docs, labels, _ = corpus(spark)
+    twice = docs.unionByName(docs).unionByName(docs.limit(50).withColumn("doc_id", docs.doc_id + 50_000))
+    scores = {}
+    for r in quality.classify(twice, labels).join(twice.distinct(), "doc_id").select("text", "score").collect():
+        scores.setdefault(r.text, set()).add(r.score)
+    assert all(len(s) == 1 for s in scores.values())
