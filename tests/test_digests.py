@@ -99,3 +99,9 @@ def test_opportunity_digest(spark):
     )
     payload = G.digest_payload(G.messages(lines, ["campaign"]), ["campaign"], "ch").where(F.col("campaign") == "d").first()
     assert '"channel":"ch"' in payload.payload and '"mrkdwn":true' in payload.payload
+
+
+def test_mention_dates_are_shown_as_written(spark):
+    df = spark.createDataFrame(ROWS[2:4], MENTIONS).withColumn("date_text", F.when(F.col("url") == "u3", "April 5, 2026"))
+    lines = [r.line for r in G.mention_digest(df, ["a", "b"], "x").collect()]
+    assert "  :large_green_circle: <u3|T3>  _April 5, 2026_" in lines and any("_2026-04-05_" in x for x in lines)

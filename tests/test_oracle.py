@@ -53,7 +53,8 @@ def test_library_collects_nothing_unbounded():
         "operators/outreach.py": 1,  # rows and failures of a scoring job
         "sources/firsts.py": 1,  # last filed day
         "sources/ledger.py": 2,  # last run
-        "sources/archive.py": 1,  # date span of a batch
+        "sources/archive.py": 2,  # date span of a batch, count of a finished batch
+        "sources/seen.py": 1,  # bucket numbers of a batch, 256 at most
         "plans/digests.py": 1,  # largest digest
     }
     root = Path(entry_module.__file__).parent / "outpulse"
