@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from outpulse.operators.keyed import number_rows
+from outpulse.session import store
+
 _SIDES = ("chosen", "rejected")
 
 
@@ -64,21 +67,28 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations, as input of :func:`preference_pairs`.
 
     Chosen is the conversation itself. Rejected is the conversation up to its
-    last assistant turn, answered by the last assistant turn of its partner,
-    the conversation whose id differs in the lowest bit. A conversation that
-    has no assistant turn, or whose partner has none, gives no pair.
+    last assistant turn, answered by the last assistant turn of its partner:
+    the next conversation in id order that has one, after the last the first.
+    A conversation without an assistant turn gives no pair, nor does one that
+    is alone in having one. Numbering goes by ranges of ids, so neither task
+    nor driver holds them all.
     """
     rows = conversations.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
     reply = F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))
     last = rows.where("role = 'assistant'").groupBy("conv_id").agg(reply.alias("own"))
-    partner = last.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("own.text").alias("answer"))
-    matched = last.select("conv_id", F.col("own.turn").alias("last_turn")).join(partner, "conv_id")
+    placed = number_rows(last, [], [F.col("conv_id")], "_n", hot_rows=0, largest=1)
+    total = placed.count()
+    before = F.when(F.col("_n") == 1, F.lit(total)).otherwise(F.col("_n") - 1)
+    partner = placed.select(before.alias("_n"), F.col("own.text").alias("answer"))
+    matched = placed.select("_n", "conv_id", F.col("own.turn").alias("last_turn")).join(partner, "_n").drop("_n").where(F.lit(total > 1))
+    matched = store(matched, "pairs-partners")
+    answer = matched.select(
+        F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), F.col("last_turn").alias("turn"), F.lit("assistant").alias("role"),
+        F.col("answer").alias("text"),
+    )
     matched = rows.join(matched, "conv_id")
     chosen = matched.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
     kept = matched.where("turn IS NULL OR turn < last_turn").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
-    answer = last.select("conv_id", F.col("own.turn").alias("turn")).join(partner, "conv_id").select(
-        F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", F.lit("assistant").alias("role"), F.col("answer").alias("text")
-    )
     return chosen.union(kept).union(answer)
 
 
@@ -91,7 +101,8 @@ WITH rows AS (
   SELECT r.conv_id, r.turn, max(coalesce(r.text, '')) AS text
   FROM rows r JOIN last l ON r.conv_id = l.conv_id AND r.turn = l.turn WHERE r.role = 'assistant' GROUP BY ALL
 ), matched AS (
-  SELECT a.conv_id, a.turn, b.text FROM reply a JOIN reply b ON b.conv_id = xor(a.conv_id, 1::BIGINT)
+  SELECT conv_id, turn, coalesce(lead(text) OVER (ORDER BY conv_id), first_value(text) OVER (ORDER BY conv_id)) AS text
+  FROM reply QUALIFY count(*) OVER () > 1
 ), sides AS (
   SELECT r.conv_id AS pair_id, 'chosen' AS side, r.turn, r.role, r.text FROM rows r JOIN matched m USING (conv_id)
   UNION ALL

@@ -27,10 +27,28 @@ def test_prefix_masks_and_odd_turns(spark):
 
 
 def test_swapped_replies_and_empty(spark):
-    schema = "conv_id LONG, turn LONG, role STRING, text STRING, side STRING"
-    rows = [(2, 0, "user", "q", "s"), (2, 1, "assistant", "a", "s"), (3, 0, "user", "p", "s"), (3, 1, "assistant", None, "s"),
-            (5, 0, "assistant", "alone", "s"), (None, 0, "user", "x", "s")]
-    got = {r.pair_id: r for r in chat.preference_pairs(chat.swapped_replies(spark.createDataFrame(rows, schema))).collect()}
-    assert set(got) == {2, 3} and got[2].chosen == "<|assistant|>\na<|end|>\n" and got[2].rejected == "<|assistant|>\n<|end|>\n"
-    empty = spark.createDataFrame([], schema)
-    assert chat.preference_pairs(chat.swapped_replies(empty)).collect() == []
+    schema = "conv_id LONG, turn LONG, role STRING, text STRING, side STRING, _n LONG, own STRING"
+    rows = [(2, 0, "user", "q"), (2, 1, "assistant", "a"), (4, 0, "user", "p"), (4, 1, "assistant", None), (4, 2, "user", "more"),
+            (9, 0, "assistant", "third"), (5, 0, "user", "no reply"), (None, 0, "assistant", "x")]
+
+    def pairs_of(some):
+        frame = spark.createDataFrame([(*r, "s", 1, "o") for r in some], schema).repartition(3)
+        return {r.pair_id: r for r in chat.preference_pairs(chat.swapped_replies(frame)).collect()}
+
+    got = pairs_of(rows)
+    # Even ids have partners, ids need no neighbours, the last one's partner is the first.
+    assert set(got) == {2, 4, 9}
+    assert got[2].chosen == "<|assistant|>\na<|end|>\n" and got[2].rejected == "<|assistant|>\n<|end|>\n"
+    assert got[4].rejected == "<|assistant|>\nthird<|end|>\n" and got[9].rejected == "<|assistant|>\na<|end|>\n"
+    assert pairs_of(rows[:2]) == {} and pairs_of([]) == {}
+
+
+def test_many_turns_and_long_texts(spark):
+    """A long conversation keeps its whole prefix once; texts of megabytes pass as they are."""
+    long = "y" * 2_000_000
+    turns = [("c", n, "user" if n % 2 == 0 else "assistant", long if n == 3 else f"t{n}") for n in range(4001)]
+    rows = [(1, side, n, role, text, 0, "") for side in ("chosen", "rejected") for _, n, role, text in turns]
+    rows[-1] = (*rows[-1][:4], "other", 0, "")
+    one = pairs(spark, rows)[1]
+    assert one.shared_turns == 4000 and long in one.prompt and one.prompt.count("<|end|>") == 4000
+    assert (one.chosen, one.rejected) == ("<|user|>\nt4000<|end|>\n", "<|user|>\nother<|end|>\n")
