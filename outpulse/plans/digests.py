@@ -22,6 +22,7 @@ from outpulse.operators.keyed import number_rows
 from outpulse.operators.traffic import archive_links
 from outpulse.session import store
 
+# The line texts and headings of the digests further below are those of the messages.
 MESSAGE_LINES = 500
 # Bound of digests that are made of limited reports or of one reply.
 SHORT = 1000
