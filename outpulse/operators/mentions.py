@@ -15,8 +15,8 @@ from outpulse.session import store
 
 INLINE_PHRASES, INLINE_BYTES = 64, 65_536
 SAMPLE_TEXTS = 10_000
+SAMPLE_BLOCKS = 500
 SHARDS_A_JOB = 4
-CHUNK = 64
 BLOCK = 16_384
 ANCHORS = (1, 2, 4, 8, 16)
 
@@ -60,19 +60,52 @@ def exclude_phrases(
     """Drop rows whose lower-cased text contains any phrase.
 
     A phrase list, or a phrase table of up to 64 rows and 64 KB, becomes one
-    predicate per phrase inside the scan stage. Any larger table goes through
-    :func:`exclude_phrase_table`.
+    predicate per phrase inside the scan stage. Of a larger table the shortest
+    phrases without inner words, for which an index is dearest, do; phrases that
+    contain one of them can't decide any more and are left out. What remains
+    goes through :func:`exclude_phrase_table` if it is still too large.
     """
     text = _search_text(columns)
     if isinstance(phrases, DataFrame):
         table = _distinct_phrases(phrases)
-        n, size = table.limit(INLINE_PHRASES + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
-        if n > INLINE_PHRASES or size > INLINE_BYTES:
-            return exclude_phrase_table(df, phrases, columns)
+        if not _inline(table):
+            table = store(table, "phrases")
+            short = _shortest(table)
+            df, table = _without(df, text, short), _without(table, F.col("phrase"), short)
+            if not _inline(table):
+                return exclude_phrase_table(df, table, columns)
         phrases = [r.phrase for r in table.limit(INLINE_PHRASES).collect()]
+    return _without(df, text, [p.lower() for p in phrases])
+
+
+def _without(df: DataFrame, text: Column, phrases: Sequence[str]) -> DataFrame:
+    """Rows whose ``text``, made once a row, contains none of a few phrases."""
     if not phrases:
         return df
-    return df.where(~reduce(lambda a, b: a | b, [F.contains(text, F.lit(p.lower())) for p in phrases]))
+    found = F.exists(F.array(text), lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(p)) for p in phrases]))
+    return df.where(~found)
+
+
+def _inline(table: DataFrame) -> bool:
+    n, size = table.limit(INLINE_PHRASES + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+    return n <= INLINE_PHRASES and size <= INLINE_BYTES
+
+
+def _shortest(table: DataFrame) -> list[str]:
+    """The shortest phrases without inner words, as many as may be predicates."""
+    size = F.octet_length("phrase")
+    few = table.where(~_has_inner("phrase") & (size <= INLINE_BYTES // INLINE_PHRASES)).orderBy(size, "phrase")
+    return [r.phrase for r in few.limit(INLINE_PHRASES).collect()]
+
+
+def _inner(phrase: str) -> Column:
+    """What stands between a phrase's first and last blank, split at blanks."""
+    parts = F.split(phrase, " ")
+    return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))
+
+
+def _has_inner(phrase: str) -> Column:
+    return F.exists(_inner(phrase), lambda w: w != "")
 
 
 def _distinct_phrases(phrases: DataFrame) -> DataFrame:
@@ -91,55 +124,56 @@ def exclude_phrase_table(
     A text that contains a phrase has each of the phrase's inner words, those
     with a blank on both sides, as a word of its own. The anchor of a phrase
     is the inner word that the fewest texts of a sample have. A phrase without
-    inner words is filed under every word of the texts that holds its longest
-    part. Texts are split to words inside the scan and looked up in the index
-    there, in shards that each are small enough to broadcast; a phrase that
-    meets its anchor is tested against the whole text. So only the keys of
-    texts that hit leave the scan.
+    inner words is filed under one of its runs of 1, 2, 4, 8 or 16 characters.
+    Texts are split inside the scan and looked up in the index there, in
+    shards that each are small enough to broadcast; a phrase that meets its
+    anchor is tested against the text. So only the keys of texts that hit
+    leave the scan, and the index has one row per phrase, whatever the texts.
     """
     text = _search_text(columns)
-    parts = F.split("phrase", " ")
-    inner = F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")
-    longest = F.array_max(F.transform(parts, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    listed = store(_distinct_phrases(phrases).select("phrase", inner.alias("inner"), longest.alias("part")), "phrases")
-    has_inner, has_part = F.size("inner") > 0, F.col("part") != ""
-    blank, plain, short = listed.agg(
-        F.min(F.when(~has_part, F.length("phrase"))), F.count_if(has_inner), F.count_if(~has_inner & has_part)
-    ).first()
+    has_inner, has_part = F.size("inner") > 0, F.trim("phrase") != ""
+    listed = store(_distinct_phrases(phrases).select("phrase", F.filter(_inner("phrase"), lambda w: w != "").alias("inner")), "phrases")
+    blank, plain, short, longest = listed.agg(
+        F.min(F.when(~has_part, F.length("phrase"))), F.count_if(has_inner), F.count_if(~has_inner & has_part),
+        F.max(F.when(~has_inner, F.length("phrase"))),
+    ).first()
     if blank is not None:
         # Of phrases of blanks alone, the shortest decides.
         df = df.where(~F.contains(text, F.lit(" " * blank)))
     texts = df.select(text.alias("_text"))
-    filed = [_by_rarest_word(texts, listed.where(has_inner))] if plain else []
-    filed += [_by_holding_words(texts, listed.where(~has_inner & has_part))] if short else []
-    if not filed:
+    met = []
+    if plain:
+        index = store(_by_rarest_word(texts, listed.where(has_inner)), "anchors")
+        words = texts.select("_text", F.explode(_words("_text")).alias("anchor"))
+        for part in _even_shards(index, "anchor", shard_bytes):
+            hits = words.join(F.broadcast(part), "anchor").where(F.contains("_text", "phrase"))
+            met.append(hits.select(F.sha2("_text", 256).alias("_text_key")))
+    if short:
+        blocks = _blocks(texts, longest)
+        index = store(_by_rarest_run(blocks, listed.where(~has_inner & has_part)), "runs")
+        widths = [r.width for r in index.select("width").distinct().collect()]
+        met += [_holding(blocks, "", widths, part) for part in _even_shards(index, "gram", shard_bytes)]
+    if not met:
         return df
-    index = store(reduce(lambda a, b: a.unionByName(b), filed), "anchors")
-    shard, shards = _even_shards(index, shard_bytes)
-    words = texts.select("_text", F.explode(_words("_text")).alias("anchor"))
-
-    def passes(numbers: Sequence[int]) -> DataFrame:
-        met = [words.join(F.broadcast(index.where(shard == i)), "anchor").where(F.contains("_text", "phrase")) for i in numbers]
-        keys = reduce(lambda a, b: a.unionByName(b), met).select(F.sha2("_text", 256).alias("_text_key"))
-        return store(keys.distinct(), "excluded")
 
     # Every shard is a pass over the texts; a few of them at a time keep the plan small.
-    hits = [passes(range(i, min(i + SHARDS_A_JOB, shards))) for i in range(0, shards, SHARDS_A_JOB)]
+    passes = [met[i : i + SHARDS_A_JOB] for i in range(0, len(met), SHARDS_A_JOB)]
+    hits = [store(reduce(lambda a, b: a.unionByName(b), some).distinct(), "excluded") for some in passes]
     hit = reduce(lambda a, b: a.unionByName(b), hits).distinct() if len(hits) > 1 else hits[0]
     return join_lookup(df.withColumn("_text_key", F.sha2(text, 256)), hit, ["_text_key"], "left_anti").drop("_text_key")
 
 
-def _even_shards(index: DataFrame, most: int) -> tuple[Column, int]:
-    """A split of the index by hash whose parts each fit a broadcast; a longer phrase is a part of its own."""
-    width = F.octet_length("anchor") + F.octet_length("phrase") + 64
+def _even_shards(index: DataFrame, key: str, most: int) -> list[DataFrame]:
+    """The index split by hash to parts that each fit a broadcast; a longer phrase is a part of its own."""
+    width = F.octet_length(F.col(key).cast("string")) + F.octet_length("phrase") + 64
     shards = 1
     while True:
-        shard = F.pmod(F.xxhash64("anchor", "phrase"), F.lit(shards))
+        shard = F.pmod(F.xxhash64(key, "phrase"), F.lit(shards))
         rows, largest, single = index.groupBy(shard).agg(
             F.count("*").alias("n"), F.sum(width).alias("size"), F.max(width).alias("one")
         ).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("one"), F.lit(0))).first()
         if rows <= BROADCAST_ROWS and largest <= max(most, single):
-            return shard, shards
+            return [index.where(shard == i) for i in range(shards)]
         shards = max(2 * shards, -(-largest // most))
 
 
@@ -151,29 +185,38 @@ def _by_rarest_word(texts: DataFrame, phrases: DataFrame) -> DataFrame:
     return counted.groupBy("phrase").agg(F.min(F.struct("n", "anchor"))["anchor"].alias("anchor")).select("anchor", "phrase")
 
 
-def _by_holding_words(texts: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(anchor, phrase) for all words of the texts that hold a phrase's longest part.
+def _blocks(texts: DataFrame, longest: int) -> DataFrame:
+    """Texts cut to blocks of characters that overlap by the longest phrase, so that each place of a phrase is whole in one."""
+    step = max(BLOCK, longest)
+    keyed = texts.select(F.sha2("_text", 256).alias("_text_key"), F.col("_text").alias("part"))
+    return _cut(keyed, ["_text_key"], "block", step, longest).select("_text_key", F.split("part", "").alias("_units"))
 
-    Distinct words are cut to short pieces, whose every position gives a hash
-    of 1, 2, 4, 8 or 16 characters; a part is looked up by its first ones.
-    """
-    size = F.length("part")
+
+def _by_rarest_run(blocks: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(gram, width, before, size, phrase) with the run of characters that is rarest in the first blocks; these change only the cost."""
+    size, chars = F.length("phrase"), F.split("phrase", "")
     width = reduce(lambda a, n: F.when(size >= n, n).otherwise(a), ANCHORS[1:], F.lit(ANCHORS[0]))
-    keyed = phrases.select("phrase", "part", width.alias("q")).withColumn("start", F.left("part", F.col("q")))
-    used = [n for n, there in zip(ANCHORS, phrases.agg(*[F.max(width == n) for n in ANCHORS]).first(), strict=True) if there]
-    vocabulary = store(texts.select(F.explode(_words("_text")).alias("anchor")).distinct(), "words")
-    whole = vocabulary.select(F.md5("anchor").alias("_word"), F.col("anchor").alias("part"))
-    # Cutting walks a text from its start, so long words are cut to blocks first.
-    pieces = _cut(_cut(whole, ["_word"], "block", BLOCK, ANCHORS[-1]), ["_word"], "chunk", CHUNK, ANCHORS[-1])
-    at = F.sequence(F.lit(1), F.greatest(F.least(F.length("part"), F.lit(CHUNK)), F.lit(1)))
-
-    def cut(n: int) -> Column:
-        return F.transform(at, lambda i: F.col("part").substr(i, F.lit(n)))
-
-    starts = F.flatten(F.array(*[cut(n) for n in used]))
-    found = pieces.select("_word", F.explode(F.array_distinct(starts)).alias("start")).join(keyed, "start").select("_word", "part", "phrase").distinct()
-    held = found.join(vocabulary.withColumn("_word", F.md5("anchor")), "_word").where(F.contains("anchor", "part"))
-    return held.select("anchor", "phrase")
+    sized = phrases.select("phrase", chars.alias("chars"), size.alias("size"), width.alias("width"))
+    runs = sized.withColumn("before", F.explode(F.sequence(F.lit(0), F.col("size") - F.col("width"))))
+    runs = runs.select(F.xxhash64(F.slice("chars", F.col("before") + 1, F.col("width"))).alias("gram"), "width", "before", "size", "phrase")
+    sampled = _grams(blocks.limit(SAMPLE_BLOCKS), ANCHORS).groupBy("gram").agg(F.count("*").alias("n"))
+    counted = runs.join(sampled, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    first = F.min(F.struct("n", "before", "gram", "width", "size")).alias("run")
+    return counted.groupBy("phrase").agg(first).select("run.gram", "run.width", "run.before", "run.size", "phrase")
+
+
+def _grams(units: DataFrame, widths: Sequence[int]) -> DataFrame:
+    """The runs of ``widths`` units from every place of ``_units``, as hashes ``gram``, with the place ``_at`` from 0."""
+    placed = units.select("*", F.posexplode("_units").alias("_at", "_unit"))
+    grams = [F.xxhash64(F.slice("_units", F.col("_at") + 1, F.lit(n))) for n in widths]
+    return placed.select(*units.columns, "_at", F.explode(F.array(*grams)).alias("gram"))
+
+
+def _holding(units: DataFrame, blank: str, widths: Sequence[int], index: DataFrame) -> DataFrame:
+    """Keys of texts that hold a phrase of the index, which is compared where its run stands and nowhere else."""
+    first = F.greatest(F.col("_at") + 1 - F.col("before"), F.lit(1))
+    there = F.array_join(F.slice("_units", first, F.col("size")), blank)
+    return _grams(units, widths).join(F.broadcast(index), "gram").where(F.contains(there, "phrase")).select("_text_key")
 
 
 def _cut(df: DataFrame, keep: Sequence[str], name: str, size: int, overlap: int) -> DataFrame:

@@ -77,6 +77,29 @@ def test_index_takes_the_rarest_inner_word_and_probes_in_the_scan(spark, tmp_pat
     assert plans["excluded"].count("Exchange hashpartitioning") == 1  # the hits' distinct
 
 
+def test_short_phrases_file_nothing_per_word_of_the_texts(spark, monkeypatch):
+    """Short phrases are predicates and drop what contains them; the index of the others doesn't grow with the texts' words."""
+    stored = {}
+
+    def recorded(df, name, keep=M.store):
+        stored[name] = keep(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(M, "store", recorded)
+    rows = spark.range(2000).select("id", F.concat(F.lit("w"), "id", F.lit("in Ünd"), "id").alias("title"), F.lit(None).cast("string").alias("summary"))
+    brands = spark.range(200).select(F.concat(F.lit("Brand"), F.col("id") + 1000).alias("phrase"))
+    pairs = spark.range(100).select(F.concat(F.lit("in ünd"), F.col("id") + 1900).alias("phrase"))
+    some = spark.createDataFrame([("N ü",), ("7in",), (None,), ("9in ünd19",), ("zz",), (" brand77",), ("a  b",)], "phrase STRING")
+    words = {n for n in range(2000) if not str(n).endswith("7")}
+    got = M.exclude_phrase_table(rows, brands.unionByName(pairs).unionByName(some.where("phrase <> 'N ü'")))
+    assert sorted(r.id for r in got.collect()) == sorted(n for n in words if n < 1900 and not (str(n).endswith("9") and str(n).startswith("19")))
+    assert stored["runs"].count() == 305
+    stored.clear()
+    assert M.exclude_phrases(rows, brands.unionByName(pairs).unionByName(some)).count() == 0
+    # "n ü" is among the shortest: the pairs that contain it are not filed.
+    assert stored["runs"].where("contains(phrase, 'n ü')").count() == 0 and 0 < stored["runs"].count() <= 200
+
+
 def test_first_per_url(spark):
     rows = [("k1", 1, 1, 1, "u1", "Reddit"), ("k1", 1, 2, 1, "u1", "Blog"), ("k1", 1, 2, 2, "", "Blog"), ("k1", 1, 2, 3, None, "Blog"),
             ("k2", 2, 1, 1, "u1", "Reddit"), ("k2", 2, 2, 1, "u2", "Blog")]
