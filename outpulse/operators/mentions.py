@@ -19,6 +19,7 @@ SAMPLE_BLOCKS = 500
 SHARDS_A_JOB = 4
 BLOCK = 16_384
 ANCHORS = (1, 2, 4, 8, 16)
+WORDS = (1, 2, 4, 8)
 
 # Icons of sentiments and sources.
 SENTIMENT_ICONS = {
@@ -123,12 +124,13 @@ def exclude_phrase_table(
 
     A text that contains a phrase has each of the phrase's inner words, those
     with a blank on both sides, as a word of its own. The anchor of a phrase
-    is the inner word that the fewest texts of a sample have. A phrase without
+    is the inner word that the fewest texts of a sample have, and it is filed
+    under a run of 1, 2, 4 or 8 inner words with the anchor. A phrase without
     inner words is filed under one of its runs of 1, 2, 4, 8 or 16 characters.
     Texts are split inside the scan and looked up in the index there, in
     shards that each are small enough to broadcast; a phrase that meets its
-    anchor is tested against the text. So only the keys of texts that hit
-    leave the scan, and the index has one row per phrase, whatever the texts.
+    run is compared at that place. So only the keys of texts that hit leave
+    the scan, and the index has one row per phrase, whatever the texts.
     """
     text = _search_text(columns)
     has_inner, has_part = F.size("inner") > 0, F.trim("phrase") != ""
@@ -143,16 +145,15 @@ def exclude_phrase_table(
     texts = df.select(text.alias("_text"))
     met = []
     if plain:
-        index = store(_by_rarest_word(texts, listed.where(has_inner)), "anchors")
-        words = texts.select("_text", F.explode(_words("_text")).alias("anchor"))
-        for part in _even_shards(index, "anchor", shard_bytes):
-            hits = words.join(F.broadcast(part), "anchor").where(F.contains("_text", "phrase"))
-            met.append(hits.select(F.sha2("_text", 256).alias("_text_key")))
+        words = texts.select(F.sha2("_text", 256).alias("_text_key"), F.split("_text", " ").alias("_units"))
+        index = store(_by_words(_by_rarest_word(texts, listed.where(has_inner))), "anchors")
+        widths = [r.width for r in index.select("width").distinct().collect()]
+        met += [_holding(words, " ", widths, part) for part in _even_shards(index, shard_bytes)]
     if short:
         blocks = _blocks(texts, longest)
         index = store(_by_rarest_run(blocks, listed.where(~has_inner & has_part)), "runs")
         widths = [r.width for r in index.select("width").distinct().collect()]
-        met += [_holding(blocks, "", widths, part) for part in _even_shards(index, "gram", shard_bytes)]
+        met += [_holding(blocks, "", widths, part) for part in _even_shards(index, shard_bytes)]
     if not met:
         return df
 
@@ -163,12 +164,12 @@ def exclude_phrase_table(
     return join_lookup(df.withColumn("_text_key", F.sha2(text, 256)), hit, ["_text_key"], "left_anti").drop("_text_key")
 
 
-def _even_shards(index: DataFrame, key: str, most: int) -> list[DataFrame]:
+def _even_shards(index: DataFrame, most: int) -> list[DataFrame]:
     """The index split by hash to parts that each fit a broadcast; a longer phrase is a part of its own."""
-    width = F.octet_length(F.col(key).cast("string")) + F.octet_length("phrase") + 64
+    width = F.octet_length("phrase") + 96
     shards = 1
     while True:
-        shard = F.pmod(F.xxhash64(key, "phrase"), F.lit(shards))
+        shard = F.pmod(F.xxhash64("gram", "phrase"), F.lit(shards))
         rows, largest, single = index.groupBy(shard).agg(
             F.count("*").alias("n"), F.sum(width).alias("size"), F.max(width).alias("one")
         ).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("one"), F.lit(0))).first()
@@ -185,6 +186,17 @@ def _by_rarest_word(texts: DataFrame, phrases: DataFrame) -> DataFrame:
     return counted.groupBy("phrase").agg(F.min(F.struct("n", "anchor"))["anchor"].alias("anchor")).select("anchor", "phrase")
 
 
+def _by_words(anchors: DataFrame) -> DataFrame:
+    """(gram, width, before, size, phrase) with a run of inner words around each phrase's anchor."""
+    inner = _inner("phrase")
+    width = reduce(lambda a, n: F.when(F.size("inner") >= n, n).otherwise(a), WORDS[1:], F.lit(WORDS[0]))
+    sized = anchors.withColumn("inner", inner).withColumn("width", width)
+    # Runs are cut at the anchor or, too near the end for that, as late as they fit.
+    before = F.least(F.array_position("inner", F.col("anchor")).cast("int"), F.size("inner") - F.col("width") + 1)
+    gram = F.xxhash64(F.slice("inner", F.col("before"), F.col("width"))).alias("gram")
+    return sized.withColumn("before", before).select(gram, "width", "before", (F.size("inner") + 2).alias("size"), "phrase")
+
+
 def _blocks(texts: DataFrame, longest: int) -> DataFrame:
     """Texts cut to blocks of characters that overlap by the longest phrase, so that each place of a phrase is whole in one."""
     step = max(BLOCK, longest)

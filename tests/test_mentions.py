@@ -100,6 +100,26 @@ def test_short_phrases_file_nothing_per_word_of_the_texts(spark, monkeypatch):
     assert stored["runs"].where("contains(phrase, 'n ü')").count() == 0 and 0 < stored["runs"].count() <= 200
 
 
+def test_phrases_of_the_same_frequent_words_are_filed_apart(spark, monkeypatch):
+    """Runs of words, not single ones, are looked up, so a text is held against the phrases of its runs only."""
+    stored = {}
+
+    def recorded(df, name, keep=M.store):
+        stored[name] = keep(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(M, "store", recorded)
+    runs = [" ".join("on" if n >> k & 1 else "off" for k in range(8)) for n in range(256)]
+    phrases = spark.createDataFrame([(f"o {r} n",) for r in runs], "phrase STRING")
+    rows = [(n, f"go {r} now" if n % 2 else r, "no off" if n % 4 == 2 else None) for n, r in enumerate(runs)]
+    df = spark.createDataFrame(rows, "n INT, title STRING, summary STRING")
+    texts = {n: f"{t} {s or ''}" for n, t, s in rows}
+    want = sorted(n for n, t in texts.items() if not any(f"o {r} n" in t for r in runs))
+    assert 0 < len(want) < 256
+    assert sorted(r.n for r in M.exclude_phrase_table(df, phrases).collect()) == want
+    assert stored["anchors"].select("gram").distinct().count() == 256
+
+
 def test_first_per_url(spark):
     rows = [("k1", 1, 1, 1, "u1", "Reddit"), ("k1", 1, 2, 1, "u1", "Blog"), ("k1", 1, 2, 2, "", "Blog"), ("k1", 1, 2, 3, None, "Blog"),
             ("k2", 2, 1, 1, "u1", "Reddit"), ("k2", 2, 2, 1, "u2", "Blog")]
