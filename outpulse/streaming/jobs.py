@@ -103,8 +103,8 @@ def run_dedupe_stream(
     The state answers for keys of the look-back, which are nearly all, and is
     bounded by them. What passes it is new or has come back after its time; only
     those few are looked up in the table of keys that were emitted, in the partitions
-    of their hash. A replayed micro-batch finds its keys there. Keys are
-    null-safe.
+    of their hash. A replayed micro-batch finds its keys there. A micro-batch adds
+    at most one file to a partition, however many tasks it has. Keys are null-safe.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
@@ -112,8 +112,9 @@ def run_dedupe_stream(
         found = store(in_buckets(batch.select(*keys), keys), "passed")
         emitted = read_buckets(batch.sparkSession, path, found.drop("bucket").schema, found).toDF(*known)
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-        fresh = found.join(emitted, same, "left_anti")
-        fresh.dropDuplicates(list(keys)).write.mode("append").partitionBy("bucket").parquet(path)
+        fresh = found.join(emitted, same, "left_anti").repartition("bucket")
+        # The bucket follows from the keys; named with them, rows need not be dealt again.
+        fresh.dropDuplicates([*keys, "bucket"]).write.mode("append").partitionBy("bucket").parquet(path)
 
     return (
         dedupe_stream(events, keys, ts, look_back).writeStream.foreachBatch(append)

@@ -5,6 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from outpulse.catalog import views as V
+from outpulse.catalog.stream_queries import land_files
 from outpulse.operators.keyed import append_new
 from outpulse.session import run_dir
 from outpulse.sources import archive as A
@@ -136,6 +137,27 @@ def test_keys_that_return_after_the_look_back_stay_back(spark):
     assert passed > 801  # some keys did leave the state and came through again
 
 
+def test_a_dedupe_batch_adds_one_file_to_a_bucket(spark):
+    """Its files are bounded by the buckets, not by tasks times buckets."""
+    base = run_dir(spark, "t")
+    rows = spark.range(6000).select(F.lit("2026-01-01").cast("timestamp_ntz").alias("ts"), F.expr("nullif(id % 3000, 7)").alias("k"))
+    rows.write.parquet(f"{base}/in")
+    J.run_dedupe_stream(J.landing_stream(spark, f"{base}/in", rows.schema), ["k"], f"{base}/out", f"{base}/state").awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    assert sorted((r.k for r in out.collect()), key=str) == sorted([*(k for k in range(3000) if k != 7), None], key=str)
+    folders = [f.rsplit("/", 1)[0] for f in out.inputFiles()]
+    assert len(folders) == len(set(folders)) > 200
+
+
+def test_a_part_is_landed_as_exactly_so_many_files(spark):
+    """Few rows or none included, since a micro-batch takes files by their number."""
+    path = f"{run_dir(spark, 't')}/in"
+    for n, rows in enumerate((1000, 2, 0, 5)):
+        land_files(spark.range(rows), path, 4, 4 * n)
+        assert len(spark.read.schema("id LONG").parquet(path).inputFiles()) == 4 * (n + 1)
+    assert spark.read.schema("id LONG").parquet(path).count() == 1007
+
+
 def test_unseen_reads_the_buckets_of_its_urls(spark):
     path = f"{run_dir(spark, 't')}/seen"
     assert S.read_bucketed(spark, path).count() == 0
