@@ -147,13 +147,13 @@ def exclude_phrase_table(
     if plain:
         words = texts.select(F.sha2("_text", 256).alias("_text_key"), F.split("_text", " ").alias("_units"))
         index = store(_by_words(_by_rarest_word(texts, listed.where(has_inner))), "anchors")
-        widths = [r.width for r in index.select("width").distinct().collect()]
-        met += [_holding(words, " ", widths, part) for part in _even_shards(index, shard_bytes)]
+        shards, widths = _even_shards(index, shard_bytes)
+        met += [_holding(words, " ", widths, shard) for shard in shards]
     if short:
         blocks = _blocks(texts, longest)
         index = store(_by_rarest_run(blocks, listed.where(~has_inner & has_part)), "runs")
-        widths = [r.width for r in index.select("width").distinct().collect()]
-        met += [_holding(blocks, "", widths, part) for part in _even_shards(index, shard_bytes)]
+        shards, widths = _even_shards(index, shard_bytes)
+        met += [_holding(blocks, "", widths, shard) for shard in shards]
     if not met:
         return df
 
@@ -164,17 +164,20 @@ def exclude_phrase_table(
     return join_lookup(df.withColumn("_text_key", F.sha2(text, 256)), hit, ["_text_key"], "left_anti").drop("_text_key")
 
 
-def _even_shards(index: DataFrame, most: int) -> list[DataFrame]:
-    """The index split by hash to parts that each fit a broadcast; a longer phrase is a part of its own."""
+def _even_shards(index: DataFrame, most: int) -> tuple[list[DataFrame], list[int]]:
+    """The index split by hash to parts that each fit a broadcast, a longer phrase being a part of its own; the runs' widths."""
     width = F.octet_length("phrase") + 96
     shards = 1
     while True:
         shard = F.pmod(F.xxhash64("gram", "phrase"), F.lit(shards))
-        rows, largest, single = index.groupBy(shard).agg(
-            F.count("*").alias("n"), F.sum(width).alias("size"), F.max(width).alias("one")
-        ).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("one"), F.lit(0))).first()
+        rows, largest, single, widths = index.groupBy(shard).agg(
+            F.count("*").alias("n"), F.sum(width).alias("size"), F.max(width).alias("one"), F.collect_set("width").alias("widths")
+        ).agg(
+            F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("one"), F.lit(0)),
+            F.array_distinct(F.flatten(F.collect_list("widths"))),
+        ).first()
         if rows <= BROADCAST_ROWS and largest <= max(most, single):
-            return [index.where(shard == i) for i in range(shards)]
+            return [index.where(shard == i) for i in range(shards)], widths
         shards = max(2 * shards, -(-largest // most))
 
 
